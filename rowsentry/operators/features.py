@@ -75,8 +75,8 @@ def fit_one_hot(df: DataFrame, cols: str | Sequence[str], by: str | Sequence[str
     all raise; :func:`indicator_map` encodes columns of any cardinality.
     """
     by = as_list(by)
-    found, settled = settle_small(distinct_categories(df, cols, by), max_categories)
-    if not settled:
+    found, size = settle_small(distinct_categories(df, cols, by), max_categories)
+    if size is None:
         raise ValueError(f"more than {max_categories} categories; use indicator_map for such columns")
     order = Window.partitionBy(*by, "column").orderBy("category")
     return found.select(*by, "column", (F.row_number().over(order) - 1).alias("idx"), "category")

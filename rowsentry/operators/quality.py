@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowsentry.functions.names import as_list
-from rowsentry.operators.ranking import column_range_bucket, running_total, split_points
+from rowsentry.operators.ranking import column_range_bucket, literal_of, running_total, value_cuts
 
 COLUMNS_PER_PASS = 100
 MAX_DOMAIN = 20
@@ -128,24 +128,21 @@ def profile_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequ
     Values are counted first, then ranked bucket by bucket along cut points from a sketch, so
     neither a hot value nor a long column ends up in one task.
     """
-    long = unpivot_numbers(df, columns)
-    cuts = split_points(long, "column", "value")
-    counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
-    placed = running_total(counts, ["column"], column_range_bucket("column", "value", cuts), ["value"], ["n"])
-    # One row per column of the table.
-    totals = F.broadcast(counts.groupBy("column").agg(F.sum("n").alias("_total")))
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    at = F.col("p") * (F.col("_total") - 1)
+    found = value_cuts(df, columns)
+    bucket = column_range_bucket("column", "value", {c: cuts for c, (cuts, _) in found.items()})
+    counts = unpivot_numbers(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
+    placed = running_total(counts, ["column"], bucket, ["value"], ["n"])
+    top = literal_of("column", {c: n - 1 for c, (_, n) in found.items()})
     # A value covers the places [n_run - n, n_run - 1]; keep the (value, p) pairs it decides.
-    first, last = F.col("n_run") - F.col("n"), F.col("n_run") - 1
-    hits = F.filter(wanted, lambda p: (F.ceil(p * (F.col("_total") - 1)) >= first)
-                    & (F.floor(p * (F.col("_total") - 1)) <= last))
-    near = placed.join(totals, "column").select("column", "value", "_total", first.alias("_first"),
-                                                last.alias("_last"), F.explode(hits).alias("p"))
+    rows = placed.select("column", "value", top.alias("_top"), (F.col("n_run") - F.col("n")).alias("_first"),
+                         (F.col("n_run") - 1).alias("_last"))
+    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+    hits = F.filter(wanted, lambda p: (F.ceil(p * F.col("_top")) >= F.col("_first")) & (F.floor(p * F.col("_top")) <= F.col("_last")))
+    near = rows.withColumn("p", F.explode(hits))
+    at = F.col("p") * F.col("_top")
     low = F.max(F.when(F.floor(at).between(F.col("_first"), F.col("_last")), F.col("value")))
     high = F.max(F.when(F.ceil(at).between(F.col("_first"), F.col("_last")), F.col("value")))
-    part = F.max(at - F.floor(at))
-    return near.groupBy("column", "p").agg((low + (high - low) * part).alias("value"))
+    return near.groupBy("column", "p").agg((low + (high - low) * F.max(at - F.floor(at))).alias("value"))
 
 
 def quantile_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str | Column] = ()) -> DataFrame:

@@ -12,6 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET_HEX = 3
+MAX_PARTS, MIN_PARTS, LEAVES = 1024, 16, 64
+ROWS_PER_PART = 1_000_000
+SKETCH_SIZE = 5000
 
 
 def hash_bucket(hash_col: str, digits: int = BUCKET_HEX, start: int = 1) -> Column:
@@ -55,30 +58,47 @@ def bucketed_rank(df: DataFrame, by: Sequence[str], bucket: Column, order: Seque
     return ranked.withColumnRenamed("_one_run", name).drop("_one")
 
 
-def split_points(df: DataFrame, column: str, value: str, parts: int = 64) -> dict[str, list[float]]:
-    """Up to ``parts - 1`` rising cut values per ``column`` name, from a quantile sketch."""
-    shares = ", ".join(str(i / parts) for i in range(1, parts))
-    rows = (
-        df.groupBy(column)
-        .agg(F.expr(f"approx_percentile({value}, array({shares}), 1000)").alias("cuts"))
-        .collect()
-    )
-    return {r[column]: sorted(set(r["cuts"] or [])) for r in rows}
+def value_cuts(df: DataFrame, columns: Sequence[str], parts: int = MAX_PARTS) -> dict[str, tuple[list[float], int]]:
+    """Per column up to ``parts - 1`` rising cut values and the number of values, in one pass.
+
+    The cuts come from a quantile sketch and only balance the buckets; there are as many as
+    give each bucket about ``ROWS_PER_PART`` values.
+    """
+    shares = ", ".join(f"{i / parts}D" for i in range(1, parts))
+    stats = [
+        F.struct(F.expr(f"approx_percentile(cast(`{c}` as double), array({shares}), {SKETCH_SIZE})").alias("cuts"),
+                 F.count(c).alias("n")).alias(f"_{i}")
+        for i, c in enumerate(columns)
+    ]
+    row = df.agg(*stats).first()
+    out = {}
+    for i, c in enumerate(columns):
+        n = row[i]["n"]
+        step = max(1, parts // max(MIN_PARTS, min(parts, n // ROWS_PER_PART)))
+        out[c] = (sorted(set((row[i]["cuts"] or [])[step - 1::step])), n)
+    return out
 
 
 def range_bucket(value: Column, cuts: Sequence[float]) -> Column:
-    """How many of the rising ``cuts`` are at or below ``value``, by binary search."""
+    """How many of the rising ``cuts`` are at or below ``value``.
+
+    A binary search as nested conditions; beyond ``LEAVES`` cuts its leaves count a short array.
+    """
+    leaf = max(1, -(-len(cuts) // LEAVES))
 
     def search(low: int, high: int) -> Column:
         if low == high:
             return F.lit(low)
+        if leaf > 1 and high - low <= leaf:
+            some = F.array(*[F.lit(c) for c in cuts[low:high]])
+            return F.lit(low) + F.size(F.filter(some, lambda c: c <= value))
         middle = (low + high) // 2
         return F.when(value < F.lit(cuts[middle]), search(low, middle)).otherwise(search(middle + 1, high))
 
     return search(0, len(cuts))
 
 
-def column_range_bucket(column: str, value: str, cuts: dict[str, list[float]]) -> Column:
+def column_range_bucket(column: str, value: str, cuts: dict[str, Sequence[float]]) -> Column:
     """:func:`range_bucket` on long ``(column, value)`` rows, with the cuts of each column."""
     out = None
     for name, points in cuts.items():
@@ -86,3 +106,9 @@ def column_range_bucket(column: str, value: str, cuts: dict[str, list[float]]) -
         found = range_bucket(F.col(value), points)
         out = F.when(test, found) if out is None else out.when(test, found)
     return F.lit(0) if out is None else out.otherwise(F.lit(0))
+
+
+def literal_of(column: str, values: dict[str, int]) -> Column:
+    """The entry of ``values`` for the name in ``column``."""
+    pairs = [F.lit(x) for name, n in values.items() for x in (name, n)]
+    return F.create_map(*pairs)[F.col(column)]

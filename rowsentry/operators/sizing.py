@@ -13,16 +13,16 @@ HOT_SHARE = 0.01
 HOT_TRACKED = 10_000
 
 
-def settle_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+def settle_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, int | None]:
     """Run ``df`` once and keep its rows as a local table when it has at most ``max_rows``.
 
-    Returns ``(table, settled)``. A larger result is never brought to the driver (at most
-    ``max_rows + 1`` rows are): the lazy ``df`` comes back instead, unsettled.
+    Returns the table and its number of rows. Of a larger result at most ``max_rows + 1`` rows
+    are brought to the driver; then the lazy ``df`` comes back, with None for its size.
     """
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows > max_rows:
-        return df, False
-    return df.sparkSession.createDataFrame(head, df.schema), True
+        return df, None
+    return df.sparkSession.createDataFrame(head, df.schema), head.num_rows
 
 
 def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner",
@@ -31,8 +31,8 @@ def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str
 
     A measured small table is broadcast, a larger one joined by :func:`join_unique`.
     """
-    settled, small = settle_small(right, max_rows)
-    if small:
+    settled, size = settle_small(right, max_rows)
+    if size is not None:
         return left.join(F.broadcast(settled), as_list(on), how)
     return join_unique(left, right, on, how)
 

@@ -1,23 +1,28 @@
 """Seeded shuffles, exact stratified splits and folds, percentage samples.
 
 The order of the rows is the md5 of ``seed|key``, so a split depends only on the seed and on a
-unique key, not on partitioning. No split sorts or shuffles the table: per class the hash
-prefix at which the quota is used up is found from counts, the few rows under that prefix give
-the exact cut, and every row is then compared with the cut of its class.
+unique key, not on partitioning. No split sorts or shuffles the table. The class counts give
+the quotas; as hashes are uniform, the last train row of a class of c rows lies within a few
+times sqrt(c) rows of where its quota predicts. One pass counts the rows before that band and
+keeps the rows inside it; the cut found there is exact, and checked to lie in the band. Every
+row is then compared with the cut of its class.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowsentry.fixed_values import FOLD_SEED, FOLDS, TEST_PERCENT, TEST_SEED
 from rowsentry.functions.keys import hash_percent, row_key, seeded_hash
 from rowsentry.functions.names import as_list
-from rowsentry.operators.ranking import BUCKET_HEX, bucketed_rank, hash_bucket, running_total
+from rowsentry.operators.ranking import BUCKET_HEX, bucketed_rank, hash_bucket
 from rowsentry.operators.sizing import join_unique, settle_small
 
+# Deviations of a class's cut from its expected place that a band covers; the second is a retry.
+_SPREADS = (6.0, 60.0)
+
 
 def shuffle_rows(df: DataFrame, key: str | Sequence[str], seed: int = TEST_SEED) -> DataFrame:
     """All rows in a seeded random order (a range-partitioned sort)."""
@@ -35,109 +40,124 @@ def shuffle_rank(df: DataFrame, key: str | Sequence[str], seed: int = TEST_SEED,
 
 
 def _quotas(counts: DataFrame, percent: int) -> DataFrame:
-    """Train quota of each class (``_fold``, ``_label``, ``_c``) by largest remainder."""
-    fold = Window.partitionBy("_fold")
-    by_rest = fold.orderBy(F.desc("_rest"), F.asc("_label"))
-    sized = (
-        counts.withColumn("_n", F.sum("_c").over(fold))
-        .withColumn("_classes", F.count("*").over(fold))
-        .withColumn("_least", F.min("_c").over(fold))
-        .withColumn("_nameless", F.max(F.col("_label").isNull()).over(fold))
-        .withColumn("_test", F.expr(f"(_n * {int(percent)} + 99) div 100"))
-        .withColumn("_train", F.expr("_n - _test"))
-    )
-    whole = (
-        sized.withColumn("_base", F.expr("cast(cast(_c as decimal(38,0)) * _train div _n as bigint)"))
-        .withColumn("_rest", F.expr("cast(cast(_c as decimal(38,0)) * _train % _n as bigint)"))
-        .withColumn("_short", F.expr("_train") - F.sum("_base").over(fold))
-        .withColumn("_turn", F.row_number().over(by_rest))
-    )
-    quota = F.col("_base") + (F.col("_turn") <= F.col("_short")).cast("bigint")
-    guarded = (
-        F.when(F.col("_nameless"), F.raise_error(F.lit("a label is null")).cast("bigint"))
-        .when(F.col("_least") < 2, F.raise_error(F.lit("a class has fewer than 2 rows")).cast("bigint"))
+    """Train quota ``_quota`` of each class (``_label``, ``_c``) by largest remainder."""
+    # One row per class from here on.
+    everything = Window.partitionBy(F.lit(0))
+    sized = counts.select(
+        "_label", "_c", F.sum("_c").over(everything).alias("_n"), F.count("*").over(everything).alias("_classes"),
+        F.min("_c").over(everything).alias("_least"), F.max(F.col("_label").isNull()).over(everything).alias("_nameless"))
+    sized = sized.withColumn("_test", F.expr(f"(_n * {int(percent)} + 99) div 100")).withColumn("_train", F.expr("_n - _test"))
+    product = "cast(_c as decimal(38,0)) * _train"
+    whole = sized.select("*", F.expr(f"cast({product} div _n as bigint)").alias("_base"),
+                         F.expr(f"cast({product} % _n as bigint)").alias("_rest"))
+    turn = F.row_number().over(everything.orderBy(F.desc("_rest"), F.asc("_label")))
+    short = F.col("_train") - F.sum("_base").over(everything)
+
+    def refuse(reason: str) -> Column:
+        return F.raise_error(F.lit(reason)).cast("bigint")
+
+    quota = (
+        F.when(F.col("_nameless"), refuse("a label is null"))
+        .when(F.col("_least") < 2, refuse("a class has fewer than 2 rows"))
         .when((F.col("_train") < F.col("_classes")) | (F.col("_test") < F.col("_classes")),
-              F.raise_error(F.lit("a side of the split has fewer rows than there are classes")).cast("bigint"))
-        .otherwise(quota)
+              refuse("a side of the split has fewer rows than there are classes"))
+        .otherwise(F.col("_base") + (turn <= short).cast("bigint"))
     )
-    return whole.select("_fold", "_label", "_c", guarded.alias("_quota"))
+    return whole.select("_label", "_c", quota.alias("_quota"))
 
 
-def _cuts(rows: DataFrame, percent: int, digits: int) -> DataFrame:
-    """Per (``_fold``, ``_label``) the last (``_h``, ``_k``) that still goes to train."""
-    by = ["_fold", "_label"]
-    counts = rows.groupBy(*by, hash_bucket("_h", digits).alias("_b")).agg(F.count("*").alias("_bc"))
-    quotas = _quotas(counts.groupBy(*by).agg(F.sum("_bc").alias("_c")), percent)
-    along = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (
-        counts.withColumn("_run", F.sum("_bc").over(along))
-        .join(quotas, by)
-        .filter("_run >= _quota and _run - _bc < _quota")
-        .select(*by, F.col("_b").alias("_eb"), F.expr("_quota - (_run - _bc)").alias("_need"))
-    )
-    edge, settled = settle_small(edge)
-    edge = F.broadcast(edge) if settled else edge
-    near = (
-        rows.withColumn("_b", hash_bucket("_h", digits))
-        .join(edge.withColumnRenamed("_eb", "_b"), [*by, "_b"])
-        .groupBy(*by, "_h", "_k", "_need").agg(F.count("*").alias("_w"))
-    )
-    placed = running_total(near, by, hash_bucket("_h", 3, digits + 1), ["_h", "_k"], ["_w"])
-    unique = F.when(F.col("_w") == 1, F.col("_h")).otherwise(
-        F.raise_error(F.lit("the key is not unique at the cut of a class")))
-    return placed.filter("_w_run >= _need and _w_run - _w < _need").select(
-        *by, unique.alias("_ch"), F.col("_k").alias("_ck"))
+def _hex(share: Column) -> Column:
+    """The first 12 hex digits of the hash below which ``share`` of all hashes lie."""
+    digits = F.lpad(F.lower(F.hex(F.floor(share * F.lit(16.0 ** 12)))), 12, "0")
+    return F.when(share <= 0, F.lit("")).when(share >= 1, F.lit("g")).otherwise(digits)
+
 
+def _cuts(rows: DataFrame, quotas: DataFrame, spread: float) -> DataFrame:
+    """Per (``_fold``, ``_label``) the last (``_h``, ``_k``) that still goes to train.
 
-def _apply_cuts(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """``rows`` with ``_in_train``; a class without a cut has a quota of 0."""
-    cuts, settled = settle_small(cuts)
+    A class whose quota is not reached inside its band (``spread`` deviations wide to each side)
+    has no row here.
+    """
+    share = F.col("_quota") / F.col("_c")
+    margin = F.lit(spread) * F.sqrt(share * (1 - share) / F.col("_c")) + 2 / F.col("_c")
+    bands = quotas.select("_label", "_quota", _hex(share - margin).alias("_lo"), _hex(share + margin).alias("_hi"))
+    inside = F.col("_h") >= F.col("_lo")
+    counted = (
+        rows.join(bands, "_label").filter("_h < _hi")
+        .groupBy("_fold", "_label", "_quota", F.when(inside, F.col("_h")).alias("_ch"), F.when(inside, F.col("_k")).alias("_ck"))
+        .agg(F.count("*").alias("_w"))
+    )
+    # Per class and fold: one row for all rows before the band, and about sqrt(class size) inside it.
+    along = Window.partitionBy("_fold", "_label").orderBy(F.asc_nulls_first("_ch"), "_ck").rowsBetween(Window.unboundedPreceding, 0)
+    last = counted.withColumn("_run", F.sum("_w").over(along)).filter("_run >= _quota and _run - _w < _quota and _ch is not null")
+    alone = F.when(F.col("_w") == 1, F.col("_ch")).otherwise(F.raise_error(F.lit("the key is not unique at the cut of a class")))
+    return last.select("_fold", "_label", alone.alias("_ch"), "_ck")
+
+
+def _small(table: DataFrame) -> tuple[DataFrame, int | None]:
+    """A class table, marked for broadcast when measured to be small, and its size if so."""
+    settled, size = settle_small(table)
+    return (settled if size is None else F.broadcast(settled)), size
+
+
+def _place(rows: DataFrame, quotas: DataFrame, folds: int) -> DataFrame:
+    """``rows`` with ``_in_train``, given the quotas of the classes (alike in all folds)."""
+    lean = rows.select("_fold", "_label", "_h", "_k")
+    wanted = quotas.filter("_quota > 0").count() * folds
+    for spread in _SPREADS:
+        cuts, size = _small(_cuts(lean, quotas, spread))
+        if (cuts.count() if size is None else size) == wanted:
+            break
+    else:
+        raise ValueError("no cut near where a unique key would have it: the key does not identify the rows")
     by = ["_fold", "_label"]
-    joined = rows.join(F.broadcast(cuts), by, "left") if settled else join_unique(rows, cuts, by, "left")
+    joined = join_unique(rows, cuts, by, "left") if size is None else rows.join(cuts, by, "left")
     before = (F.col("_h") < F.col("_ch")) | ((F.col("_h") == F.col("_ch")) & (F.col("_k") <= F.col("_ck")))
     return joined.withColumn("_in_train", F.coalesce(before, F.lit(False))).drop("_ch", "_ck")
 
 
+def _class_quotas(df: DataFrame, label: str, percent: int) -> DataFrame:
+    """Quotas from the class counts: a scan of the label column alone."""
+    return _small(_quotas(df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_c")), percent))[0]
+
+
 def _keyed(df: DataFrame, label: str, key: Sequence[str]) -> DataFrame:
     return df.withColumn("_label", F.col(label)).withColumn("_k", row_key(*key))
 
 
-def _lean(rows: DataFrame) -> DataFrame:
-    """What the search for cuts reads: a scan of the label and key columns only."""
-    return rows.select("_fold", "_label", "_h", "_k")
-
+def _split(df: DataFrame, label: str, key: Sequence[str], seed: int, quotas: DataFrame) -> DataFrame:
+    rows = _keyed(df, label, key).withColumn("_fold", F.lit(0)).withColumn("_h", seeded_hash(seed, "_k"))
+    split = F.when(F.col("_in_train"), "train").otherwise("test")
+    return _place(rows, quotas, 1).withColumn("split", split).select(*df.columns, "split")
 
 
+def _folds(df: DataFrame, label: str, key: Sequence[str], folds: int, seed: int, quotas: DataFrame) -> DataFrame:
+    seeds = F.concat_ws("|", F.lit(str(seed)), F.col("_fold").cast("string"))
+    rows = (
+        _keyed(df, label, key).withColumn("_fold", F.explode(F.sequence(F.lit(1), F.lit(int(folds)))))
+        .withColumn("_h", seeded_hash(seeds, "_k"))
+    )
+    split = F.when(F.col("_in_train"), "train").otherwise("validation")
+    return _place(rows, quotas, folds).withColumn("split", split).withColumn("fold", F.col("_fold")).select(*df.columns, "fold", "split")
 
 
 def stratified_split(df: DataFrame, label: str, key: str | Sequence[str], percent: int = TEST_PERCENT,
-                     seed: int = TEST_SEED, digits: int = BUCKET_HEX) -> DataFrame:
+                     seed: int = TEST_SEED) -> DataFrame:
     """Add ``split`` (``train`` or ``test``) with exact per-class quotas.
 
     ``key`` must be unique; nulls in ``label``, classes of one row and splits smaller than the
-    number of classes raise. Results do not depend on ``digits``, which sets how finely the
-    counts are taken (16 ** digits buckets; 4 suits tables beyond 10 ** 11 rows).
+    number of classes raise.
     """
-    rows = _keyed(df, label, as_list(key)).withColumn("_fold", F.lit(0)).withColumn("_h", seeded_hash(seed, "_k"))
-    placed = _apply_cuts(rows, _cuts(_lean(rows), percent, digits))
-    split = F.when(F.col("_in_train"), "train").otherwise("test")
-    return placed.withColumn("split", split).select(*df.columns, "split")
+    return _split(df, label, as_list(key), seed, _class_quotas(df, label, percent))
 
 
 def stratified_folds(df: DataFrame, label: str, key: str | Sequence[str], folds: int = FOLDS,
-                     percent: int = TEST_PERCENT, seed: int = FOLD_SEED, digits: int = BUCKET_HEX) -> DataFrame:
+                     percent: int = TEST_PERCENT, seed: int = FOLD_SEED) -> DataFrame:
     """Each row once per fold, with ``fold`` from 1 and ``split`` ``train`` or ``validation``.
 
     The folds are independent re-splits of the same rows, so validation sets may overlap.
     """
-    rows = (
-        _keyed(df, label, as_list(key))
-        .withColumn("_fold", F.explode(F.sequence(F.lit(1), F.lit(int(folds)))))
-        .withColumn("_h", seeded_hash(F.concat_ws("|", F.lit(str(seed)), F.col("_fold").cast("string")), "_k"))
-    )
-    placed = _apply_cuts(rows, _cuts(_lean(rows), percent, digits))
-    split = F.when(F.col("_in_train"), "train").otherwise("validation")
-    return placed.withColumn("split", split).withColumn("fold", F.col("_fold")).select(*df.columns, "fold", "split")
+    return _folds(df, label, as_list(key), folds, seed, _class_quotas(df, label, percent))
 
 
 def append_folds(*parts: DataFrame) -> DataFrame:
@@ -151,11 +171,14 @@ def append_folds(*parts: DataFrame) -> DataFrame:
 def split_and_fold(df: DataFrame, label: str, key: str | Sequence[str], folds: int = FOLDS,
                    percent: int = TEST_PERCENT, test_seed: int = TEST_SEED, fold_seed: int = FOLD_SEED) -> DataFrame:
     """The whole plan of splits in one table: ``test`` rows with fold 0, and the folds of the rest."""
-    first = stratified_split(df, label, key, percent, test_seed)
+    keys = as_list(key)
+    quotas = _class_quotas(df, label, percent)
+    first = _split(df, label, keys, test_seed, quotas)
     test = first.filter("split = 'test'").withColumn("fold", F.lit(0))
     rest = first.filter("split = 'train'").drop("split")
-    again = stratified_folds(rest, label, key, folds, percent, fold_seed)
-    return append_folds(test.select(*df.columns, "fold", "split"), again)
+    # The class counts of the rest are the quotas just met: no further count is needed.
+    left = _small(_quotas(quotas.filter("_quota > 0").select("_label", F.col("_quota").alias("_c")), percent))[0]
+    return append_folds(test.select(*df.columns, "fold", "split"), _folds(rest, label, keys, folds, fold_seed, left))
 
 
 def sample_percent(df: DataFrame, percent: int, key: str) -> DataFrame:

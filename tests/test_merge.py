@@ -52,10 +52,10 @@ def test_other_join_types_are_refused(skewed, right):
 
 
 def test_settle_small_and_lookup(spark, skewed, right):
-    table, small = sizing.settle_small(right, 5000)
-    assert small and {tuple(r) for r in table.collect()} == {tuple(r) for r in right.collect()}
-    lazy, small = sizing.settle_small(right, 10)
-    assert not small and lazy is right
+    table, size = sizing.settle_small(right, 5000)
+    assert size == 1501 and {tuple(r) for r in table.collect()} == {tuple(r) for r in right.collect()}
+    lazy, size = sizing.settle_small(right, 10)
+    assert size is None and lazy is right
     assert sizing.lookup(skewed, right, "k").count() == sizing.lookup(skewed, right, "k", max_rows=10).count() == len(brute(skewed, right, "inner"))
 
 

@@ -24,7 +24,18 @@ def test_drift_numeric_is_the_ks_distance(spark, a, b):
     assert got == pytest.approx(ks(np.array(a), np.array(b)))
 
 
-def test_drift_on_a_long_column_with_a_hot_value(spark):
+def test_more_cuts_than_leaves(spark):
+    cuts = [float(c) for c in range(0, 2000, 7)]
+    got = spark.range(-5, 2005).select("id", ranking.range_bucket(F.col("id").cast("double"), cuts).alias("b")).collect()
+    assert all(r["b"] == sum(c <= r["id"] for c in cuts) for r in got)
+
+
+@pytest.fixture(params=[1_000_000, 10])
+def rows_per_part(request, monkeypatch):
+    monkeypatch.setattr(ranking, "ROWS_PER_PART", request.param)
+
+
+def test_drift_on_a_long_column_with_a_hot_value(spark, rows_per_part):
     rng = np.random.default_rng(1)
     a = np.where(rng.random(4000) < 0.4, 0.0, rng.normal(size=4000))
     b = np.where(rng.random(3000) < 0.3, 0.0, rng.normal(0.2, 1, size=3000))
@@ -53,7 +64,7 @@ def test_exact_quantiles(spark, values):
         assert got[p] == pytest.approx(np.quantile(values, p))
 
 
-def test_quantiles_of_several_columns_and_sketches(spark):
+def test_quantiles_of_several_columns_and_sketches(spark, rows_per_part):
     rng = np.random.default_rng(2)
     data = [(float(a), float(b), int(i % 4)) for i, (a, b) in enumerate(zip(rng.normal(size=5000), rng.exponential(size=5000)))]
     df = spark.createDataFrame(data, "a DOUBLE, b DOUBLE, h INT")

@@ -70,10 +70,11 @@ def test_is_a_partition_and_folds_overlap_only_in_validation(labelled):
     assert not test & rest and len(test | rest) == 333
 
 
-@pytest.mark.parametrize("digits", [1, 2, 5])
-def test_bucket_digits_do_not_matter(labelled, digits):
+@pytest.mark.parametrize("spreads", [(1e-9, 60.0), (1e6,)])
+def test_width_of_the_band_does_not_matter(labelled, monkeypatch, spreads):
     a = split.stratified_split(labelled, "species", "id").select("id", "split")
-    b = split.stratified_split(labelled, "species", "id", digits=digits).select("id", "split")
+    monkeypatch.setattr(split, "_SPREADS", spreads)
+    b = split.stratified_split(labelled, "species", "id").select("id", "split")
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 

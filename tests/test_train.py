@@ -119,14 +119,15 @@ def test_a_failing_gate_registers_nothing(spark, labelled, folder):
     assert plan.read_registry(spark, f"{folder}/registry") is None
 
 
-def test_folder_comes_from_the_session(spark, monkeypatch):
+def test_folder_comes_from_the_session():
+    from types import SimpleNamespace
+
     from rowsentry.session import shared_folder
 
+    def session(**named):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: named.get(key, default)))
+
     with pytest.raises(ValueError):
-        shared_folder(spark)
-    assert shared_folder(spark, "/x/") == "/x"
-    spark.conf.set("spark.checkpoint.dir", "/shared/place")
-    try:
-        assert shared_folder(spark, "/x") == "/shared/place"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+        shared_folder(session())
+    assert shared_folder(session(), "/x/") == "/x"
+    assert shared_folder(session(**{"spark.checkpoint.dir": "/shared/place/"}), "/x") == "/shared/place"
