@@ -77,10 +77,10 @@ _REQUEST_DDL = "a BIGINT, b STRING, c BIGINT, d STRING"
 
 
 @query("""
-  SELECT CAST(o_orderkey AS VARCHAR) AS inference_id, 0 AS row_no, o_orderkey AS a, o_orderstatus AS b,
+  SELECT CAST(o_orderkey AS VARCHAR) AS inference_id, 0 AS row_no, 2 AS n_rows, o_orderkey AS a, o_orderstatus AS b,
          o_custkey AS c, o_orderpriority AS d, CAST(NULL AS VARCHAR) AS error FROM orders
   UNION ALL
-  SELECT CAST(o_orderkey AS VARCHAR), 1, o_custkey, o_orderpriority, o_orderkey, o_orderstatus, NULL FROM orders
+  SELECT CAST(o_orderkey AS VARCHAR), 1, 2, o_custkey, o_orderpriority, o_orderkey, o_orderstatus, NULL FROM orders
 """)
 def csv_requests(spark, sf):
     return req.parse_csv_requests(_csv_bodies(spark, sf), _REQUEST_DDL)
@@ -108,7 +108,7 @@ def csv_request_errors(spark, sf):
 
 
 @query("""
-  SELECT event_id, 0 AS row_no, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS error
+  SELECT event_id, 0 AS row_no, 1 AS n_rows, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS error
   FROM events
 """)
 def json_requests(spark, sf):
@@ -131,7 +131,7 @@ def content_type_routing(spark, sf):
 
 
 @query("""
-  SELECT event_id, 0 AS row_no,
+  SELECT event_id, 0 AS row_no, 1 AS n_rows,
          CASE WHEN event_type IN ('click', 'view') THEN CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) END AS k,
          CASE WHEN event_type IN ('click', 'view') THEN NULL
               ELSE 'Content type ' || event_type || ' is not supported.' END AS error
@@ -168,6 +168,12 @@ def record_to_map(spark, sf):
     return ops.with_record_hook(lines).select("c_custkey", F.explode("record").alias("key", "value"))
 
 
+@query("SELECT c_custkey AS a, c_name AS b, CAST(c_nationkey AS DOUBLE) AS c FROM customer")
+def record_columns(spark, sf):
+    lines = table(spark, sf, "customer").select(csv_line("c_custkey", "c_name", "c_nationkey").alias("input"))
+    return ops.record_columns(ops.with_record_hook(lines), "a BIGINT, b STRING, c DOUBLE").select("a", "b", "c")
+
+
 @query("""
   SELECT event_id, event_type FROM events
   WHERE event_type IN ('purchase', 'signup') AND regexp_extract(props, '([0-9]+)', 1) IN ('1', '2', '3', '5', '8', '13')
@@ -233,7 +239,7 @@ def render_predictions(spark, sf):
     e = table(spark, sf, "events")
     even = F.col("event_id") % 2 == 0
     rows = e.select(
-        "event_id", F.when(even, "text/csv").otherwise("application/json").alias("accept"), F.lit(0).alias("row_no"),
+        "event_id", F.when(even, "text/csv").otherwise("application/json").alias("accept"), F.lit(0).alias("row_no"), F.lit(1).alias("n_rows"),
         F.col("event_type").alias("prediction"), (F.get_json_object("props", "$.k").cast("int") / 4).alias("confidence"))
     return res.render_predictions(rows, "event_id")
 

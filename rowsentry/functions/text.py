@@ -32,8 +32,12 @@ def body_lines(body: str | Column) -> Column:
 
 def field_count(line: str | Column) -> Column:
     """Number of CSV fields, commas inside quotes not counted."""
-    bare = F.regexp_replace(as_col(line), '"[^"]*"', "")
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+    def commas(text: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
+
+    text = as_col(line)
+    return 1 + F.when(F.contains(text, F.lit('"')), commas(F.regexp_replace(text, '"[^"]*"', ""))).otherwise(commas(text))
 
 
 def drop_trailing_label(fields: str | Column, expected: int) -> Column:

@@ -31,10 +31,11 @@ def monitor_report(runs: DataFrame, violations: DataFrame, endpoint: str | None
         chosen = chosen.filter(F.col("endpoint") == endpoint)
     if types is not None:
         chosen = chosen.filter(F.col("type").isin(as_list(types)))
-    violated = F.col("last_status") == VIOLATED_STATUS
-    key = F.when(violated, F.col("run_id"))
-    right = violations.withColumnRenamed("run_id", "_run")
-    return chosen.withColumn("_key", key).join(right, F.col("_key") == F.col("_run"), "left").drop("_key", "_run")
+    violated = F.coalesce(F.col("last_status") == VIOLATED_STATUS, F.lit(False))
+    # Only violated runs enter the join; the others would all meet under one null key.
+    found = chosen.filter(violated).join(violations, "run_id", "left")
+    return found.unionByName(chosen.filter(~violated), allowMissingColumns=True).select(*chosen.columns, *[
+        c for c in violations.columns if c != "run_id"])
 
 
 def required_monitors(endpoints: DataFrame, types: Sequence[str] = MONITOR_TYPES) -> DataFrame:

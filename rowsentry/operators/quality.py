@@ -179,7 +179,8 @@ def suggest_constraints(profile: DataFrame, histogram: DataFrame | None = None,
         return basis.withColumn("domain", F.lit(None).cast("array<string>")).drop("_closed")
     # Only columns with few distinct values get here, so a set holds at most max_domain texts
     # (an estimated distinct count may be off by a few).
-    closed = basis.filter("_closed").select("column")
+    # ``closed`` has one row per column of the table at most, hence the broadcast.
+    closed = F.broadcast(basis.filter("_closed").select("column"))
     domains = (
         histogram.filter("value IS NOT NULL").join(closed, "column")
         .groupBy("column").agg(F.array_sort(F.collect_set("value")).alias("domain"))

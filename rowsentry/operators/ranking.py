@@ -28,26 +28,18 @@ def running_total(df: DataFrame, by: Sequence[str], bucket: Column, order: Seque
 
     ``bucket`` must not decrease along ``order``; ``order`` must be total.
     """
-    by = list(by)
-    rows = df.withColumn("_bucket", bucket)
-    keys = [*by, "_bucket"]
-    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # As a struct the group is never null itself, and equal when its parts are equal or both null;
+    # window and join then share one partitioning of the rows.
+    group = F.struct(*by) if by else F.struct(F.lit(0))
+    keys = ["_group", "_bucket"]
+    rows = df.withColumn("_group", group).withColumn("_bucket", bucket)
+    earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    offsets = rows.groupBy(*keys).agg(*[F.sum(w).alias(f"_{w}_sum") for w in weights])
-    for w in weights:
-        offsets = offsets.withColumn(f"_{w}_before", F.coalesce(F.sum(f"_{w}_sum").over(earlier), F.lit(0)))
-    offsets = offsets.drop(*[f"_{w}_sum" for w in weights])
-    for w in weights:
-        rows = rows.withColumn(f"_{w}_in", F.sum(w).over(inside))
-    # Null-safe on the group columns, so a null group keeps its rows.
-    right = offsets.select(*[F.col(k).alias(f"_r{k}") for k in keys], *[f"_{w}_before" for w in weights])
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_r{k}"))
-    joined = rows.join(right, match, "inner")
-    out = [F.col(c) for c in df.columns]
-    out += [(F.col(f"_{w}_before") + F.col(f"_{w}_in")).alias(f"{w}_run") for w in weights]
-    return joined.select(*out)
+    sums = rows.groupBy(*keys).agg(*[F.sum(w).alias(f"_{w}_sum") for w in weights])
+    offsets = sums.select(*keys, *[F.coalesce(F.sum(f"_{w}_sum").over(earlier), F.lit(0)).alias(f"_{w}_before") for w in weights])
+    placed = rows.select("*", *[F.sum(w).over(inside).alias(f"_{w}_in") for w in weights])
+    return placed.join(offsets, keys).select(
+        *df.columns, *[(F.col(f"_{w}_before") + F.col(f"_{w}_in")).alias(f"{w}_run") for w in weights])
 
 
 def bucketed_rank(df: DataFrame, by: Sequence[str], bucket: Column, order: Sequence[str],

@@ -143,6 +143,15 @@ def with_record_hook(df: DataFrame, hook: Callable[[DataFrame], DataFrame] | Non
     return df.withColumn("record", record_to_map(line))
 
 
+def record_columns(df: DataFrame, schema: str | T.StructType, record: str = "record") -> DataFrame:
+    """Positional map values (``"00"``, ``"01"``, …) as the named, typed columns of ``schema``."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    values = [
+        F.expr(f"try_cast(`{record}`['{i:02d}'] as {f.dataType.simpleString()})").alias(f.name) for i, f in enumerate(fields)
+    ]
+    return df.select(*[c for c in df.columns if c != record], *values)
+
+
 def concat_columns(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Columns of two tables side by side, row by row on their common unique key."""
     return left.join(right, as_list(key), "inner")

@@ -59,7 +59,7 @@ def score_requests(requests: DataFrame, fitted: FittedColumns, model, domain: Se
         .when(missing | unknown, F.lit("Error transforming the input data."))
     )
     checked = parsed.withColumn("error", error)
-    keys = ["inference_id", "row_no", "accept"]
+    keys = ["inference_id", "row_no", "n_rows", "accept"]
     good = checked.filter("error IS NULL")
     bad = checked.filter("error IS NOT NULL").select(*keys, "error")
     return score_rows(good, fitted, model, domain, keys), bad

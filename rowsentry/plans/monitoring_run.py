@@ -22,7 +22,7 @@ def captured_features(captures: DataFrame, schema: str = FEATURE_DDL) -> tuple[D
 def data_quality_run(captures: DataFrame, constraints: DataFrame, schema: str = FEATURE_DDL) -> tuple[DataFrame, DataFrame]:
     """Hourly profile of captured inputs and its violations of the baseline."""
     good, _ = captured_features(captures, schema)
-    columns = [c for c in good.columns if c not in ("inference_id", "ts", "content_type", "row_no")]
+    columns = [c for c in good.columns if c not in ("inference_id", "ts", "content_type", "row_no", "n_rows")]
     profile = hourly.hourly_profile(good, columns, domains=quality.constraint_domains(constraints))
     return profile, hourly.hourly_violations(profile, constraints)
 

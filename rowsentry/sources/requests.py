@@ -37,29 +37,46 @@ def _fail_or_keep(df: DataFrame, strict: bool) -> DataFrame:
     return df.withColumn("error", checked)
 
 
-def _csv_rows(lines: DataFrame, fields: list[T.StructField]) -> DataFrame:
-    """Parse ``line`` into the feature columns; one value too many is a trailing label."""
+def _parse(df: DataFrame, fields: list[T.StructField], body: str, route: Column) -> DataFrame:
+    """One row per CSV line or JSON object, in a single pass over the requests.
+
+    Adds ``row_no`` from 0, ``n_rows`` of the request, the feature columns, and ``error``.
+    The parsers run inside a generator, which Spark evaluates once per row: in a projection, every
+    filter on ``error`` and every feature column would repeat them.
+    """
     n = len(fields)
-    exact = F.from_csv("line", _ddl(fields, f"{_BAD} STRING"), _csv_options())
-    labelled = F.from_csv("line", _ddl(fields, "_label STRING", f"{_BAD} STRING"), _csv_options())
-    parsed = (
-        lines.withColumn("_n", field_count("line"))
-        .withColumn("_exact", F.when(F.col("_n") == n, exact))
-        .withColumn("_labelled", F.when(F.col("_n") == n + 1, labelled))
-    )
+    is_csv, is_json = route == "csv", route == "json"
+    others = [c for c in df.columns if c != body]
+    pieces = F.when(is_csv, body_lines(body)).otherwise(F.array(F.col(body)))
+    counted = F.transform(pieces, lambda x: F.struct(x.alias("line"), F.when(is_csv, field_count(x)).alias("n")))
+    lines = df.select(*others, counted.alias("_pieces")).select(
+        *others, F.greatest(F.size("_pieces"), F.lit(1)).alias("n_rows"), F.posexplode_outer("_pieces").alias("row_no", "_piece"),
+    ).select(*others, "n_rows", "row_no", F.col("_piece.line").alias("_line"), F.col("_piece.n").alias("_n"))
+    count = F.col("_n")
+    # A line without the trailing label gets an empty one, so that one schema reads both kinds.
+    full = F.concat(F.col("_line"), F.when(count == n, ",").otherwise(""))
+    read_csv = F.from_csv(full, _ddl(fields, "_label STRING", f"{_BAD} STRING"), _csv_options())
+    read_json = F.from_json("_line", _ddl(fields, f"{_BAD} STRING"), {"columnNameOfCorruptRecord": _BAD})
+    names = F.array(*[F.lit(f.name) for f in fields])
+    parsed = lines.select(*others, "n_rows", "row_no", F.inline(F.array(F.struct(
+        F.col("_line").isNull().alias("_empty"), count.alias("_n"),
+        F.when(is_csv & count.isin(n, n + 1), read_csv).alias("_csv"),
+        F.when(is_json, read_json).alias("_json"),
+        F.when(is_json, F.array_except(names, F.json_object_keys(F.col("_line")))).alias("_absent"),
+    ))))
+    broken = F.coalesce(F.col(f"_csv.{_BAD}"), F.col(f"_json.{_BAD}")).isNotNull() | (is_json & F.col("_absent").isNull())
     arity = F.concat(F.lit(f"Expected {n} values, got "), F.col("_n").cast("string"), F.lit("."))
-    broken = F.coalesce(F.col(f"_exact.{_BAD}"), F.col(f"_labelled.{_BAD}")).isNotNull()
     error = (
-        F.when(F.col("error").isNotNull(), F.col("error"))
+        F.when(~is_csv & ~is_json, _unsupported(F.col("content_type")) if "content_type" in others else F.lit(_UNREADABLE))
+        .when(F.col("_empty"), F.lit(NO_INPUT))
         .when(~F.col("_n").isin(n, n + 1), arity)
         .when(broken, F.lit(_UNREADABLE))
+        .when(F.size("_absent") > 0, F.concat(F.lit("Missing values: "), F.concat_ws(", ", "_absent")))
     )
-    values = [
-        F.when(error.isNull(), F.coalesce(F.col(f"_exact.`{f.name}`"), F.col(f"_labelled.`{f.name}`"))).alias(f.name)
-        for f in fields
-    ]
-    kept = [c for c in lines.columns if c not in ("line", "error")]
-    return parsed.select(*kept, *values, error.alias("error"))
+    values = [F.coalesce(F.col(f"_csv.`{f.name}`"), F.col(f"_json.`{f.name}`")) for f in fields]
+    return parsed.withColumn("error", error).select(
+        *others, F.coalesce("row_no", F.lit(0)).alias("row_no"), "n_rows",
+        *[F.when(F.col("error").isNull(), v).alias(f.name) for f, v in zip(fields, values)], "error")
 
 
 def parse_csv_requests(df: DataFrame, schema: str | T.StructType = FEATURE_DDL, body: str = "body",
@@ -67,60 +84,33 @@ def parse_csv_requests(df: DataFrame, schema: str | T.StructType = FEATURE_DDL,
     """One feature row per non-blank line of each CSV body, numbered by ``row_no`` from 0.
 
     A null or blank body, a wrong number of values, or an unreadable number gives ``error`` and
-    null features; with ``strict`` it raises.
+    null features; with ``strict`` it raises. One value too many is a trailing label, ignored.
     """
-    others = [c for c in df.columns if c != body]
-    lines = df.select(*others, F.posexplode_outer(body_lines(body)).alias("row_no", "line"))
-    lines = lines.withColumn("row_no", F.coalesce("row_no", F.lit(0)))
-    lines = lines.withColumn("error", F.when(F.col("line").isNull(), F.lit(NO_INPUT)))
-    return _fail_or_keep(_csv_rows(lines, _fields(schema)), strict)
+    return _fail_or_keep(_parse(df, _fields(schema), body, F.lit("csv")), strict)
 
 
 def parse_json_requests(df: DataFrame, schema: str | T.StructType = FEATURE_DDL, body: str = "body",
                         strict: bool = False) -> DataFrame:
     """One feature row per JSON object, bound by name; further keys are ignored."""
-    fields = _fields(schema)
-    names = F.array(*[F.lit(f.name) for f in fields])
-    parsed = F.from_json(body, _ddl(fields, f"{_BAD} STRING"), {"columnNameOfCorruptRecord": _BAD})
-    keys = F.json_object_keys(F.col(body))
-    absent = F.array_except(names, keys)
-    error = (
-        F.when(F.col(body).isNull(), F.lit(NO_INPUT))
-        .when(keys.isNull() | F.col(f"_row.{_BAD}").isNotNull(), F.lit(_UNREADABLE))
-        .when(F.size(absent) > 0, F.concat(F.lit("Missing values: "), F.concat_ws(", ", absent)))
-    )
-    others = [c for c in df.columns if c != body]
-    out = df.withColumn("_row", parsed).withColumn("error", error).select(
-        *others,
-        F.lit(0).alias("row_no"),
-        *[F.when(F.col("error").isNull(), F.col(f"_row.`{f.name}`")).alias(f.name) for f in fields],
-        "error",
-    )
-    return _fail_or_keep(out, strict)
+    return _fail_or_keep(_parse(df, _fields(schema), body, F.lit("json")), strict)
+
+
+def _route(content_type: Column) -> Column:
+    return F.when(content_type == CSV_TYPE, "csv").when(content_type == JSON_TYPE, "json").otherwise("rejected")
 
 
 def route_by_content_type(df: DataFrame, content_type: str = "content_type", strict: bool = False) -> DataFrame:
     """Add ``route`` (``csv``, ``json`` or ``rejected``) and, for the last, ``error``."""
     ct = F.col(content_type)
     known = F.coalesce(ct.isin(CSV_TYPE, JSON_TYPE), F.lit(False))
-    routed = df.withColumn(
-        "route", F.when(ct == CSV_TYPE, "csv").when(ct == JSON_TYPE, "json").otherwise("rejected")
-    ).withColumn("error", F.when(~known, _unsupported(ct)))
+    routed = df.withColumn("route", _route(ct)).withColumn("error", F.when(~known, _unsupported(ct)))
     return _fail_or_keep(routed, strict)
 
 
 def parse_requests(df: DataFrame, schema: str | T.StructType = FEATURE_DDL, body: str = "body",
-                   content_type: str = "content_type", strict: bool = False) -> DataFrame:
-    """Route each request by its content type and parse it; rejected ones keep an ``error`` row."""
-    fields = _fields(schema)
-    routed = route_by_content_type(df, content_type)
-    csv = parse_csv_requests(routed.filter("route = 'csv'").drop("error"), schema, body)
-    json = parse_json_requests(routed.filter("route = 'json'").drop("error"), schema, body)
-    refused = routed.filter("route = 'rejected'").drop(body).withColumn("row_no", F.lit(0))
-    for f in fields:
-        refused = refused.withColumn(f.name, F.lit(None).cast(f.dataType))
-    out = csv.unionByName(json).unionByName(refused).drop("route")
-    return _fail_or_keep(out, strict)
+                   strict: bool = False) -> DataFrame:
+    """Parse each request by its ``content_type``; rejected ones keep a row with an ``error``."""
+    return _fail_or_keep(_parse(df, _fields(schema), body, _route(F.col("content_type"))), strict)
 
 
 def split_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -45,30 +45,39 @@ def render_instances(df: DataFrame, features: str | list[str], request: str | No
     )
 
 
-def prediction_json(prediction: Column, conf: Column) -> Column:
-    return F.struct(prediction.alias("0"), conf.alias("1"))
-
-
 def render_predictions(df: DataFrame, request: str = "inference_id", accept: str = "accept",
                        prediction: str = "prediction", conf: str = "confidence",
-                       position: str = "row_no", strict: bool = False) -> DataFrame:
+                       position: str = "row_no", rows: str = "n_rows", strict: bool = False) -> DataFrame:
     """The answer text of each request in the type it accepts: ``response`` or ``error``.
 
     CSV is one ``class,confidence`` line per row. JSON is a list of ``{"0": class, "1":
-    confidence}``, or that object alone when the request had a single row. The rows of one
-    request are one message, so a request is the largest unit brought together.
+    confidence}``, or that object alone when the request had a single row.
+
+    Requests known to have a single row (column ``rows``) are rendered where they are, without a
+    shuffle. The rows of a longer one are brought together by its id, which must be unique: such
+    a request is one message, and the largest unit that is gathered.
     """
-    item = F.struct(F.col(position).alias("p"), F.col(prediction).alias("0"), F.col(conf).alias("1"))
-    grouped = df.groupBy(request, accept).agg(F.array_sort(F.collect_list(item)).alias("rows"))
-    objects = F.transform("rows", lambda r: F.struct(r["0"].alias("0"), r["1"].alias("1")))
-    lines = F.array_join(
-        F.transform("rows", lambda r: F.concat_ws(",", r["0"], r["1"].cast("string"))), "\n")
-    json = F.when(F.size("rows") == 1, F.to_json(F.element_at(objects, 1))).otherwise(F.to_json(objects))
     kind = F.col(accept)
-    refused = F.concat(F.coalesce(kind, F.lit("null")), F.lit(" accept type is not supported."))
+    line = F.concat_ws(",", F.col(prediction), F.col(conf).cast("string"))
+    object_ = F.to_json(F.struct(F.col(prediction).alias("0"), F.col(conf).alias("1")))
+    refused = F.when(~F.coalesce(kind.isin(CSV_TYPE, JSON_TYPE), F.lit(False)),
+                     F.concat(F.coalesce(kind, F.lit("null")), F.lit(" accept type is not supported.")))
+
+    def answer(csv: Column, json: Column) -> Column:
+        return F.when(kind == CSV_TYPE, csv).when(kind == JSON_TYPE, json).alias("response")
+
+    several = df
+    if rows in df.columns:
+        several = df.filter(F.col(rows) > 1)
+        single = df.filter(F.col(rows) == 1).select(request, accept, answer(line, object_), refused.alias("error"))
+    item = F.struct(F.col(position).alias("p"), line.alias("line"), object_.alias("object"))
+    grouped = several.groupBy(request, accept).agg(F.array_sort(F.collect_list(item)).alias("rows"))
+    objects = F.array_join("rows.object", ",")
+    listed = F.when(F.size("rows") == 1, objects).otherwise(F.concat(F.lit("["), objects, F.lit("]")))
+    nameless = F.when(F.col(request).isNull(), F.lit("A request of several rows needs an id."))
     out = grouped.select(
-        request, accept,
-        F.when(kind == CSV_TYPE, lines).when(kind == JSON_TYPE, json).alias("response"),
-        F.when(~F.coalesce(kind.isin(CSV_TYPE, JSON_TYPE), F.lit(False)), refused).alias("error"),
-    )
+        request, accept, F.when(nameless.isNull(), answer(F.array_join("rows.line", "\n"), listed)).alias("response"),
+        F.coalesce(refused, nameless).alias("error"))
+    if rows in df.columns:
+        out = single.unionByName(out)
     return _fail_or_keep(out, strict)

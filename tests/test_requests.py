@@ -97,5 +97,22 @@ def test_rendered_predictions(spark):
     assert json.loads(got["s"]["response"]) == {"0": "Adelie", "1": 0.1}
     assert got["c"]["response"] == "Adelie,0.5\nGentoo,0.25"
     assert got["x"]["response"] is None and got["x"]["error"] == "x accept type is not supported."
+    single = df.withColumn("n_rows", F.when(F.col("inference_id").isin("s", "x"), 1).otherwise(F.when(F.col("inference_id") == "c", 2).otherwise(3)))
+    again = {r["inference_id"]: (r["response"], r["error"]) for r in res.render_predictions(single).collect()}
+    assert again == {k: (r["response"], r["error"]) for k, r in got.items()}
     with pytest.raises(Exception, match="accept type is not supported"):
         res.render_predictions(df.filter("inference_id = 'x'"), strict=True).collect()
+
+
+def test_single_row_requests_are_answered_without_a_shuffle(spark):
+    df = spark.createDataFrame([(None, "text/csv", 0, 1, "Adelie", 0.5), (None, "text/csv", 0, 1, "Gentoo", 0.25)],
+                               "inference_id STRING, accept STRING, row_no INT, n_rows INT, prediction STRING, confidence DOUBLE")
+    assert sorted(r["response"] for r in res.render_predictions(df).collect()) == ["Adelie,0.5", "Gentoo,0.25"]
+    several = df.withColumn("n_rows", F.lit(2))
+    assert [r["error"] for r in res.render_predictions(several).collect()] == ["A request of several rows needs an id."]
+
+
+def test_request_sizes(spark):
+    df = spark.createDataFrame([("a", "text/csv", "1\n2\n\n3"), ("b", "text/csv", None), ("c", "application/json", '{"x": 1}'), ("d", "z", "q")], DDL)
+    got = [(r["inference_id"], r["row_no"], r["n_rows"], r["x"]) for r in req.parse_requests(df, "x INT").orderBy("inference_id", "row_no").collect()]
+    assert got == [("a", 0, 3, 1), ("a", 1, 3, 2), ("a", 2, 3, 3), ("b", 0, 1, None), ("c", 0, 1, 1), ("d", 0, 1, None)]

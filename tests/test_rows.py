@@ -41,6 +41,12 @@ def test_record_to_map_pads_keys_and_keeps_blanks(spark):
     assert hooked.first()["record"] == "TORGERSEN,39.1,18.7"
 
 
+def test_record_columns_bind_names_and_types(spark):
+    df = spark.createDataFrame([("Torgersen,39.1",), ("Dream,x",), ("Dream",)], "input STRING")
+    out = rows.record_columns(rows.with_record_hook(df), "island STRING, culmen_length_mm DOUBLE").drop("input")
+    assert [tuple(r) for r in out.collect()] == [("Torgersen", 39.1), ("Dream", None), ("Dream", None)]
+
+
 EVENT_DDL = ("`detail-type` STRING, source ARRAY<STRING>, detail STRUCT<ModelPackageGroupName: STRING, "
              "ModelPackageVersion: INT, ModelApprovalStatus: STRING>")
 
