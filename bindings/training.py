@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from bindings.catalog import query, table
+from bindings.catalog import query, split_sql, table
 from rowsentry.operators import features, scoring, split, train
 
 WIDTH, CLASSES, EPOCHS = 64, 10, 10
@@ -51,6 +51,16 @@ def predict_proba(spark, sf):
     return scoring.predict_proba(model, test).select("vec_id", "probabilities")
 
 
+@query(f"""
+  SELECT vec_id, CAST(1.0 AS DOUBLE) AS total, {CLASSES} AS width
+  FROM ({split_sql("SELECT * FROM embeddings", "label", "vec_id", "'42'", keep="vec_id")}) WHERE split = 'test'
+""")
+def predict_proba_totals(spark, sf):
+    """Which rows are scored, and that their probabilities add up."""
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)
+    return predict_proba(spark, sf).select("vec_id", F.round(total, 6).alias("total"), F.size("probabilities").alias("width"))
+
+
 _ORDER_DDL = "o_orderstatus STRING, o_totalprice DOUBLE, o_custkey BIGINT"
 _PRIORITY = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
@@ -79,6 +89,19 @@ def score_requests(spark, sf):
     return scoring.answer_requests(scored)
 
 
+@query(f"""
+  SELECT CAST(o_orderkey AS VARCHAR) AS inference_id, CASE WHEN o_orderkey % 2 = 0 THEN 'text/csv' ELSE 'application/json' END AS accept,
+         CAST(NULL AS VARCHAR) AS error, true AS in_domain, true AS in_range FROM orders
+""")
+def score_requests_checked(spark, sf):
+    """That every request is answered in its type, with a class of the domain and a confidence."""
+    answers = score_requests(spark, sf)
+    is_csv = F.col("accept") == "text/csv"
+    name = F.when(is_csv, F.substring_index("response", ",", 1)).otherwise(F.get_json_object("response", "$.0"))
+    share = F.when(is_csv, F.substring_index("response", ",", -1)).otherwise(F.get_json_object("response", "$.1")).cast("double")
+    return answers.select("inference_id", "accept", "error", name.isin(_PRIORITY).alias("in_domain"), share.between(0.2, 1.0).alias("in_range"))
+
+
 @query("""
   SELECT o_orderkey, CASE WHEN o_totalprice > 250000 THEN 'large' ELSE 'small' END AS prediction FROM orders
 """)

@@ -28,11 +28,11 @@ def running_total(df: DataFrame, by: Sequence[str], bucket: Column, order: Seque
 
     ``bucket`` must not decrease along ``order``; ``order`` must be total.
     """
-    # As a struct the group is never null itself, and equal when its parts are equal or both null;
-    # window and join then share one partitioning of the rows.
+    # As structs group and bucket are never null themselves, and equal when their parts are equal
+    # or both null, so the join loses no row; it shares the window's partitioning of the rows.
     group = F.struct(*by) if by else F.struct(F.lit(0))
     keys = ["_group", "_bucket"]
-    rows = df.withColumn("_group", group).withColumn("_bucket", bucket)
+    rows = df.withColumn("_group", group).withColumn("_bucket", F.struct(bucket.alias("b")))
     earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     sums = rows.groupBy(*keys).agg(*[F.sum(w).alias(f"_{w}_sum") for w in weights])

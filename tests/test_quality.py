@@ -91,6 +91,12 @@ def test_bucketed_rank_equals_a_window(spark):
     assert all(want[r["g"]][r["rank"] - 1] == r["id"] for r in got)
 
 
+def test_rank_keeps_rows_without_a_bucket(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, None), (4, 7)], "id INT, t INT")
+    got = {r["id"]: r["rank"] for r in ranking.bucketed_rank(df, [], F.col("t"), ["t", "id"]).collect()}
+    assert got == {1: 1, 3: 2, 2: 3, 4: 4}
+
+
 @settings(max_examples=20, deadline=None)
 @given(cuts=st.lists(st.integers(-5, 5), max_size=9, unique=True).map(sorted), v=st.integers(-7, 7))
 def test_range_bucket(spark, cuts, v):

@@ -134,3 +134,40 @@ def test_batch_monitoring_run(spark, labelled, folder):
     runs = spark.read.parquet(f"{folder}/runs")
     assert {(r["run_id"], r["last_status"]) for r in runs.collect()} == {("r1", "CompletedWithViolations"), ("r2", "Completed")}
     assert reports.read_violations(spark, f"{folder}/violations/r1").first()["check"] == "unseen_category"
+
+
+def package_event(group, arn, status, minute):
+    import json
+
+    return json.dumps({"detail-type": "Package State Change", "source": ["registry"], "time": f"2024-02-03T04:{minute:02d}:06Z", "resources": [arn],
+                       "detail": {"ModelPackageGroupName": group, "ModelPackageVersion": minute, "ModelPackageArn": arn,
+                                  "ModelPackageStatus": "Completed", "ModelApprovalStatus": status}})
+
+
+def test_approvals_deploy_and_rejections_do_not(spark, folder):
+    from pathlib import Path
+
+    from rowsentry.plans import deployment_run as run
+    from rowsentry.sources.events import read_package_events, stream_package_events
+
+    Path(f"{folder}/in").mkdir()
+
+    def drop(name, *lines):
+        Path(f"{folder}/in/{name}.json").write_text("\n".join(lines))
+
+    def follow():
+        run.start_deployments(spark, stream_package_events(spark, f"{folder}/in"), folder, f"{folder}/ck", ["g", "h"]).awaitTermination(120)
+        return {r["endpoint"]: (r["artifact"], r["config"], r["action"]) for r in run.current_deployments(spark, folder).collect()}
+
+    drop("a", package_event("g", "v1", "Approved", 1), package_event("h", "w1", "Rejected", 1), package_event("x", "z", "Approved", 1), '{"source": ["other"]}')
+    assert follow() == {"g": ("v1", "g-config-0203040106", "created")}
+    drop("b", package_event("g", "v2", "Approved", 2), package_event("g", "v3", "Approved", 3), package_event("h", "w2", "Approved", 3))
+    assert follow() == {"g": ("v3", "g-config-0203040306", "updated"), "h": ("w2", "h-config-0203040306", "created")}
+    events = read_package_events(spark, f"{folder}/in/b.json")
+    run.deploy_approved(spark, events, folder, 1)
+    assert {r["action"] for r in run.current_deployments(spark, folder).collect()} == {"updated", "created"}
+    drop("c", package_event("g", "v9", "Rejected", 9))
+    assert follow()["g"][0] == "v3"
+    monitors = run.create_missing_monitors(spark, run.current_deployments(spark, folder), folder)
+    assert monitors.count() == 4
+    assert run.create_missing_monitors(spark, run.current_deployments(spark, folder), folder).count() == 4
