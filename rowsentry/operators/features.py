@@ -228,7 +228,15 @@ def transform_with(df: DataFrame, fitted: FittedColumns, by: str | None = None,
         for c in fitted.categorical:
             value = F.col(c).cast("string")
             df = df.filter(_by_fold(fitted, by, lambda f, c=c, value=value: value.isin(fitted.categories[f].get(c, []))))
-    out = [F.col(c) for c in keep]
+    out = feature_columns(fitted, by, unseen)
+    if with_label and fitted.label:
+        out.extend(_indicators(fitted, fitted.label, by, unseen))
+    return df.select(*[F.col(c) for c in keep], *out)
+
+
+def feature_columns(fitted: FittedColumns, by: str | None = None, unseen: str = "error") -> list[Column]:
+    """The scaled numbers and indicators as expressions over the raw columns."""
+    out = []
     for c in fitted.numeric:
         def one(f, c=c):
             mean, std = fitted.means[f][c]
@@ -236,9 +244,7 @@ def transform_with(df: DataFrame, fitted: FittedColumns, by: str | None = None,
         out.append(_by_fold(fitted, by, one).alias(c))
     for c in fitted.categorical:
         out.extend(_indicators(fitted, c, by, unseen))
-    if with_label and fitted.label:
-        out.extend(_indicators(fitted, fitted.label, by, unseen))
-    return df.select(*out)
+    return out
 
 
 def apply_one_hot(df: DataFrame, fitted: FittedColumns, by: str | None = None, keep: Sequence[str] = (),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowsentry.fixed_values import FEATURE_DDL
 from rowsentry.functions.arrays import argmax, confidence, decode_label
-from rowsentry.operators.features import FittedColumns, transform_with
+from rowsentry.operators.features import FittedColumns, feature_columns, transform_with
 from rowsentry.sources.requests import parse_requests
 from rowsentry.sources.responses import render_predictions
 
@@ -40,6 +40,24 @@ def score_rows(df: DataFrame, fitted: FittedColumns, model, domain: Sequence[str
     return scored.select(*keep, "prediction", "confidence")
 
 
+def score_by_models(df: DataFrame, fitted: dict[int, FittedColumns], models: dict, domain: Sequence[str], label: str,
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """Every row scored by each fold's model with that fold's fit, in one scan.
+
+    Rows of ``keep``, ``model`` (``model_<fold>``), ``truth``, ``prediction`` and ``confidence``.
+    """
+    vectors = [array_to_vector(F.array(*feature_columns(fitted[f], unseen="keep"))).alias(f"_v{f}") for f in models]
+    rows = df.select(*keep, F.col(label).alias("truth"), *vectors)
+    for f, model in models.items():
+        named = rows.withColumnRenamed(f"_v{f}", model.getFeaturesCol())
+        rows = predict_proba(model, named, f"_p{f}").drop(model.getFeaturesCol())
+    each = [
+        F.struct(F.lit(f"model_{f}").alias("model"), decode_label(argmax(f"_p{f}"), domain).alias("prediction"),
+                 confidence(f"_p{f}").alias("confidence")) for f in models
+    ]
+    return rows.select(*keep, "truth", F.inline(F.array(*each)))
+
+
 def score_requests(requests: DataFrame, fitted: FittedColumns, model, domain: Sequence[str],
                    schema: str = FEATURE_DDL, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """Requests (``inference_id, content_type, accept, body``) to answers.

@@ -66,7 +66,8 @@ def join_unique(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     keys = as_list(on)
 
     def text(df: DataFrame) -> Column:
-        return F.concat_ws("\x1f", *[df[k].cast("string") for k in keys])
+        parts = [df[k].cast("string") for k in keys]
+        return parts[0] if len(parts) == 1 else F.concat_ws("\x1f", *parts)
 
     def no_null(df: DataFrame) -> Column:
         out = F.lit(True)

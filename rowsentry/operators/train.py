@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     LogisticRegression, MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -20,6 +20,7 @@ from rowsentry.fixed_values import (
 from rowsentry.functions.names import as_list
 
 SEED = 42
+SMALLEST_PROBABILITY = 1e-15
 
 
 def train_classifier(df: DataFrame, n_features: int, n_classes: int, hidden: Sequence[int] = HIDDEN_LAYERS,
@@ -41,12 +42,13 @@ def train_logistic(df: DataFrame, epochs: int = DEFAULT_EPOCHS, features: str =
 
 
 def fold_metrics(model, validation: DataFrame, label: str = "label") -> dict[str, float]:
-    """Validation ``val_loss`` and ``val_accuracy`` of a fitted model."""
-    scored = model.transform(validation.withColumn(label, F.col(label).cast("double"))).select(
-        label, "prediction", "probability")
-    metric = MulticlassClassificationEvaluator(labelCol=label)
-    return {"val_loss": metric.evaluate(scored, {metric.metricName: "logLoss"}),
-            "val_accuracy": metric.evaluate(scored, {metric.metricName: "accuracy"})}
+    """Validation ``val_loss`` (cross-entropy) and ``val_accuracy`` of a fitted model, in one pass."""
+    truth = F.col(label).cast("double")
+    chosen = F.element_at(vector_to_array("probability"), truth.cast("int") + 1)
+    row = model.transform(validation).agg(
+        F.avg(-F.log(F.greatest(chosen, F.lit(SMALLEST_PROBABILITY)))).alias("val_loss"),
+        F.avg((truth == F.col("prediction")).cast("double")).alias("val_accuracy")).first()
+    return {"val_loss": row["val_loss"], "val_accuracy": row["val_accuracy"]}
 
 
 @dataclass(frozen=True)
@@ -64,13 +66,16 @@ class FoldModels:
 def train_over_folds(df: DataFrame, folds: Sequence[int], n_features: int, n_classes: int,
                      hidden: Sequence[int] = HIDDEN_LAYERS, epochs: int = DEFAULT_EPOCHS, batch: int = BATCH_SIZE,
                      seed: int = SEED, warm_start: bool = True, fold: str = "fold", split: str = "split",
-                     features: str = "features", label: str = "label") -> FoldModels:
+                     features: str = "features", label: str = "label", persist: bool = True) -> FoldModels:
     """One model per fold; with ``warm_start`` each goes on from the previous fold's weights.
 
     Warm-started models have seen rows of earlier folds, so their validation score is
-    optimistic. The rows are read once and kept (spilling to disk) while the fits iterate.
+    optimistic. Each fit keeps its own stacked rows while it iterates; ``persist`` also keeps
+    (and spills) the input, which pays when that is costly to compute and not when it is a
+    stored table of splits.
     """
-    held = df.select(fold, split, features, label).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.select(fold, split, features, label)
+    held = rows.persist(StorageLevel.MEMORY_AND_DISK) if persist else rows
     models: dict = {}
     metrics: dict = {}
     weights = None
@@ -83,28 +88,30 @@ def train_over_folds(df: DataFrame, folds: Sequence[int], n_features: int, n_cla
             metrics[f] = fold_metrics(models[f], valid, label)
             weights = models[f].weights if warm_start else None
     finally:
-        held.unpersist()
+        if persist:
+            held.unpersist()
     return FoldModels(models, metrics)
 
 
-def tune(df: DataFrame, folds: Sequence[int], n_features: int, n_classes: int,
-         trials: Sequence[int] = TUNING_EPOCHS, parallel: int = 3, **training) -> tuple[DataFrame, dict]:
+def tune(df: DataFrame, folds: Sequence[int], n_features: int, n_classes: int, trials: Sequence[int] = TUNING_EPOCHS,
+         parallel: int = 3, persist: bool = True, **training) -> tuple[DataFrame, dict]:
     """Train once per epoch count, some at a time; ``(trial, epochs, val_accuracy)`` and the models.
 
-    The objective is the validation accuracy after the last fold.
+    The objective is the validation accuracy after the last fold. The trials share one kept copy
+    of the rows when ``persist`` is set.
     """
-
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
 
     def run(trial: int) -> FoldModels:
-        return train_over_folds(held, folds, n_features, n_classes, epochs=trials[trial], **training)
+        return train_over_folds(held, folds, n_features, n_classes, epochs=trials[trial], persist=False, **training)
 
     pool = ThreadPool(min(parallel, len(trials)))
     try:
         results = pool.map(inheritable_thread_target(df.sparkSession)(run), range(len(trials)))
     finally:
         pool.close()
-        held.unpersist()
+        if persist:
+            held.unpersist()
     last = list(folds)[-1]
     rows = [(i, int(trials[i]), float(r.metrics[last]["val_accuracy"])) for i, r in enumerate(results)]
     table = df.sparkSession.createDataFrame(rows, "trial INT, epochs INT, val_accuracy DOUBLE")

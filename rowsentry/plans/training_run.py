@@ -50,14 +50,8 @@ def fit_folds(splits: DataFrame, folder: str, key: Sequence[str], label: str = L
 
 def score_test(splits: DataFrame, fitted: features.FittedColumns, models: dict, key: Sequence[str], label: str) -> DataFrame:
     """The test rows scored by the model of each fold with that fold's fit."""
-    test = splits.filter("split = 'test'").drop("split", "fold")
-    domain = fitted.domain(label)
-    out = None
-    for f, model in models.items():
-        scored = scoring.score_rows(test, fitted.only(f), model, domain, [*key, label])
-        part = scored.withColumnRenamed(label, "truth").withColumn("model", F.lit(f"model_{f}"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    test = splits.filter("split = 'test'")
+    return scoring.score_by_models(test, {f: fitted.only(f) for f in models}, models, fitted.domain(label), label, key)
 
 
 def baselines(splits: DataFrame, predictions: DataFrame, folder: str, key: Sequence[str], label: str) -> None:
@@ -87,7 +81,7 @@ def training_run(spark: SparkSession, df: DataFrame, group: str, key: str | Sequ
     vectors, fitted = fit_folds(splits, folder, keys, label)
     numbers = list(range(1, folds + 1))
     trials, results = train.tune(vectors, numbers, len(fitted.feature_names), len(fitted.domain(label)),
-                                 trials=epochs, hidden=hidden)
+                                 trials=epochs, hidden=hidden, persist=False)
     best = results[train.top_models(trials).first()["trial"]]
     train.save_models(best.models, f"{folder}/models")
     score_test(splits, fitted, best.models, keys, label).write.mode("overwrite").parquet(f"{folder}/predictions")

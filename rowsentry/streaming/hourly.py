@@ -16,9 +16,8 @@ LATENESS = "1 hour"
 
 
 def timed(df: DataFrame, ts: str = "ts", lateness: str = LATENESS) -> DataFrame:
-    """The event time as TIMESTAMP, under a watermark when ``df`` is a stream."""
-    out = df.withColumn(ts, F.col(ts).cast("timestamp"))
-    return out.withWatermark(ts, lateness) if df.isStreaming else out
+    """A stream with its event time as TIMESTAMP under a watermark; a table as it is."""
+    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness) if df.isStreaming else df
 
 
 def hourly_profile(df: DataFrame, columns: Sequence[str], ts: str = "ts", lateness: str = LATENESS,

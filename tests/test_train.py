@@ -29,6 +29,25 @@ def test_a_model_per_fold_with_metrics(spark, fitted_models):
     assert all(m["val_accuracy"] > 0.8 for m in fitted_models.metrics.values())
 
 
+def test_fold_metrics_agree_with_sparks_own(prepared, fitted_models):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    valid = prepared[0].filter("fold = 2 and split = 'validation'")
+    scored = fitted_models.models[2].transform(valid.withColumn("label", F.col("label").cast("double")))
+    assert fitted_models.metrics[2]["val_loss"] == pytest.approx(MulticlassClassificationEvaluator(metricName="logLoss").evaluate(scored))
+    assert fitted_models.metrics[2]["val_accuracy"] == pytest.approx(MulticlassClassificationEvaluator(metricName="accuracy").evaluate(scored))
+
+
+def test_scoring_by_all_models_equals_one_by_one(labelled, prepared, fitted_models):
+    fitted = {f: prepared[1].only(f) for f in (1, 2, 3)}
+    together = scoring.score_by_models(labelled, fitted, fitted_models.models, LABEL_DOMAIN, "species", ["id"])
+    assert together.count() == 3 * 333
+    for f in (1, 2, 3):
+        alone = scoring.score_rows(labelled, fitted[f], fitted_models.models[f], LABEL_DOMAIN, ["id"])
+        part = together.filter(F.col("model") == f"model_{f}").select("id", "prediction", "confidence")
+        assert part.exceptAll(alone).isEmpty()
+
+
 def test_warm_start_continues_from_the_last_weights(prepared):
     cold = train.train_over_folds(prepared[0], [1, 2], 9, 3, epochs=3, warm_start=False)
     warm = train.train_over_folds(prepared[0], [1, 2], 9, 3, epochs=3)
