@@ -122,8 +122,22 @@ def test_profile(sample):
 
 
 def test_profile_of_many_columns(spark):
-    wide = spark.range(10).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(230)])
-    assert quality.profile_columns(wide).count() == 230
+    wide = spark.range(10).selectExpr(*[f"id * {i} as c{i}" for i in range(130)])
+    got = {r["column"]: (r["sum"], r["n_distinct"]) for r in quality.profile_columns(wide).collect()}
+    assert got == {f"c{i}": (45.0 * i, 10 if i else 1) for i in range(130)}
+
+
+def test_profile_of_odd_names_values_and_empty_columns(spark):
+    df = spark.createDataFrame([("it's", None), ("back\\slash", None), ("plain", None)], "`a b'c` STRING, none STRING")
+    got = {r["column"]: r for r in quality.profile_columns(df, domains={"a b'c": ["it's", "back\\slash"], "none": []}).collect()}
+    assert (got["a b'c"]["n_unseen"], got["a b'c"]["n_distinct"]) == (1, 3)
+    assert (got["none"]["n_unseen"], got["none"]["n_distinct"], got["none"]["completeness"]) == (0, 0, 0.0)
+
+
+def test_estimated_distinct_counts_are_close(spark):
+    df = spark.range(50000).selectExpr("id", "id / 3 as x", "cast(id % 7000 as string) as s")
+    got = {r["column"]: r["n_distinct"] for r in quality.profile_columns(df).collect()}
+    assert abs(got["id"] / 50000 - 1) < 0.06 and abs(got["x"] / 50000 - 1) < 0.06 and abs(got["s"] / 7000 - 1) < 0.06
 
 
 def test_infer_types(spark):
