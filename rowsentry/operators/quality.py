@@ -35,11 +35,11 @@ def unpivot_numbers(df: DataFrame, cols: Sequence[str], keep: Sequence[str | Col
 
 
 def profile_columns(df: DataFrame, by: Sequence[str | Column] = (), columns: Sequence[str] | None = None,
-                    domains: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+                    domains: Mapping[str, Sequence[str]] | None = None, sketch: bool = True) -> DataFrame:
     """One row per column (and ``by``) from a single aggregation over the table.
 
     ``column, kind, n, n_null, completeness, n_distinct, mean, sum, std, min, max, n_unseen``.
-    ``n_distinct`` is a mergeable estimate (:func:`exact_distinct` counts exactly). ``n_unseen``
+    ``n_distinct`` is an estimate, null without ``sketch`` (:func:`exact_distinct` counts). ``n_unseen``
     counts the rows outside the column's entry in ``domains``. Runs on streams too, with a
     window as ``by``.
     """
@@ -49,7 +49,7 @@ def profile_columns(df: DataFrame, by: Sequence[str | Column] = (), columns: Seq
     kinds = {c: column_kind(df.schema[c].dataType) for c in names}
     out = None
     for start in range(0, len(names), COLUMNS_PER_PASS):
-        stats = [_column_stats(c, kinds[c], (domains or {}).get(c)) for c in names[start:start + COLUMNS_PER_PASS]]
+        stats = [_column_stats(c, kinds[c], (domains or {}).get(c), sketch) for c in names[start:start + COLUMNS_PER_PASS]]
         grouped = df.groupBy(*by).agg(F.array(*stats).alias("_stats"))
         group_names = [c for c in grouped.columns if c != "_stats"]
         part = grouped.select(*group_names, F.inline("_stats"))
@@ -63,7 +63,7 @@ def _text(value: str) -> str:
     return f"'{escaped}'"
 
 
-def _column_stats(name: str, kind: str, domain: Sequence[str] | None) -> Column:
+def _column_stats(name: str, kind: str, domain: Sequence[str] | None, sketch: bool) -> Column:
     """All statistics of one column as one SQL expression: tables of hundreds of columns plan fast."""
     c = "`" + name.replace("`", "``") + "`"
     x = f"cast({c} as double)"
@@ -76,7 +76,7 @@ def _column_stats(name: str, kind: str, domain: Sequence[str] | None) -> Column:
         unseen = f"count_if({c} is not null and cast({c} as string) not in ({listed}))" if domain else f"count({c})"
     parts = {
         "column": _text(name), "kind": _text(kind), "n": "count(1)", "n_null": f"count(1) - count({c})",
-        "completeness": f"count({c}) / count(1)", "n_distinct": f"coalesce(hll_sketch_estimate(hll_sketch_agg({item})), 0)",
+        "completeness": f"count({c}) / count(1)", "n_distinct": f"coalesce(hll_sketch_estimate(hll_sketch_agg({item})), 0)" if sketch else "cast(null as bigint)",
         **{k: v if kind != TEXT else "cast(null as double)" for k, v in numbers.items()}, "n_unseen": unseen,
     }
     return F.expr("named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")")
@@ -88,7 +88,16 @@ def exact_distinct(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
     Rows collapse to distinct values before the shuffle, so hot values cost nothing.
     """
     by = as_list(by)
-    values = unpivot_text(df, columns, by).filter("value IS NOT NULL").distinct()
+    # Each value stays in the lane of its type, so numbers are neither printed nor rounded.
+    lanes = {"i": "bigint", "d": "double", "s": "string"}
+
+    def value(c: str) -> Column:
+        kind = df.schema[c].dataType
+        lane = "i" if isinstance(kind, T.IntegralType) else "d" if isinstance(kind, (T.FloatType, T.DoubleType)) else "s"
+        return F.struct(F.lit(c).alias("column"),
+                        *[(F.col(c) if k == lane else F.lit(None)).cast(t).alias(k) for k, t in lanes.items()])
+
+    values = df.select(*by, F.inline(F.array(*[value(c) for c in columns]))).filter("i IS NOT NULL OR d IS NOT NULL OR s IS NOT NULL").distinct()
     return values.groupBy(*by, "column").agg(F.count("*").alias("n_distinct"))
 
 
@@ -97,7 +106,7 @@ def profile_columns_exact(df: DataFrame, by: Sequence[str] = (), columns: Sequen
     """:func:`profile_columns` with exact distinct counts."""
     by = as_list(by)
     names = [c for c in df.columns if c not in by] if columns is None else list(columns)
-    profile = profile_columns(df, by, names, domains)
+    profile = profile_columns(df, by, names, domains, sketch=False)
     order = profile.columns
     exact = exact_distinct(df, names, by)
     joined = profile.drop("n_distinct").join(exact, [*by, "column"], "left")
