@@ -100,16 +100,20 @@ def _small(table: DataFrame) -> tuple[DataFrame, int | None]:
     return (settled if size is None else F.broadcast(settled)), size
 
 
-def _place(rows: DataFrame, quotas: DataFrame, folds: int) -> DataFrame:
-    """``rows`` with ``_in_train``, given the quotas of the classes (alike in all folds)."""
+def _find_cuts(rows: DataFrame, quotas: DataFrame, folds: int) -> tuple[DataFrame, int | None]:
+    """The cuts of ``rows``, given the quotas of the classes (alike in all folds)."""
     lean = rows.select("_fold", "_label", "_h", "_k")
     wanted = quotas.filter("_quota > 0").count() * folds
     for spread in _SPREADS:
         cuts, size = _small(_cuts(lean, quotas, spread))
         if (cuts.count() if size is None else size) == wanted:
-            break
-    else:
-        raise ValueError("no cut near where a unique key would have it: the key does not identify the rows")
+            return cuts, size
+    raise ValueError("no cut near where a unique key would have it: the key does not identify the rows")
+
+
+def _apply_cuts(rows: DataFrame, found: tuple[DataFrame, int | None]) -> DataFrame:
+    """``rows`` with ``_in_train``; a class without a cut has none."""
+    cuts, size = found
     by = ["_fold", "_label"]
     joined = join_unique(rows, cuts, by, "left") if size is None else rows.join(cuts, by, "left")
     before = (F.col("_h") < F.col("_ch")) | ((F.col("_h") == F.col("_ch")) & (F.col("_k") <= F.col("_ck")))
@@ -125,20 +129,16 @@ def _keyed(df: DataFrame, label: str, key: Sequence[str]) -> DataFrame:
     return df.withColumn("_label", F.col(label)).withColumn("_k", row_key(*key))
 
 
-def _split(df: DataFrame, label: str, key: Sequence[str], seed: int, quotas: DataFrame) -> DataFrame:
-    rows = _keyed(df, label, key).withColumn("_fold", F.lit(0)).withColumn("_h", seeded_hash(seed, "_k"))
-    split = F.when(F.col("_in_train"), "train").otherwise("test")
-    return _place(rows, quotas, 1).withColumn("split", split).select(*df.columns, "split")
+def _split_rows(df: DataFrame, label: str, key: Sequence[str], seed: int) -> DataFrame:
+    return _keyed(df, label, key).withColumn("_fold", F.lit(0)).withColumn("_h", seeded_hash(seed, "_k"))
 
 
-def _folds(df: DataFrame, label: str, key: Sequence[str], folds: int, seed: int, quotas: DataFrame) -> DataFrame:
-    seeds = F.concat_ws("|", F.lit(str(seed)), F.col("_fold").cast("string"))
-    rows = (
-        _keyed(df, label, key).withColumn("_fold", F.explode(F.sequence(F.lit(1), F.lit(int(folds)))))
-        .withColumn("_h", seeded_hash(seeds, "_k"))
-    )
-    split = F.when(F.col("_in_train"), "train").otherwise("validation")
-    return _place(rows, quotas, folds).withColumn("split", split).withColumn("fold", F.col("_fold")).select(*df.columns, "fold", "split")
+def _fold_numbers(folds: int) -> Column:
+    return F.sequence(F.lit(1), F.lit(int(folds)))
+
+
+def _fold_hash(seed: int) -> Column:
+    return seeded_hash(F.concat_ws("|", F.lit(str(seed)), F.col("_fold").cast("string")), "_k")
 
 
 def stratified_split(df: DataFrame, label: str, key: str | Sequence[str], percent: int = TEST_PERCENT,
@@ -148,7 +148,9 @@ def stratified_split(df: DataFrame, label: str, key: str | Sequence[str], percen
     ``key`` must be unique; nulls in ``label``, classes of one row and splits smaller than the
     number of classes raise.
     """
-    return _split(df, label, as_list(key), seed, _class_quotas(df, label, percent))
+    rows = _split_rows(df, label, as_list(key), seed)
+    placed = _apply_cuts(rows, _find_cuts(rows, _class_quotas(df, label, percent), 1))
+    return placed.select(*df.columns, F.when(F.col("_in_train"), "train").otherwise("test").alias("split"))
 
 
 def stratified_folds(df: DataFrame, label: str, key: str | Sequence[str], folds: int = FOLDS,
@@ -157,7 +159,10 @@ def stratified_folds(df: DataFrame, label: str, key: str | Sequence[str], folds:
 
     The folds are independent re-splits of the same rows, so validation sets may overlap.
     """
-    return _folds(df, label, as_list(key), folds, seed, _class_quotas(df, label, percent))
+    rows = _keyed(df, label, as_list(key)).withColumn("_fold", F.explode(_fold_numbers(folds))).withColumn("_h", _fold_hash(seed))
+    placed = _apply_cuts(rows, _find_cuts(rows, _class_quotas(df, label, percent), folds))
+    side = F.when(F.col("_in_train"), "train").otherwise("validation")
+    return placed.select(*df.columns, F.col("_fold").alias("fold"), side.alias("split"))
 
 
 def append_folds(*parts: DataFrame) -> DataFrame:
@@ -170,15 +175,23 @@ def append_folds(*parts: DataFrame) -> DataFrame:
 
 def split_and_fold(df: DataFrame, label: str, key: str | Sequence[str], folds: int = FOLDS,
                    percent: int = TEST_PERCENT, test_seed: int = TEST_SEED, fold_seed: int = FOLD_SEED) -> DataFrame:
-    """The whole plan of splits in one table: ``test`` rows with fold 0, and the folds of the rest."""
+    """The whole plan of splits in one table: ``test`` rows with fold 0, and the folds of the rest.
+
+    Once the cuts are known, one scan places every row and unfolds the train rows.
+    """
     keys = as_list(key)
     quotas = _class_quotas(df, label, percent)
-    first = _split(df, label, keys, test_seed, quotas)
-    test = first.filter("split = 'test'").withColumn("fold", F.lit(0))
-    rest = first.filter("split = 'train'").drop("split")
+    rows = _split_rows(df, label, keys, test_seed)
+    placed = _apply_cuts(rows, _find_cuts(rows, quotas, 1)).drop("_h", "_fold")
     # The class counts of the rest are the quotas just met: no further count is needed.
-    left = _small(_quotas(quotas.filter("_quota > 0").select("_label", F.col("_quota").alias("_c")), percent))[0]
-    return append_folds(test.select(*df.columns, "fold", "split"), _folds(rest, label, keys, folds, fold_seed, left))
+    rest_quotas, _ = _small(_quotas(quotas.filter("_quota > 0").select("_label", F.col("_quota").alias("_c")), percent))
+    rest = placed.filter("_in_train").withColumn("_fold", F.explode(_fold_numbers(folds))).withColumn("_h", _fold_hash(fold_seed))
+    cuts = _find_cuts(rest, rest_quotas, folds)
+    unfolded = placed.withColumn("_test", ~F.col("_in_train")).drop("_in_train").withColumn(
+        "_fold", F.explode(F.when(F.col("_test"), F.array(F.lit(0))).otherwise(_fold_numbers(folds))))
+    final = _apply_cuts(unfolded.withColumn("_h", F.when(~F.col("_test"), _fold_hash(fold_seed))), cuts)
+    side = F.when(F.col("_test"), "test").when(F.col("_in_train"), "train").otherwise("validation")
+    return final.select(*df.columns, F.col("_fold").alias("fold"), side.alias("split"))
 
 
 def sample_percent(df: DataFrame, percent: int, key: str) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsentry.fixed_values import APPROVED_STATUS, MONITOR_TYPES
 from rowsentry.operators import monitors, registry
-from rowsentry.plans.training_run import path_exists
 from rowsentry.sources.events import flatten_package_events
+from rowsentry.sources.tables import read_if_present
 from rowsentry.streaming.events import start_events
 
 DEPLOYMENT_DDL = "endpoint STRING, artifact STRING, config STRING, action STRING"
@@ -18,10 +18,9 @@ MONITORS_DDL = "endpoint STRING, type STRING"
 
 def current_deployments(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
     """The state the last batch (before ``before``) left; empty when there is none."""
-    path = f"{folder}/deployments"
-    if not path_exists(spark, path):
+    states = read_if_present(spark, f"{folder}/deployments", f"{DEPLOYMENT_DDL}, batch BIGINT")
+    if states is None:
         return spark.createDataFrame([], DEPLOYMENT_DDL)
-    states = spark.read.schema(f"{DEPLOYMENT_DDL}, batch BIGINT").parquet(path)
     if before is not None:
         states = states.filter(F.col("batch") < before)
     newest = states.agg(F.max("batch")).scalar()
@@ -55,6 +54,8 @@ def create_missing_monitors(spark: SparkSession, deployments: DataFrame, folder:
                             types: Sequence[str] = MONITOR_TYPES) -> DataFrame:
     """Append the monitors that deployed endpoints lack, and return all monitors."""
     path = f"{folder}/monitors"
-    existing = spark.read.schema(MONITORS_DDL).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], MONITORS_DDL)
+    existing = read_if_present(spark, path, MONITORS_DDL)
+    if existing is None:
+        existing = spark.createDataFrame([], MONITORS_DDL)
     monitors.missing_monitors(monitors.required_monitors(deployments, types), existing).write.mode("append").parquet(path)
     return spark.read.schema(MONITORS_DDL).parquet(path)

@@ -105,9 +105,4 @@ def append_version(spark: SparkSession, entries: DataFrame, path: str) -> None:
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame | None:
     """The registry table, or nothing while no version has been registered."""
-    return spark.read.parquet(path) if path_exists(spark, path) else None
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return tables.read_if_present(spark, path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rowsentry.fixed_values import LABELLED_DDL, NULL_MARKERS
@@ -56,3 +57,14 @@ def read_split(spark: SparkSession, path: str, split: str, fold: int | None = No
     """The rows of one split, and of one fold when given; other folders are not listed."""
     out = spark.read.parquet(path).filter(F.col("split") == split)
     return out if fold is None else out.filter(F.col("fold") == fold)
+
+
+def read_if_present(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame | None:
+    """The Parquet table at ``path``, or None while nothing has been written there."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

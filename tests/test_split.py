@@ -135,3 +135,9 @@ def test_sample_percent(spark):
 def test_append_folds_matches_by_name(spark):
     a, b = spark.createDataFrame([(1, "x")], "i INT, s STRING"), spark.createDataFrame([("y", 2)], "s STRING, i INT")
     assert {tuple(r) for r in split.append_folds(a, b).collect()} == {(1, "x"), (2, "y")}
+
+
+def test_splitting_scans_once_and_shuffles_nothing(spark, labelled, folder):
+    labelled.write.parquet(f"{folder}/t")
+    plan = split.split_and_fold(spark.read.parquet(f"{folder}/t"), "species", "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "hashpartitioning" not in plan and "Sort" not in plan
