@@ -52,11 +52,11 @@ EVENT_DDL = ("`detail-type` STRING, source ARRAY<STRING>, detail STRUCT<ModelPac
 
 
 def test_event_pattern_on_structs_and_arrays(spark):
-    events = [("State Change", ["aws.a"], ("g", 1, "Approved")), ("State Change", ["aws.a"], ("g", 2, "Rejected")),
-              ("Other", ["aws.a"], ("g", 3, "Approved")), ("State Change", ["b", "c"], ("g", 4, "Approved")),
+    events = [("State Change", ["origin.a"], ("g", 1, "Approved")), ("State Change", ["origin.a"], ("g", 2, "Rejected")),
+              ("Other", ["origin.a"], ("g", 3, "Approved")), ("State Change", ["b", "c"], ("g", 4, "Approved")),
               ("State Change", None, ("g", 5, "Approved"))]
     df = spark.createDataFrame(events, EVENT_DDL)
-    pattern = {"source": ["aws.a"], "detail-type": ["State Change"], "detail": {"ModelPackageGroupName": ["g"], "ModelApprovalStatus": ["Approved"]}}
+    pattern = {"source": ["origin.a"], "detail-type": ["State Change"], "detail": {"ModelPackageGroupName": ["g"], "ModelApprovalStatus": ["Approved"]}}
     assert [r["detail"]["ModelPackageVersion"] for r in rows.event_pattern_filter(df, pattern).collect()] == [1]
 
 
