@@ -6,7 +6,8 @@ pair ranks come from a vectorized open-addressing table, and rows without a pair
 ``LONG_WORD`` bytes (runs without any split) merge the same pairs in the same order from a heap, as a matrix round would
 cost their whole length.
 
-Null and empty texts have no tokens. Equal texts have equal tokens. Other columns pass through untouched.
+Null and empty texts have no tokens. Equal texts have equal tokens. Other columns pass through untouched; one that already has
+the name of the output is replaced.
 """
 
 from __future__ import annotations
@@ -222,11 +223,6 @@ class Encoder:
         return self.ids[ragged(self.starts[slots], counts)], np.diff(reached, prepend=0)
 
 
-def _fresh(df: DataFrame, name: str) -> None:
-    if name in df.columns:
-        raise ValueError(f"the table already has a column {name!r}; name another output")
-
-
 def _read_ranks(path: str) -> bytes:
     with open(path, "rb") as f:
         blob = f.read(MAX_RANK_BYTES + 1)
@@ -237,6 +233,9 @@ def _read_ranks(path: str) -> bytes:
 
 def _map(df: DataFrame, column: str, output: str, make):
     """Add the binary column ``output`` that ``make`` (once a task) computes from slices of ``column``."""
+    if column.lower() == output.lower():
+        raise ValueError("the output needs another name than its input")
+    df = df.drop(output)
     kept = df.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +254,6 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, column: str = "text", o
     Each match of ``pattern`` is encoded on its own; special tokens are plain text. The rank file (bounded by
     ``MAX_RANK_BYTES``) is read by the driver and broadcast.
     """
-    _fresh(df, output)
     blob = df.sparkSession.sparkContext.broadcast(_read_ranks(ranks_path))
 
     def make():
@@ -274,7 +272,6 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, column: str = "text", o
 
 def decode(df: DataFrame, ranks_path: str, column: str = "tokens", output: str = "decoded") -> DataFrame:
     """Add ``output``: the bytes of the packed token ids in ``column`` (null: no bytes). Unknown ids raise."""
-    _fresh(df, output)
     blob = df.sparkSession.sparkContext.broadcast(_read_ranks(ranks_path))
 
     def make():

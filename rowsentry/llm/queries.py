@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsentry.llm import byte_bpe
+from rowsentry.llm import byte_bpe, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,13 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = byte_bpe.decode(tokens, path)
     return both.select("doc_id", byte_bpe.token_count().alias("n_tokens"), F.sha2("tokens", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.fit(docs))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{secret_scan.KINDS[k]}") for k in range(4)]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listed(of(0, 1, 2)), 256).alias("base_sha256"),
+                        secret_scan.listed(F.col("spans")).alias("spans"))
