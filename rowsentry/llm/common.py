@@ -98,14 +98,18 @@ _PLACES = [pow(0xD6E8FEB86659FD93, k + 1, 1 << 64) for k in range(64)]
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words between ASCII white space, and the place of each text's first word."""
-    word = ~SPACE[data]
+    return runs(~SPACE[data], offsets)
+
+
+def runs(word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of set flags within each text, and the place of each text's first run."""
     before = np.empty_like(word)
     before[1:] = word[:-1]
     after = np.empty_like(word)
     after[:-1] = word[1:]
-    edges = offsets[:-1][offsets[:-1] < len(data)]
+    edges = offsets[:-1][offsets[:-1] < len(word)]
     before[edges] = False
-    if len(data):
+    if len(word):
         after[-1] = False
         after[edges[edges > 0] - 1] = False
     starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
@@ -114,9 +118,14 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = _LOWER) -> np.ndarray:
     """A 64-bit hash of each byte span, whatever its place."""
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(codes[data] * powers(_BASE, len(data)), out=total[1:], dtype=np.uint64)
-    return mix((total[ends] - total[starts]) * powers(_BASE_INVERSE, len(data) + 1)[starts])
+    return run_hashes(codes[data], starts, ends)
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of 64-bit values, whatever its place."""
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(_BASE, len(values)), out=total[1:], dtype=np.uint64)
+    return mix((total[ends] - total[starts]) * powers(_BASE_INVERSE, len(values) + 1)[starts])
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsentry.llm import byte_bpe, secret_scan
+from rowsentry.llm import byte_bpe, language_spans, secret_scan, warc_revisit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,33 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(of(k)).cast("long").alias(f"n_{secret_scan.KINDS[k]}") for k in range(4)]
     return found.select("doc_id", *counts, F.sha2(secret_scan.listed(of(0, 1, 2)), 256).alias("base_sha256"),
                         secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+_BITS = ("array_to_string([substr('0000000100100011010001010110011110001001101010111100110111101111', "
+         "4 * instr('0123456789abcdef', substr(hex, CAST(k AS INT), 1)) - 3, 4) FOR k IN range(1, 41)], '')")
+_FIVE = " + ".join(f"{16 >> j} * CAST(substr(bits, CAST(5 * i + {j + 1} AS INT), 1) AS INT)" for j in range(5))
+
+
+@query(f"""
+  WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+  b AS (SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY hex) AS original, {_BITS} AS bits FROM p)
+  SELECT page_id, payload_bytes,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + {_FIVE} AS INT), 1) FOR i IN range(32)], '')
+           AS payload_digest,
+         CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+         CASE WHEN page_id = original THEN NULL ELSE original END AS refers_to
+  FROM b""")
+def op9_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc_revisit.resolve(table(spark, sf_dir, "pages"), min_bytes=0)
+    manifest = warc_revisit.write_archives(resolved)
+    back = warc_revisit.read_archives(spark, manifest, payloads=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language_spans.fit(docs.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+    found = language_spans.label(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
