@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsentry.llm import byte_bpe, language_spans, secret_scan, warc_revisit
+from rowsentry.llm import byte_bpe, language_spans, secret_scan, toxicity_knn, warc_revisit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,11 @@ def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_spans.fit(docs.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
     found = language_spans.label(docs.select("doc_id", "text", held_out.alias("held_out")), model)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op5_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
+    learned = table(spark, sf_dir, "labels").filter(fold != 0)
+    return toxicity_knn.classify(docs, learned).select("doc_id", "held_out", "score", "predicted")
