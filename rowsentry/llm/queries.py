@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsentry.llm import byte_bpe, language_spans, secret_scan, toxicity_knn, warc_revisit
+from rowsentry.llm import ann_scan, byte_bpe, language_spans, secret_scan, toxicity_knn, warc_revisit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,8 @@ def op5_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
     learned = table(spark, sf_dir, "labels").filter(fold != 0)
     return toxicity_knn.classify(docs, learned).select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op3_ann_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_scan.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
