@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsentry.llm import ann_scan, byte_bpe, language_spans, secret_scan, toxicity_knn, warc_revisit
+from rowsentry.llm import ann_scan, byte_bpe, decontaminate, language_spans, secret_scan, toxicity_knn, warc_revisit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,11 @@ def op5_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_ann_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_scan.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+@query()
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("benchmark_items").alias("m")) \
+        .select("doc_id", "m.item_id", "m.start", "m.end", "m.windows", "m.edits")
