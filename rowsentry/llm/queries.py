@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsentry.llm import ann_scan, byte_bpe, decontaminate, language_spans, secret_scan, toxicity_knn, warc_revisit
+from rowsentry.llm import ann_scan, byte_bpe, decontaminate, jaccard_join, language_spans, secret_scan, toxicity_knn, warc_revisit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,8 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("benchmark_items").alias("m")) \
         .select("doc_id", "m.item_id", "m.start", "m.end", "m.windows", "m.edits")
+
+
+@query()
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
