@@ -120,10 +120,10 @@ def _signatures(docs: DataFrame, column: str, frequent: np.ndarray) -> DataFrame
     return docs.select("id", column).mapInArrow(run, "id long, n int, set long, keys array<long>, counts array<int>")
 
 
-_RATIO = math.log(100 / PERCENT)
+RATIO = math.log(100 / PERCENT)
 
 
-def _whole_runs(batches: Iterator[pa.RecordBatch], columns: list[str], keys: int) -> Iterator[tuple[dict, bool]]:
+def whole_runs(batches: Iterator[pa.RecordBatch], columns: list[str], keys: int) -> Iterator[tuple[dict, bool]]:
     """Sorted rows regrouped so that no run of the first ``keys`` columns is cut, up to ``16 * RUN_ROWS`` rows of one run.
 
     The flag says that the last run goes on; the caller may hand rows back by ``send``.
@@ -156,18 +156,27 @@ def _numpy(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
-def _first_of(change: np.ndarray) -> np.ndarray:
+def first_of(change: np.ndarray) -> np.ndarray:
     """For each row the place of the last change at or before it."""
     return np.maximum.accumulate(np.where(change, np.arange(len(change)), 0))
 
 
+def stand_ins(opens: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """For each row of runs sorted by size the first row of about its size, by two divisions into sizes."""
+    firsts = []
+    for shift in (0.0, 0.5):
+        size = np.floor(np.log(n) / RATIO + shift)
+        firsts.append(first_of(opens | np.concatenate([[True], size[1:] != size[:-1]])))
+    return firsts
+
+
 def _meetings(signatures: DataFrame) -> DataFrame:
     """``key, set, n, place`` of the classes that share a key with another class, and the classes that stand for their size."""
     rows = signatures.filter(F.size("keys") > 0).select("set", "n", F.posexplode("keys").alias("place", "key")) \
         .repartition("key").sortWithinPartitions("key", "n", "set").select("key", "n", "set", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source = _whole_runs(batches, ["key", "n", "set", "place"], 1)
+        source = whole_runs(batches, ["key", "n", "set", "place"], 1)
         for rows_, open_ in source:
             if rows_ is None:
                 continue
@@ -177,12 +186,9 @@ def _meetings(signatures: DataFrame) -> DataFrame:
             key, n, ids, place = key[new], n[new], ids[new], place[new]
             opens = np.ones(len(key), bool)
             opens[1:] = key[1:] != key[:-1]
-            start = _first_of(opens)
+            start = first_of(opens)
             many = np.bincount(start, minlength=len(key))[start] > 1
-            firsts = []
-            for shift in (0.0, 0.5):
-                size = np.floor(np.log(n) / _RATIO + shift)
-                firsts.append(_first_of(opens | np.concatenate([[True], size[1:] != size[:-1]])))
+            firsts = stand_ins(opens, n)
             if many.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x[many]) for x in (key, n, ids, place, ids[firsts[0]], ids[firsts[1]])],
@@ -239,7 +245,7 @@ class CountTree:
                     yield some[x], self.order[a + y]
 
 
-def _open_pairs(meetings: DataFrame, classes: DataFrame) -> DataFrame:
+def open_pairs(meetings: DataFrame, classes: DataFrame) -> DataFrame:
     """Distinct pairs ``a < b`` of classes that are not connected (``root``), share a key, and pass the tree's bound."""
     rows = meetings.select("key", "n", "set", "place").join(classes, "set")
     crowded = meetings.groupBy("key").agg(F.count("*").alias("rows")) \
@@ -277,7 +283,7 @@ def _open_pairs(meetings: DataFrame, classes: DataFrame) -> DataFrame:
                     yield np.minimum(ids[x], ids[y])[good], np.maximum(ids[x], ids[y])[good]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source = _whole_runs(batches, names, 3)
+        source = whole_runs(batches, names, 3)
         for rows_, open_ in source:
             if rows_ is None:
                 continue
@@ -300,40 +306,52 @@ def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         .filter((100 + PERCENT) * overlap >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, column: str, members: DataFrame) -> DataFrame:
-    """The pairs that are linked, by the exact overlap of their sets, made anew from the texts that hold them.
+def pick(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """``docs`` with the bitmap ``cell`` of their ``id``, and a bitmap of fixed size over the ids of ``wanted``.
 
-    Texts are picked by a bitmap of fixed size over their ids; what it lets through by chance finds no pair.
+    Tasks drop the texts outside the bitmap; what it lets through by chance must be dropped by a join.
     """
-    pairs = settle(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(members, "set")
     cell = F.pmod(F.xxhash64("id"), F.lit(1 << BITMAP_BITS))
-    words = wanted.select((cell / 64).cast("long").alias("word"), F.expr("shiftleft(1L, CAST(pmod(xxhash64(id), 64) AS INT))").alias("bit")) \
-        .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
+    bit = F.expr("shiftleft(1L, CAST(pmod(xxhash64(id), 64) AS INT))")
+    words = wanted.select((cell / 64).cast("long").alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     bitmap = np.zeros((1 << BITMAP_BITS) // 64, np.uint64)
-    for r in words:
+    for r in words.collect():
         bitmap[r["word"]] = np.uint64(r["bits"] & (1 << 64) - 1)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    return docs.withColumn("cell", cell), bitmap
+
+
+def picked(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = batch.column("cell").to_numpy()
+        yield batch.filter(pa.array((bitmap[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column("cell").to_numpy()
-            some = (shared.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1
-            batch = batch.filter(pa.array(some))
-            for piece in pieces([batch], column):
-                hashes, cuts = _sets(piece.column(column))
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("id"), pa.array(_set_ids(hashes, cuts)),
-                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes.view(np.int64)))], names=["id", "set", "shingles"])
 
-    made = docs.select("id", column, cell.alias("cell")).mapInArrow(run, "id long, set long, shingles array<long>")
-    sets = settle(made.join(wanted, ["id", "set"], "left_semi").drop("id").dropDuplicates(["set"]))
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sets (``set, shingles``) are similar enough."""
     side = lambda x: sets.select(F.col("set").alias(x), F.col("shingles").alias(f"s{x}"))
     both = F.size(F.array_intersect("sa", "sb"))
     return pairs.join(side("a"), "a").join(side("b"), "b") \
         .filter(100 * both >= PERCENT * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
+def _verified(pairs: DataFrame, docs: DataFrame, column: str, members: DataFrame) -> DataFrame:
+    """The pairs that are linked, by the exact overlap of their sets, made anew from the texts that hold them."""
+    pairs = settle(pairs)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(members, "set")
+    found, bitmap = pick(docs.select("id", column), wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(picked(batches, shared.value), column):
+            hashes, cuts = _sets(piece.column(column))
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("id"), pa.array(_set_ids(hashes, cuts)),
+                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes.view(np.int64)))], names=["id", "set", "shingles"])
+
+    made = found.mapInArrow(run, "id long, set long, shingles array<long>")
+    return linked(pairs, settle(made.join(wanted, ["id", "set"], "left_semi").drop("id").dropDuplicates(["set"])))
+
+
 def join(df: DataFrame, doc_id: str = "doc_id", column: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row; the component is named by its smallest id.
 
@@ -351,7 +369,7 @@ def join(df: DataFrame, doc_id: str = "doc_id", column: str = "text") -> DataFra
     roots = components(links)
     known = classes.select("set", "counts").join(roots.withColumnRenamed("node", "set"), "set", "left") \
         .withColumn("root", F.coalesce("root", "set"))
-    rest = _open_pairs(meetings, known).join(tried, ["a", "b"], "left_anti")
+    rest = open_pairs(meetings, known).join(tried, ["a", "b"], "left_anti")
     more = settle(_verified(rest, docs, "text", members))
     roots = components(links.unionAll(more))
     rows = signatures.select("id", "n", "set").join(roots.withColumnRenamed("node", "set"), "set", "left") \
