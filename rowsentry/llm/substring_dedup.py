@@ -32,7 +32,7 @@ SIMILARITY = 0.75
 RECALL = 0.99
 REACH = 4
 MIN_WORDS = 4
-MIN_CHARACTERS = 120
+MIN_CHARACTERS = 140
 #: Characters between two repeated units of one passage, for a short line that is no unit.
 GAP = 24
 NO_ID = 1 << 61
