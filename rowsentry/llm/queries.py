@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsentry.llm import ann_scan, byte_bpe, decontaminate, jaccard_join, language_spans, secret_scan, substring_dedup, toxicity_knn, warc_revisit
+from rowsentry.llm import ann_scan, byte_bpe, decontaminate, jaccard_join, language_spans, quality_cotraining, secret_scan, substring_dedup, toxicity_knn, warc_revisit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,9 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "text_chance", "meta_chance", "quality_score", "keep")
