@@ -14,7 +14,7 @@ LIMITS = {"model_1": 500, "model_2": 1500, "model_3": 5000}
 
 def labelled_documents(spark, sf):
     """Documents with their label and one rule-based guess per model."""
-    docs = table(spark, sf, "documents").select("doc_id", "n_chars")
+    docs = table(spark, sf, "documents").select("doc_id", "n_chars", "source")
     joined = docs.join(table(spark, sf, "labels"), "doc_id")
     for model, limit in LIMITS.items():
         joined = joined.withColumn(model, (F.col("n_chars") > limit).cast("int"))
@@ -68,7 +68,7 @@ def eval_report(spark, sf):
         FROM documents JOIN labels USING (doc_id) GROUP BY source)
 """)
 def quality_gate(spark, sf):
-    docs = labelled_documents(spark, sf).join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    docs = labelled_documents(spark, sf)
     long = ops.predictions_by_model(docs, "quality", {"model_1": "model_1"}, ["source"])
     reports = ops.eval_report(ops.evaluate_models(long, by="source"), by="source")
     return rows.quality_gate(reports).select("source", F.round("metric", 6).alias("metric"), "threshold", "passed", "message")
@@ -146,14 +146,19 @@ def multiclass_metrics(spark, sf):
     return ops.multiclass_metrics(matrix).select("metric", F.round("value", 6).alias("value"))
 
 
+# The baseline's guesses are right four times in five, so the current ones fall below it in every metric.
+_FLOOR_SIDE = f"(SELECT vec_id, truth, CASE WHEN vec_id % 5 <> 0 THEN truth ELSE prediction END AS prediction FROM {VECTORS})"
+
+
 @query(f"""
   SELECT c.metric, round(c.value, 6) AS value, round(b.value, 6) AS floor
-  FROM ({metric_sql(f"(SELECT * FROM {VECTORS} WHERE vec_id % 2 = 1)")}) c
-  JOIN ({metric_sql(f"(SELECT * FROM {VECTORS} WHERE vec_id % 2 = 0)")}) b ON c.metric = b.metric WHERE c.value < b.value
+  FROM ({metric_sql(VECTORS)}) c JOIN ({metric_sql(_FLOOR_SIDE)}) b ON c.metric = b.metric WHERE c.value < b.value
 """)
 def model_quality_check(spark, sf):
-    rows_ = vector_predictions(spark, sf).withColumn("current", F.col("vec_id") % 2 == 1)
-    metrics = ops.multiclass_metrics(ops.confusion_matrix(rows_, by="current"), "current")
+    now = vector_predictions(spark, sf)
+    before = now.withColumn("prediction", F.when(F.col("vec_id") % 5 != 0, F.col("truth")).otherwise(F.col("prediction")))
+    both = now.withColumn("current", F.lit(True)).unionByName(before.withColumn("current", F.lit(False)))
+    metrics = ops.multiclass_metrics(ops.confusion_matrix(both, by="current"), "current")
     floors = ops.suggest_model_constraints(metrics.filter("not current"))
     found = ops.check_model_quality(metrics.filter("current"), floors)
     return found.select("metric", F.round("value", 6).alias("value"), F.round("floor", 6).alias("floor"))

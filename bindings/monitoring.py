@@ -72,11 +72,11 @@ def hourly_model_quality(spark, sf):
   SELECT window_start, c.metric, round(c.value, 6) AS value, round(b.value, 6) AS floor
   FROM ({metric_sql(_HOURS, 'window_start')}) c
   JOIN ({metric_sql(f"(SELECT * FROM {EVENT_GUESSES} WHERE ts < {_BASE})")}) b ON c.metric = b.metric
-  WHERE c.value < b.value AND c.metric = 'accuracy'
+  WHERE c.value < b.value
 """)
 def hourly_model_violations(spark, sf):
     rows = event_predictions(spark, sf)
     floors = evaluate.suggest_model_constraints(evaluate.multiclass_metrics(evaluate.confusion_matrix(_base(rows))))
     metrics = hourly.hourly_model_metrics(hourly.hourly_confusion(rows))
-    found = hourly.hourly_model_violations(metrics, floors.filter("metric = 'accuracy'"))
+    found = hourly.hourly_model_violations(metrics, floors)
     return found.select("window_start", "metric", F.round("value", 6).alias("value"), F.round("floor", 6).alias("floor"))

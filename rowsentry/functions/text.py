@@ -13,6 +13,11 @@ def csv_line(*cols: str | Column) -> Column:
     return F.concat_ws(",", *parts)
 
 
+def quoted(text: Column) -> Column:
+    """A CSV field: in quotes, with quotes doubled, if it holds a comma, a quote or a line break."""
+    return F.when(text.rlike('[,"\r\n]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+
 def record_to_map(line: str | Column) -> Column:
     """``"a,b"`` to ``{"00": "a", "01": "b"}``; keys have two digits or more."""
     fields = F.split(as_col(line), ",", -1)
@@ -25,9 +30,24 @@ def record_to_map(line: str | Column) -> Column:
     return F.map_from_entries(F.transform(fields, entry))
 
 
+#: Stand for line breaks inside quotes while a body is cut into lines (private-use characters).
+_KEPT = {"\r": "\ue00d", "\n": "\ue00a"}
+
+
+def _replaced(text: Column, pairs: dict[str, str]) -> Column:
+    for old, new in pairs.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def body_lines(body: str | Column) -> Column:
-    """The lines of a request body that are not blank."""
-    return F.filter(F.split(as_col(body), "\r?\n"), lambda line: F.trim(line) != "")
+    """The lines of a request body that are not blank; line breaks inside quotes do not end a line."""
+    text = as_col(body)
+    held = F.array_join(F.transform(F.split(text, '"', -1), lambda x, i: F.when(i % 2 == 1, _replaced(x, _KEPT)).otherwise(x)), '"')
+    whole = F.when(F.contains(text, F.lit('"')), held).otherwise(text)
+    lines = F.filter(F.split(whole, "\r?\n"), lambda line: F.trim(line) != "")
+    back = {v: k for k, v in _KEPT.items()}
+    return F.when(F.contains(text, F.lit('"')), F.transform(lines, lambda line: _replaced(line, back))).otherwise(lines)
 
 
 def field_count(line: str | Column) -> Column:

@@ -63,7 +63,8 @@ def score_requests(requests: DataFrame, fitted: FittedColumns, model, domain: Se
     """Requests (``inference_id, content_type, accept, body``) to answers.
 
     Returns ``(scored, rejected)``: one prediction per readable row, and one row per unreadable
-    one with its ``error``. :func:`answer_requests` renders the former.
+    one with its ``error``. A row with a missing value, in a number or a text, or with an unknown category is rejected: a
+    prediction from half a row would look like any other. :func:`answer_requests` answers from both.
     """
     parsed = parse_requests(requests, schema, strict=strict)
     missing = F.lit(False)
@@ -83,8 +84,10 @@ def score_requests(requests: DataFrame, fitted: FittedColumns, model, domain: Se
     return score_rows(good, fitted, model, domain, keys), bad
 
 
-def answer_requests(scored: DataFrame) -> DataFrame:
-    """One rendered ``response`` per request."""
+def answer_requests(scored: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
+    """One ``response`` or ``error`` per request: a request with a rejected row is refused as a whole."""
+    if rejected is not None:
+        scored = scored.unionByName(rejected, allowMissingColumns=True)
     return render_predictions(scored)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsentry.fixed_values import FEATURE_DDL, VIOLATED_STATUS
@@ -19,12 +17,23 @@ def captured_features(captures: DataFrame, schema: str = FEATURE_DDL) -> tuple[D
     return split_errors(parse_requests(sent, schema))
 
 
+UNREADABLE = "unreadable"
+
+
+def unreadable_violations(bad: DataFrame) -> DataFrame:
+    """One violation per hour in which captured inputs could not be read, with their number."""
+    hours = bad.withColumn("ts", F.col("ts").cast("timestamp")).groupBy(F.window("ts", "1 hour")).agg(F.count("*").alias("n"))
+    return hours.select(F.col("window.start").alias("window_start"), F.lit("*").alias("column"), F.lit(UNREADABLE).alias("check"),
+                        F.concat(F.col("n").cast("string"), F.lit(" inputs could not be read")).alias("detail"))
+
+
 def data_quality_run(captures: DataFrame, constraints: DataFrame, schema: str = FEATURE_DDL) -> tuple[DataFrame, DataFrame]:
-    """Hourly profile of captured inputs and its violations of the baseline."""
-    good, _ = captured_features(captures, schema)
+    """Hourly profile of captured inputs and its violations of the baseline; unreadable inputs are a violation, too."""
+    good, bad = captured_features(captures, schema)
     columns = [c for c in good.columns if c not in ("inference_id", "ts", "content_type", "row_no", "n_rows")]
     profile = hourly.hourly_profile(good, columns, domains=quality.constraint_domains(constraints))
-    return profile, hourly.hourly_violations(profile, constraints)
+    found = hourly.hourly_violations(profile, constraints)
+    return profile, found.unionByName(unreadable_violations(bad))
 
 
 def model_quality_run(captures: DataFrame, ground_truth: DataFrame, floors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -35,13 +44,16 @@ def model_quality_run(captures: DataFrame, ground_truth: DataFrame, floors: Data
     return metrics, hourly.hourly_model_violations(metrics, floors)
 
 
-def record_run(spark: SparkSession, folder: str, run_id: str, endpoint: str, kind: str, violations: DataFrame,
-               columns: Sequence[str] = ("column", "check", "detail")) -> None:
-    """Write a run's violations and append its line to the run log."""
-    found = violations.select(F.lit(run_id).alias("run_id"), *columns)
-    reports.write_violations(found.dropDuplicates(["column", "check"]), f"{folder}/violations/{run_id}")
-    n = violations.limit(1).count()
-    status = VIOLATED_STATUS if n else "Completed"
-    line = spark.createDataFrame([(endpoint, f"{endpoint}-{kind}", kind, status, run_id)],
-                                 "endpoint STRING, name STRING, type STRING, last_status STRING, run_id STRING")
+def record_run(spark: SparkSession, folder: str, run_id: str, endpoint: str, kind: str, violations: DataFrame) -> int:
+    """Write all violations of a run, of either monitor type, and append its line to the run log.
+
+    Returns their number, counted in what was written, so that the monitor's plan runs once.
+    """
+    path = f"{folder}/violations/{run_id}"
+    reports.write_violations(violations.withColumn("run_id", F.lit(run_id)), path)
+    written = reports.read_violations(spark, path).count()
+    status = VIOLATED_STATUS if written else "Completed"
+    line = spark.createDataFrame([(endpoint, f"{endpoint}-{kind}", kind, status, run_id, written)],
+                                 "endpoint STRING, name STRING, type STRING, last_status STRING, run_id STRING, n_violations LONG")
     line.withColumn("last_ts", F.current_timestamp()).write.mode("append").parquet(f"{folder}/runs")
+    return written

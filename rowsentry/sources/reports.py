@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowsentry.fixed_values import ACCURACY_PATH
 
-VIOLATIONS_DDL = "run_id STRING, violations ARRAY<STRUCT<column: STRING, check: STRING, detail: STRING>>"
+#: A violation of a column's constraint, or of a metric's floor (``column`` is then the metric).
+VIOLATION_FIELDS = ("column", "check", "detail", "value", "floor")
+VIOLATIONS_DDL = ("run_id STRING, window_start TIMESTAMP, violations ARRAY<STRUCT<column: STRING, check: STRING, detail: STRING, "
+                  "value: DOUBLE, floor: DOUBLE>>")
 METRIC_COLUMNS = ("window_start", "source", "metric", "value")
 
 
@@ -24,20 +27,37 @@ def read_report_path(report: str | Column, path: str = ACCURACY_PATH) -> Column:
     return F.get_json_object(F.col(report) if isinstance(report, str) else report, f"$.{path}").cast("double")
 
 
+def violation_rows(violations: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Violations of either monitor type as ``keep`` columns, ``window_start`` and the ``VIOLATION_FIELDS``.
+
+    Rows of a data-quality check have ``column, check, detail``, those of a model-quality check ``metric, value, floor``;
+    ``window_start`` is null where a run has no windows.
+    """
+    names = set(violations.columns)
+    if "metric" in names:
+        low = F.concat(F.col("metric"), F.lit(" "), F.format_string("%.6f", "value"), F.lit(" is below "), F.format_string("%.6f", "floor"))
+        violations = violations.select(*keep, *[c for c in ("window_start",) if c in names], F.col("metric").alias("column"),
+                                       F.lit("below_floor").alias("check"), low.alias("detail"), "value", "floor")
+    kinds = dict(window_start="timestamp", column="string", check="string", detail="string", value="double", floor="double")
+    return violations.select(*keep, *[
+        (F.col(c) if c in violations.columns else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()])
+
+
 def write_violations(violations: DataFrame, path: str, run_id: str = "run_id") -> None:
-    """One JSON document per run with the list of its violations.
+    """One JSON document per run and window with the list of its violations, none of them left out.
 
-    A run has at most one violation per check and column, which bounds its list.
+    A window has at most one violation per check and column, which bounds its list.
     """
-    listed = violations.groupBy(run_id).agg(
-        F.array_sort(F.collect_list(F.struct("column", "check", "detail"))).alias("violations"))
+    named = violations.withColumnRenamed(run_id, "run_id")
+    listed = violation_rows(named, ("run_id",)).groupBy("run_id", "window_start").agg(
+        F.array_sort(F.collect_list(F.struct(*VIOLATION_FIELDS))).alias("violations"))
     listed.write.mode("overwrite").json(path)
 
 
 def read_violations(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """``run_id, column, check, detail`` rows from violation documents, one per line or per file."""
+    """``run_id, window_start`` and the fields of each violation, from documents one per line or per file."""
     docs = spark.read.schema(VIOLATIONS_DDL).option("multiLine", multi_line).json(path)
-    return docs.select("run_id", F.inline("violations"))
+    return docs.select("run_id", "window_start", F.inline("violations"))
 
 
 def write_metrics(metrics: DataFrame, path: str, source: str, window: Column | str | None = None) -> None:

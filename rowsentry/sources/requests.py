@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rowsentry.fixed_values import CSV_TYPE, FEATURE_DDL, JSON_TYPE, NO_INPUT
+from rowsentry.fixed_values import CSV_TYPE, FEATURE_DDL, JSON_TYPE, NO_INPUT, NULL_MARKERS
 from rowsentry.functions.names import as_list
-from rowsentry.functions.text import body_lines, field_count
+from rowsentry.functions.text import body_lines, field_count, quoted
 
 _BAD = "_malformed"
 _UNREADABLE = "The input could not be read."
@@ -23,7 +23,7 @@ def _ddl(fields: list[T.StructField], *more: str) -> str:
 
 def _csv_options() -> dict[str, str]:
     return {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
-            "nullValue": "NA", "columnNameOfCorruptRecord": _BAD}
+            "escape": "\"", "columnNameOfCorruptRecord": _BAD}
 
 
 def _unsupported(content_type: Column) -> Column:
@@ -55,7 +55,9 @@ def _parse(df: DataFrame, fields: list[T.StructField], body: str, route: Column)
     count = F.col("_n")
     # A line without the trailing label gets an empty one, so that one schema reads both kinds.
     full = F.concat(F.col("_line"), F.when(count == n, ",").otherwise(""))
-    read_csv = F.from_csv(full, _ddl(fields, "_label STRING", f"{_BAD} STRING"), _csv_options())
+    # Fields are read as text first: every spelling of a missing value is null, in a number as well as in a text.
+    texts = [T.StructField(f.name, T.StringType()) for f in fields]
+    read_csv = F.from_csv(full, _ddl(texts, "_label STRING", f"{_BAD} STRING"), _csv_options())
     read_json = F.from_json("_line", _ddl(fields, f"{_BAD} STRING"), {"columnNameOfCorruptRecord": _BAD})
     names = F.array(*[F.lit(f.name) for f in fields])
     parsed = lines.select(*others, "n_rows", "row_no", F.inline(F.array(F.struct(
@@ -64,7 +66,12 @@ def _parse(df: DataFrame, fields: list[T.StructField], body: str, route: Column)
         F.when(is_json, read_json).alias("_json"),
         F.when(is_json, F.array_except(names, F.json_object_keys(F.col("_line")))).alias("_absent"),
     ))))
+    given = {f.name: F.when(~F.trim(F.col(f"_csv.`{f.name}`")).isin(*NULL_MARKERS), F.col(f"_csv.`{f.name}`")) for f in fields}
+    typed = {f.name: given[f.name] if isinstance(f.dataType, T.StringType) else given[f.name].try_cast(f.dataType) for f in fields}
     broken = F.coalesce(F.col(f"_csv.{_BAD}"), F.col(f"_json.{_BAD}")).isNotNull() | (is_json & F.col("_absent").isNull())
+    for f in fields:
+        if not isinstance(f.dataType, T.StringType):
+            broken = broken | (given[f.name].isNotNull() & typed[f.name].isNull())
     arity = F.concat(F.lit(f"Expected {n} values, got "), F.col("_n").cast("string"), F.lit("."))
     error = (
         F.when(~is_csv & ~is_json, _unsupported(F.col("content_type")) if "content_type" in others else F.lit(_UNREADABLE))
@@ -73,7 +80,7 @@ def _parse(df: DataFrame, fields: list[T.StructField], body: str, route: Column)
         .when(broken, F.lit(_UNREADABLE))
         .when(F.size("_absent") > 0, F.concat(F.lit("Missing values: "), F.concat_ws(", ", "_absent")))
     )
-    values = [F.coalesce(F.col(f"_csv.`{f.name}`"), F.col(f"_json.`{f.name}`")) for f in fields]
+    values = [F.coalesce(typed[f.name], F.col(f"_json.`{f.name}`")) for f in fields]
     return parsed.withColumn("error", error).select(
         *others, F.coalesce("row_no", F.lit(0)).alias("row_no"), "n_rows",
         *[F.when(F.col("error").isNull(), v).alias(f.name) for f, v in zip(fields, values)], "error")
@@ -119,6 +126,6 @@ def split_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def to_request_lines(df: DataFrame, key: str, features: str | list[str]) -> DataFrame:
-    """Rows as CSV request bodies with their key as ``inference_id``."""
-    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in as_list(features)])
+    """Rows as CSV request bodies with their key as ``inference_id``; a null is ``nan``, as :func:`parse_csv_requests` reads it."""
+    line = F.concat_ws(",", *[F.coalesce(quoted(F.col(c).cast("string")), F.lit("nan")) for c in as_list(features)])
     return df.select(F.col(key).cast("string").alias("inference_id"), line.alias("body"))

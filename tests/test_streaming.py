@@ -121,7 +121,7 @@ def test_batch_monitoring_run(spark, labelled, folder):
                               answer.alias("output"))
     profile, violations = monitoring_run.data_quality_run(traffic, constraints)
     assert profile.select("window_start").distinct().count() == 6
-    assert [(r["column"], r["check"], r["window_start"].hour) for r in violations.collect()] == [("island", "unseen_category", 0)]
+    assert [(r["column"], r["check"], r["window_start"].hour) for r in violations.collect()] == [("island", "unseen_category", 0), ("*", "unreadable", 0)]
     _, unreadable = monitoring_run.captured_features(traffic)
     assert [r["inference_id"] for r in unreadable.collect()] == ["6"]
     truth = labelled.select(F.col("id").cast("string").alias("inference_id"), F.when(F.col("id") < 60, "Gentoo").otherwise(F.col("species")).alias("truth"),
@@ -129,11 +129,23 @@ def test_batch_monitoring_run(spark, labelled, folder):
     floors = spark.createDataFrame([("accuracy", 0.5)], "metric STRING, floor DOUBLE")
     _, low = monitoring_run.model_quality_run(traffic, truth, floors)
     assert [(r["window_start"].hour, r["metric"], r["value"]) for r in low.collect()] == [(0, "accuracy", 0.0)]
-    monitoring_run.record_run(spark, folder, "r1", "birds", "DataQuality", violations)
-    monitoring_run.record_run(spark, folder, "r2", "birds", "ModelQuality", violations.limit(0))
+    assert monitoring_run.record_run(spark, folder, "r1", "birds", "DataQuality", violations) == 2
+    assert monitoring_run.record_run(spark, folder, "r2", "birds", "DataQuality", violations.limit(0)) == 0
+    assert monitoring_run.record_run(spark, folder, "r3", "birds", "ModelQuality", low) == 1
     runs = spark.read.parquet(f"{folder}/runs")
-    assert {(r["run_id"], r["last_status"]) for r in runs.collect()} == {("r1", "CompletedWithViolations"), ("r2", "Completed")}
-    assert reports.read_violations(spark, f"{folder}/violations/r1").first()["check"] == "unseen_category"
+    assert {(r["run_id"], r["last_status"], r["n_violations"]) for r in runs.collect()} == {
+        ("r1", "CompletedWithViolations", 2), ("r2", "Completed", 0), ("r3", "CompletedWithViolations", 1)}
+    assert {r["check"] for r in reports.read_violations(spark, f"{folder}/violations/r1").collect()} == {"unseen_category", "unreadable"}
+    kept = reports.read_violations(spark, f"{folder}/violations/r3").first()
+    assert (kept["column"], kept["check"], kept["value"], kept["floor"], kept["window_start"].hour) == ("accuracy", "below_floor", 0.0, 0.5, 0)
+
+
+def test_violations_of_every_hour_are_kept(spark, folder):
+    hours = spark.range(5).select(at(F.col("id") * 3600).alias("window_start"), F.lit("mass").alias("column"), F.lit("completeness").alias("check"),
+                                  F.concat(F.lit("completeness 0."), F.col("id").cast("string")).alias("detail"))
+    assert monitoring_run.record_run(spark, folder, "r", "birds", "DataQuality", hours) == 5
+    back = reports.read_violations(spark, f"{folder}/violations/r")
+    assert sorted((r["window_start"].hour, r["detail"]) for r in back.collect()) == [(h, f"completeness 0.{h}") for h in range(5)]
 
 
 def package_event(group, arn, status, minute):

@@ -98,15 +98,18 @@ def test_requests_to_answers(spark, prepared, fitted_models):
     sent = spark.createDataFrame([
         ("json", "application/json", "application/json", json.dumps(body)), ("csv", "text/csv", "text/csv", f"{line}\n{line}"),
         ("labelled", "text/csv", "application/json", line + ",Adelie"), ("bad", "text/plain", "text/csv", line),
-        ("odd", "text/csv", "text/csv", line.replace("Torgersen", "Atlantis")), ("null", "text/csv", "text/csv", None)],
+        ("odd", "text/csv", "text/csv", line.replace("Torgersen", "Atlantis")), ("null", "text/csv", "text/csv", None),
+        ("mixed", "text/csv", "text/csv", "\n".join([line, line.replace("38.0", "nan"), line]))],
         "inference_id STRING, content_type STRING, accept STRING, body STRING")
     scored, rejected = scoring.score_requests(sent, prepared[1].only(1), fitted_models.models[1], LABEL_DOMAIN)
-    answers = {r["inference_id"]: r["response"] for r in scoring.answer_requests(scored).collect()}
+    rows = scoring.answer_requests(scored, rejected).collect()
+    answers = {r["inference_id"]: r["response"] for r in rows}
+    assert len(rows) == len(answers) == 7 and {r["inference_id"] for r in rows if r["error"]} == {"bad", "odd", "null", "mixed"}
     assert json.loads(answers["json"])["0"] == "Adelie" and json.loads(answers["labelled"])["0"] == "Adelie"
     assert [x.split(",")[0] for x in answers["csv"].split("\n")] == ["Adelie", "Adelie"]
     errors = {r["inference_id"]: r["error"] for r in rejected.collect()}
     assert errors == {"bad": "Content type text/plain is not supported.", "odd": "Error transforming the input data.",
-                      "null": "No input data received."}
+                      "null": "No input data received.", "mixed": "Error transforming the input data."}
 
 
 def test_user_functions_load_once_per_task(spark):
