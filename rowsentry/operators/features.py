@@ -10,13 +10,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from rowsentry.functions.names import as_list, require_columns
 from rowsentry.operators.rows import numeric_columns, string_columns
+from rowsentry.operators.ranking import bucketed_rank
 from rowsentry.operators.sizing import join_unique, lookup, settle_small
 
-MAX_CATEGORIES = 10_000
+#: Categories that one task numbers; more are numbered in buckets of their hash order.
+CATEGORIES_PER_TASK = 100_000
+#: Categories up to which a value is looked up in a literal; more are looked up by a join.
+LITERAL_CATEGORIES = 200
 COLUMNS_PER_PASS = 100
 
 
@@ -67,17 +72,14 @@ def distinct_categories(df: DataFrame, cols: str | Sequence[str], by: str | Sequ
     return df.select(*by, F.inline(pairs)).filter("category IS NOT NULL").distinct()
 
 
-def fit_one_hot(df: DataFrame, cols: str | Sequence[str], by: str | Sequence[str] = (),
-                max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """Alphabetical categories per column: ``column, idx, category`` rows, ``idx`` from 0.
-
-    Dense indicators need one output column per category, so more than ``max_categories`` in
-    all raise; :func:`indicator_map` encodes columns of any cardinality.
-    """
+def fit_one_hot(df: DataFrame, cols: str | Sequence[str], by: str | Sequence[str] = ()) -> DataFrame:
+    """Alphabetical categories per column: ``column, idx, category`` rows, ``idx`` from 0, however many there are."""
     by = as_list(by)
-    found, size = settle_small(distinct_categories(df, cols, by), max_categories)
+    found, size = settle_small(distinct_categories(df, cols, by), CATEGORIES_PER_TASK)
     if size is None:
-        raise ValueError(f"more than {max_categories} categories; use indicator_map for such columns")
+        # Buckets by the first characters keep the order, so that no task numbers a whole column.
+        numbered = bucketed_rank(found, [*by, "column"], F.substring("category", 1, 3), ["category"], "_place")
+        return numbered.select(*by, "column", (F.col("_place") - 1).cast("int").alias("idx"), "category")
     order = Window.partitionBy(*by, "column").orderBy("category")
     return found.select(*by, "column", (F.row_number().over(order) - 1).alias("idx"), "category")
 
@@ -151,8 +153,7 @@ FITTED_DDL = ("fold INT, column STRING, kind STRING, position INT, idx INT, cate
 
 
 def fit_columns(df: DataFrame, label: str | None = None, by: str | None = None,
-                numeric: Sequence[str] | None = None, categorical: Sequence[str] | None = None,
-                max_categories: int = MAX_CATEGORIES) -> FittedColumns:
+                numeric: Sequence[str] | None = None, categorical: Sequence[str] | None = None) -> FittedColumns:
     """Fit scaling and indicators on ``df`` (per fold when ``by`` names the fold column).
 
     By default every numeric column is scaled and every text column encoded, in schema order;
@@ -175,7 +176,7 @@ def fit_columns(df: DataFrame, label: str | None = None, by: str | None = None,
         for r in fit_scaler(source, numbers, "_fold").collect():
             means.setdefault(r["_fold"], {})[r["column"]] = (r["mean"], r["std"])
     if coded:
-        for r in fit_one_hot(source, coded, "_fold", max_categories).collect():
+        for r in fit_one_hot(source, coded, "_fold").collect():
             categories.setdefault(r["_fold"], {}).setdefault(r["column"], []).append((r["idx"], r["category"]))
     for per_column in categories.values():
         for c in per_column:
@@ -199,18 +200,52 @@ def _by_fold(fitted: FittedColumns, by: str | None, build) -> Column:
     return out
 
 
-def _checked(fitted: FittedColumns, col: str, by: str | None, unseen: str) -> Column:
-    """The text value, raising on (or keeping) one that the fit has not seen."""
-    value = F.col(col).cast("string")
-    if unseen != "error":
-        return value
-    known = _by_fold(fitted, by, lambda f: F.coalesce(value.isin(fitted.categories[f].get(col, [])), F.lit(False)))
-    return F.when(known, value).otherwise(F.raise_error(_unseen_text(col)))
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
+def _code_column(k: int) -> str:
+    return f"_code_{k}"
 
-def _indicators(fitted: FittedColumns, col: str, by: str | None, unseen: str) -> list[Column]:
-    value = _checked(fitted, col, by, unseen)
-    return [F.coalesce(value == F.lit(v), F.lit(False)).cast("double").alias(f"{col}_{v}") for v in fitted.domain(col)]
+
+def _coded(df: DataFrame, fitted: FittedColumns, columns: Sequence[str], by: str | None, unseen: str) -> DataFrame:
+    """Add ``_code_<k>`` for each of the columns: the place of its value in the domain over all folds, -1 for others.
+
+    A value that the row's fold has not seen raises (``error``) or has -1 (``keep``). Every value is looked up once, in a
+    literal where the domain is small and else in a joined table of one row per category and fold.
+    """
+    for k, c in enumerate(columns):
+        domain = fitted.domain(c)
+        value = F.col(c).cast("string")
+        if len(domain) <= LITERAL_CATEGORIES:
+            place = F.array_position(F.array(*map(F.lit, domain)), value) if domain else F.lit(0)
+            code = F.coalesce(place.cast("int") - 1, F.lit(-1))
+            known = _by_fold(fitted, by, lambda f, c=c, value=value: F.coalesce(
+                value.isin(fitted.categories[f].get(c, [])), F.lit(False)) if fitted.categories[f].get(c) != domain else code >= 0)
+            df = df.withColumn(_code_column(k), F.when(known, code).otherwise(-1))
+        else:
+            at = {v: i for i, v in enumerate(domain)}
+            folds = fitted.folds if by else fitted.folds[:1]
+            if by is None and len(fitted.folds) != 1:
+                raise ValueError("fitted per fold: pass the fold column, or use only(fold)")
+            rows = [(f, v, at[v]) for f in folds for v in fitted.categories[f].get(c, [])]
+            table = df.sparkSession.createDataFrame(rows, "_f INT, _v STRING, _i INT")
+            keys = df.withColumn("_v", value)
+            if by:
+                found = lookup(keys.withColumn("_f", F.col(by).cast("int")), table, ["_f", "_v"], "left")
+            else:
+                found = lookup(keys, table.drop("_f"), "_v", "left")
+            df = found.withColumn(_code_column(k), F.coalesce("_i", F.lit(-1))).drop("_f", "_v", "_i")
+        if unseen == "error":
+            df = df.withColumn(_code_column(k), F.when(F.col(_code_column(k)) >= 0, F.col(_code_column(k))).otherwise(
+                F.raise_error(_unseen_text(c)).cast("int")))
+    return df
+
+
+def _indicator_sql(fitted: FittedColumns, columns: Sequence[str]) -> list[str]:
+    """One short expression for each category: whether the code is its place."""
+    return [f"CAST({_code_column(k)} = {i} AS DOUBLE) AS {_quoted(f'{c}_{v}')}"
+            for k, c in enumerate(columns) for i, v in enumerate(fitted.domain(c))]
 
 
 def transform_with(df: DataFrame, fitted: FittedColumns, by: str | None = None, keep: Sequence[str] = (),
@@ -224,29 +259,65 @@ def transform_with(df: DataFrame, fitted: FittedColumns, by: str | None = None,
     if with_label and fitted.label:
         need.append(fitted.label)
     require_columns(df, need)
+    columns = [*fitted.categorical, *([fitted.label] if with_label and fitted.label else [])]
+    coded = _coded(df, fitted, columns, by, "keep" if unseen == "skip" else unseen)
     if unseen == "skip":
-        for c in fitted.categorical:
-            value = F.col(c).cast("string")
-            df = df.filter(_by_fold(fitted, by, lambda f, c=c, value=value: value.isin(fitted.categories[f].get(c, []))))
-    out = feature_columns(fitted, by, unseen)
-    if with_label and fitted.label:
-        out.extend(_indicators(fitted, fitted.label, by, unseen))
-    return df.select(*[F.col(c) for c in keep], *out)
+        for k in range(len(fitted.categorical)):
+            coded = coded.filter(F.col(_code_column(k)) >= 0)
+    return coded.select(*[F.col(c) for c in keep], *_scaled_columns(fitted, by), *map(F.expr, _indicator_sql(fitted, columns)))
 
 
-def feature_columns(fitted: FittedColumns, by: str | None = None, unseen: str = "error") -> list[Column]:
-    """The scaled numbers and indicators as expressions over the raw columns."""
+def _scaled_columns(fitted: FittedColumns, by: str | None) -> list[Column]:
     out = []
     for c in fitted.numeric:
         def one(f, c=c):
             mean, std = fitted.means[f][c]
             return scaled(F.col(c), F.lit(mean), F.lit(std))
         out.append(_by_fold(fitted, by, one).alias(c))
+    return out
+
+
+def feature_columns(fitted: FittedColumns, by: str | None = None) -> list[Column]:
+    """The scaled numbers and indicators as expressions over the raw columns; unseen categories are all zeros.
+
+    For a few dense columns inside another projection; :func:`transform_with` looks values of large domains up by a join.
+    """
+    out = _scaled_columns(fitted, by)
     for c in fitted.categorical:
-        out.extend(_indicators(fitted, c, by, unseen))
+        value = F.col(c).cast("string")
+        for v in fitted.domain(c):
+            # A category that this fold has not seen is no indicator of it.
+            hit = _by_fold(fitted, by, lambda f, c=c, v=v: value == F.lit(v) if v in fitted.categories[f].get(c, ()) else F.lit(False))
+            out.append(F.coalesce(hit, F.lit(False)).cast("double").alias(f"{c}_{v}"))
     return out
 
 
+def sparse_vector(df: DataFrame, fitted: FittedColumns, by: str | None = None, keep: Sequence[str] = (),
+                  unseen: str = "error", name: str = "features") -> DataFrame:
+    """``keep`` and one sparse vector of what :func:`transform_with` makes dense: no column for each category.
+
+    The scaled numbers lie first, then the indicators in the order of ``feature_names``.
+    """
+    require_columns(df, [*fitted.numeric, *fitted.categorical, *keep])
+    coded = _coded(df, fitted, fitted.categorical, by, "keep" if unseen == "skip" else unseen)
+    if unseen == "skip":
+        for k in range(len(fitted.categorical)):
+            coded = coded.filter(F.col(_code_column(k)) >= 0)
+    width, cells = len(fitted.numeric), []
+    for i, x in enumerate(_scaled_columns(fitted, by)):
+        cells.append(F.struct(F.lit(i).alias("i"), x.alias("v")))
+    for k, c in enumerate(fitted.categorical):
+        code = F.col(_code_column(k))
+        cells.append(F.when(code >= 0, F.struct((code + width).alias("i"), F.lit(1.0).alias("v"))))
+        width += len(fitted.domain(c))
+    there = F.filter(F.array(*cells), lambda x: x.isNotNull() & (x["v"] != 0)) if cells else F.array().cast("array<struct<i:int,v:double>>")
+    body = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(width).alias("size"),
+                    F.transform(there, lambda x: x["i"]).alias("indices"), F.transform(there, lambda x: x["v"]).alias("values"))
+    # The parser reads the stored form of a vector; there is no function from indices and values to one.
+    read = F.from_json(F.to_json(F.struct(body.alias("v"))), T.StructType([T.StructField("v", VectorUDT())]))
+    return coded.select(*keep, read["v"].alias(name))
+
+
 def apply_one_hot(df: DataFrame, fitted: FittedColumns, by: str | None = None, keep: Sequence[str] = (),
                   unseen: str = "error") -> DataFrame:
     """Only the indicator columns of :func:`transform_with`."""
@@ -289,11 +360,9 @@ def fitted_rows(spark: SparkSession, fitted: FittedColumns) -> DataFrame:
     return spark.createDataFrame(rows, T.StructType.fromDDL(FITTED_DDL))
 
 
-def fitted_from_rows(table: DataFrame, max_rows: int = 1_000_000) -> FittedColumns:
-    """Read back what :func:`fitted_rows` wrote; its size is that of the fit, and checked."""
-    rows = table.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError("too many rows for a fitted table")
+def fitted_from_rows(table: DataFrame) -> FittedColumns:
+    """Read back what :func:`fitted_rows` wrote; its size is that of the fit, which lay in memory before."""
+    rows = table.collect()
     means: dict = {}
     categories: dict = {}
     numeric: dict = {}

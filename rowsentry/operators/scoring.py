@@ -46,7 +46,7 @@ def score_by_models(df: DataFrame, fitted: dict[int, FittedColumns], models: dic
 
     Rows of ``keep``, ``model`` (``model_<fold>``), ``truth``, ``prediction`` and ``confidence``.
     """
-    vectors = [array_to_vector(F.array(*feature_columns(fitted[f], unseen="keep"))).alias(f"_v{f}") for f in models]
+    vectors = [array_to_vector(F.array(*feature_columns(fitted[f]))).alias(f"_v{f}") for f in models]
     rows = df.select(*keep, F.col(label).alias("truth"), *vectors)
     for f, model in models.items():
         named = rows.withColumnRenamed(f"_v{f}", model.getFeaturesCol())

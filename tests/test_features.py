@@ -1,4 +1,5 @@
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,10 +81,44 @@ def test_integer_columns_are_scaled_and_odd_types_raise(spark):
         features.fit_columns(df.withColumn("d", F.current_date()))
 
 
-def test_one_hot_limit_and_the_map_beyond_it(spark):
+def test_categories_are_numbered_in_buckets_like_in_one_task(spark, monkeypatch):
+    df = spark.range(300).select((F.col("id") % 3).alias("fold"), F.concat(F.lit("v"), F.col("id") % 150).alias("c"), F.lit("x").alias("d"))
+    one = features.fit_one_hot(df, ["c", "d"], "fold").collect()
+    monkeypatch.setattr(features, "CATEGORIES_PER_TASK", 10)
+    assert sorted(map(tuple, features.fit_one_hot(df, ["c", "d"], "fold").collect())) == sorted(map(tuple, one))
+    assert len(one) == 3 * 51
+
+
+def test_ten_thousand_categories(spark):
+    df = spark.range(20_000).select("id", F.concat(F.lit("v"), F.lpad((F.col("id") % 10_000).cast("string"), 5, "0")).alias("c"), (F.col("id") * 1.0).alias("x"))
+    fitted = features.fit_columns(df.drop("id"))
+    start = time.perf_counter()
+    dense = features.transform_with(df, fitted, keep=["id"])
+    assert len(dense.columns) == 10_002 and time.perf_counter() - start < 60
+    some = dense.filter("id IN (3, 10003)").select("id", "c_v00003", "c_v00004").collect()
+    assert sorted(map(tuple, some)) == [(3, 1.0, 0.0), (10003, 1.0, 0.0)]
+    sparse = features.sparse_vector(df, fitted, keep=["id"]).filter("id = 10003").first()["features"]
+    assert sparse.size == 10_001 and sparse.indices.tolist() == [0, 4] and sparse[4] == 1.0
+
+
+@pytest.mark.parametrize("literal", [200, 0])
+def test_dense_and_sparse_agree_by_fold(spark, monkeypatch, literal):
+    monkeypatch.setattr(features, "LITERAL_CATEGORIES", literal)
+    rows = [(1, "a", "p", 1.0), (1, "b", "q", 2.0), (2, "b", "p", 4.0), (2, "c", None, 6.0)]
+    df = spark.createDataFrame(rows, "fold INT, c STRING, d STRING, x DOUBLE")
+    fitted = features.fit_columns(df, by="fold")
+    dense = features.transform_with(df, fitted, "fold", keep=["fold", "c"], unseen="keep").orderBy("fold", "c").collect()
+    sparse = features.sparse_vector(df, fitted, "fold", keep=["fold", "c"], unseen="keep").orderBy("fold", "c").collect()
+    assert [[r[n] for n in fitted.feature_names] for r in dense] == [r["features"].toArray().tolist() for r in sparse]
+    assert [r["c_b"] for r in dense] == [0.0, 1.0, 1.0, 0.0]
+    other = df.withColumn("fold", F.lit(1))
+    assert features.transform_with(other, fitted, "fold", unseen="skip").count() == 3
+    with pytest.raises(Exception, match="unknown category in column"):
+        features.transform_with(other, fitted, "fold").collect()
+
+
+def test_the_map_of_any_number_of_categories(spark):
     df = spark.range(300).select("id", F.concat(F.lit("v"), F.col("id") % 150).alias("c"))
-    with pytest.raises(ValueError, match="more than 100 categories"):
-        features.fit_one_hot(df, "c", max_categories=100)
     hot = features.indicator_map(df, features.distinct_categories(df, "c"), "c")
     assert all(r["c_hot"] == {r["c"]: 1.0} for r in hot.collect()) and hot.count() == 300
     known = features.distinct_categories(df.filter("c != 'v7'"), "c")
