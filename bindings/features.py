@@ -14,9 +14,12 @@ _KEEP = "line_key, l_returnflag, l_linestatus, l_quantity, l_extendedprice, l_di
 SPLIT_LINES = split_sql(LINES, "l_returnflag", "line_key", "'42'", keep=_KEEP)
 
 
+def kept_lines(spark, sf):
+    return lines(spark, sf).select(*_KEEP.split(", "))
+
+
 def split_lines(spark, sf):
-    rows = lines(spark, sf).select(*_KEEP.split(", "))
-    return split.stratified_split(rows, "l_returnflag", "line_key")
+    return split.stratified_split(kept_lines(spark, sf), "l_returnflag", "line_key")
 
 
 @query(f"""
@@ -93,8 +96,8 @@ _FOLD_SQL = split_sql(_FOLDS, "l_returnflag", "line_key",
 
 
 def _folded(spark, sf):
-    train = split_lines(spark, sf).filter("split = 'train'").drop("split")
-    return split.stratified_folds(train, "l_returnflag", "line_key")
+    parts = split.split_and_fold(kept_lines(spark, sf), "l_returnflag", "line_key")
+    return parts.filter("split <> 'test'")
 
 
 @query(f"""

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from bindings.catalog import query, table
 from bindings.evaluation import EVENT_GUESSES, event_predictions, metric_sql
 from rowsentry.operators import evaluate, quality
+from rowsentry.plans import monitoring_run
+from rowsentry.sources import reports
 from rowsentry.streaming import hourly
 
 COLUMNS = ["value", "event_type"]
@@ -80,3 +82,21 @@ def hourly_model_violations(spark, sf):
     metrics = hourly.hourly_model_metrics(hourly.hourly_confusion(rows))
     found = hourly.hourly_model_violations(metrics, floors)
     return found.select("window_start", "metric", F.round("value", 6).alias("value"), F.round("floor", 6).alias("floor"))
+
+
+@query(f"""
+  WITH c AS ({metric_sql(_HOURS, 'window_start')}), b AS ({metric_sql(f"(SELECT * FROM {EVENT_GUESSES} WHERE ts < {_BASE})")})
+  SELECT 'run' AS run_id, window_start, c.metric AS "column", 'below_floor' AS "check", round(c.value, 6) AS value, round(b.value, 6) AS floor
+  FROM c JOIN b ON c.metric = b.metric WHERE c.value < b.value
+  UNION ALL
+  SELECT 'run', CAST(date_trunc('hour', ts) AS TIMESTAMP), '*', 'unreadable', NULL, NULL FROM events WHERE event_type = 'error' GROUP BY ALL
+""")
+def monitor_run_log(spark, sf):
+    """What a run of either monitor writes down: every hour's violations with their values."""
+    rows = event_predictions(spark, sf)
+    floors = evaluate.suggest_model_constraints(evaluate.multiclass_metrics(evaluate.confusion_matrix(_base(rows))))
+    low = hourly.hourly_model_violations(hourly.hourly_model_metrics(hourly.hourly_confusion(rows)), floors)
+    bad = monitoring_run.unreadable_violations(table(spark, sf, "events").filter("event_type = 'error'"))
+    both = reports.violation_rows(low.withColumn("run_id", F.lit("run")), ("run_id",)).unionByName(
+        reports.violation_rows(bad.withColumn("run_id", F.lit("run")), ("run_id",)))
+    return both.select("run_id", "window_start", "column", "check", F.round("value", 6).alias("value"), F.round("floor", 6).alias("floor"))

@@ -8,6 +8,7 @@ from bindings.catalog import query, table
 from rowsentry.functions.text import csv_line, drop_trailing_label as cut_label
 from rowsentry.functions.times import ground_truth_path as path_of
 from rowsentry.operators import rows as ops
+from rowsentry.operators.scoring import answer_requests
 from rowsentry.sources import requests as req, responses as res
 from rowsentry.sources.captures import ground_truth_event
 
@@ -254,3 +255,36 @@ def render_predictions(spark, sf):
 def render_prediction_lists(spark, sf):
     o = table(spark, sf, "orders").withColumn("accept", F.lit("application/json"))
     return res.render_predictions(o, "o_custkey", prediction="o_orderstatus", conf="o_orderkey", position="o_orderkey")
+
+
+@query("""
+  SELECT CAST(o_orderkey AS VARCHAR) AS inference_id, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority || ', "as is"' END AS note,
+         CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS customer FROM orders
+""")
+def request_nulls_round_trip(spark, sf):
+    """Nulls, commas and quotes written as request lines and read back."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(
+        k, F.when(k % 3 != 0, F.concat("o_orderpriority", F.lit(', "as is"'))).alias("note"), F.when(k % 5 != 0, F.col("o_custkey")).alias("customer"))
+    back = req.parse_csv_requests(req.to_request_lines(o, "o_orderkey", ["note", "customer"]), "note STRING, customer BIGINT")
+    return back.filter("error IS NULL").select("inference_id", "note", "customer")
+
+
+@query("""
+  SELECT CAST(event_id AS VARCHAR) AS inference_id,
+         CASE WHEN event_type = 'view' THEN NULL WHEN event_type = 'click' THEN 'n' || k % 3 || ',' || k / 4 || chr(10) || 'n' || (k + 1) % 3 || ',' || (k + 1) / 4
+              ELSE 'n' || k % 3 || ',' || k / 4 END AS response,
+         CASE WHEN event_type = 'view' THEN 'The input could not be read.' END AS error
+  FROM (SELECT event_id, event_type, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events)
+""")
+def request_answers_mixed(spark, sf):
+    """Requests of one row, of two rows, and of two rows one of which cannot be read: each is answered once."""
+    kind, k = F.col("event_type"), F.get_json_object("props", "$.k")
+    second = F.when(kind == "click", (k.cast("bigint") + 1).cast("string")).when(kind == "view", F.lit("x"))
+    sent = table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("inference_id"), F.lit("text/csv").alias("content_type"), F.lit("text/csv").alias("accept"),
+        F.concat_ws("\n", k, second).alias("body"))
+    good, bad = req.split_errors(req.parse_requests(sent, "k BIGINT"))
+    scored = good.withColumn("prediction", F.concat(F.lit("n"), (F.col("k") % 3).cast("string"))).withColumn("confidence", F.col("k") / 4)
+    answers = answer_requests(scored.drop("k", "content_type"), bad.drop("k", "content_type"))
+    return answers.select("inference_id", "response", "error")

@@ -37,9 +37,12 @@ def data_quality_run(captures: DataFrame, constraints: DataFrame, schema: str =
 
 
 def model_quality_run(captures: DataFrame, ground_truth: DataFrame, floors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Hourly metrics of captured predictions against late labels, and those below the floor."""
+    """Hourly metrics of captured predictions against late labels, and those below the floor.
+
+    Of several labels of one id the earliest counts, as it does when the same data come as streams.
+    """
     sent = captures.select("inference_id", "ts", F.get_json_object("output", "$.0").alias("prediction"))
-    merged = merge.merge_ground_truth(sent, ground_truth.select("inference_id", "truth", "gt_ts"), order="gt_ts")
+    merged = merge.merge_ground_truth(sent, ground_truth.select("inference_id", "truth", "gt_ts"), order="gt_ts", earliest=True)
     metrics = hourly.hourly_model_metrics(hourly.hourly_confusion(merged))
     return metrics, hourly.hourly_model_violations(metrics, floors)
 

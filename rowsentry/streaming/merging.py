@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from rowsentry.operators.merge import latest_labels
+
 
 def stream_merge_ground_truth(captured: DataFrame, ground_truth: DataFrame, key: str = "inference_id",
                               ts: str = "ts", gt_ts: str = "gt_ts", delay: str = "1 hour",
@@ -11,16 +13,17 @@ def stream_merge_ground_truth(captured: DataFrame, ground_truth: DataFrame, key:
     """Predictions with the labels that arrive from their time until ``delay`` later.
 
     Both sides are watermarked and the interval bounds the state. Rows without a key cannot match
-    and are left out before the shuffle. On tables this is the same interval join.
+    and are left out before the shuffle. Of several labels of one id the first counts: on streams the first to arrive while
+    the watermark remembers it, on tables the earliest. Otherwise tables take the same interval join.
     """
     left = captured.filter(F.col(key).isNotNull()).withColumn(ts, F.col(ts).cast("timestamp"))
-    right = (
-        ground_truth.filter(F.col(key).isNotNull()).withColumn(gt_ts, F.col(gt_ts).cast("timestamp"))
-        .withColumnRenamed(key, "_key")
-    )
+    right = ground_truth.filter(F.col(key).isNotNull()).withColumn(gt_ts, F.col(gt_ts).cast("timestamp"))
     if captured.isStreaming:
         left = left.withWatermark(ts, lateness)
     if ground_truth.isStreaming:
-        right = right.withWatermark(gt_ts, lateness)
+        right = right.withWatermark(gt_ts, lateness).dropDuplicatesWithinWatermark([key])
+    else:
+        right = latest_labels(right, key, gt_ts, earliest=True)
+    right = right.withColumnRenamed(key, "_key")
     inside = F.col(gt_ts).between(F.col(ts), F.col(ts) + F.expr(f"INTERVAL {delay}"))
     return left.join(right, (F.col(key) == F.col("_key")) & inside, "inner").drop("_key")

@@ -67,6 +67,18 @@ def test_stream_merge_and_hourly_metrics_equal_batch(spark, folder):
     assert {int(r["inference_id"]) for r in late.collect()} == {i for i in range(600) if i % 100 > 60}
 
 
+def test_repeated_labels_count_once_on_streams_and_tables(spark, folder):
+    left = captured(spark).filter("inference_id in ('1', '2', '3')")
+    right = labels(spark).filter("inference_id in ('1', '2', '3')")
+    later = right.withColumn("gt_ts", F.col("gt_ts") + F.expr("INTERVAL 1 SECOND")).withColumn("truth", F.lit("corrected"))
+    batch = merging.stream_merge_ground_truth(left, right.unionByName(later).unionByName(right))
+    assert batch.count() == 3 and batch.filter("truth = 'corrected'").count() == 0
+    stream = merging.stream_merge_ground_truth(as_stream(spark, left, f"{folder}/c"), as_stream(spark, right.unionByName(right), f"{folder}/g"))
+    query = stream.writeStream.format("parquet").option("path", f"{folder}/m").option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start()
+    query.awaitTermination(180)
+    assert query.exception() is None and spark.read.parquet(f"{folder}/m").count() == 3
+
+
 def test_model_quality_stream(spark, folder):
     merged = merging.stream_merge_ground_truth(captured(spark), labels(spark))
     floors = evaluate.suggest_model_constraints(spark.createDataFrame([("accuracy", 0.6)], "metric STRING, value DOUBLE"))
