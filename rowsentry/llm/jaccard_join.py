@@ -4,14 +4,16 @@ Equal sets are one class from the start. Classes meet under the first quarter of
 frequent shingles last, then goes by hash): two sets with a Jaccard similarity of 0.75 or more share at least one of these. Under
 each such shingle
 
-* first every class is compared with the first class of about its size, which joins large groups of copies with as many
-  comparisons as they have members;
-* then classes that are not connected yet are searched through a tree: the shingles of a set, hashed into ``GROUPS``
-  groups, give a point of group counts, and the sum of the smaller coordinates bounds the overlap of two points, or of
-  a point and a box of points.
+* first every class is bounded against classes of about its size that it meets most often. What passes forms clusters, and
+  within a cluster, which holds its sets once, all sets are compared exactly (the bound is laxer here than the join asks);
+* then classes of different clusters are searched through a tree: the shingles of a set, hashed into groups, give a point
+  of group counts, and the sum of the smaller coordinates bounds the overlap of two points, or of a point and a box of
+  points.
 
-Surviving pairs are verified on their exact sets, and components are formed of the verified links. Classes under one shingle
-are searched in blocks of bounded size, so no shingle, however frequent, is one task's work.
+The tree's points have ``GROUPS`` coordinates; pairs it finds must pass the same bound on points with about one group for four
+shingles, as the pairs that form clusters must. What survives is verified on the exact sets, and components are formed of the
+verified links. Clusters, and classes under one shingle, are compared in blocks of bounded size, so no group of copies and
+no shingle, however frequent, is one task's work.
 
 Words lie between ASCII white space, A-Z lower-cased. Sets, like shingles, are told apart by 64-bit hashes. A text with fewer
 words than a shingle has one shingle, all its words; null and empty texts and texts without words have none and are linked
@@ -36,12 +38,30 @@ WORDS = 5
 PERCENT = 75
 GROUPS = 128
 #: Frequent shingles put last in the order; only the plan depends on them.
-FREQUENT = 1 << 16
-FREQUENT_IN_PIECE = 3
+FREQUENT = 1 << 18
+#: Shingles that a task counts at a time, and how often one must be among them.
+COUNTED = 1 << 22
+FREQUENT_AMONG = 3
 #: Classes under one shingle that one step holds; more are split.
 RUN_ROWS = 8_192
 LEAF = 64
+#: Pairs that a task gathers before it drops repeats or hands them on.
+PAIRS_HELD = 1 << 20
+#: Shingles for each group of the finer points, and the most groups they have.
+PER_GROUP = 4
+MOST_GROUPS = 1 << 13
+#: Coordinates of the tree's points end here; what is above counts as overlap.
+MOST_COUNT = 32_767
 BITMAP_BITS = 23
+#: Similarity in percent that a bound must allow for a cluster: less than the join's, so that hardly any member of a group of
+#: near copies is left to the search between clusters. Within clusters all sets are compared, whatever brought them together.
+CLUSTER_PERCENT = 65
+#: Shingles of a cluster's sets that one step holds for each side of a block.
+CLUSTER_SHINGLES = 1 << 20
+#: Rows of ids and sets that are broadcast at most; more are joined by a shuffle.
+SMALL_ROWS = 300_000
+#: Ids from -2^61 down stand for rows without one.
+NO_ID = 1 << 61
 
 
 def _sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,16 +89,20 @@ def frequent_shingles(docs: DataFrame, column: str) -> np.ndarray:
     """Hashes, sorted, of the shingles that repeat most across texts, from counts over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, int] = {}
+        held, size = [], 0
+
+        def counted() -> pa.RecordBatch:
+            keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+            some = counts >= FREQUENT_AMONG
+            return pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(counts[some])], names=["shingle", "n"])
+
         for piece in pieces(batches, column):
-            keys, counts = np.unique(_sets(piece.column(column))[0], return_counts=True)
-            some = counts >= FREQUENT_IN_PIECE
-            for k, n in zip(keys[some].view(np.int64).tolist(), counts[some].tolist()):
-                seen[k] = seen.get(k, 0) + n
-            if len(seen) > 4 * FREQUENT:
-                seen = dict(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: 2 * FREQUENT])
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())],
-                                         names=["shingle", "n"])
+            held.append(_sets(piece.column(column))[0])
+            size += len(held[-1])
+            if size >= COUNTED:
+                yield counted()
+                held, size = [], 0
+        yield counted()
 
     best = docs.select(column).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")) \
         .orderBy(F.desc("n"), "shingle").limit(FREQUENT).select("shingle")
@@ -109,13 +133,17 @@ def _signatures(docs: DataFrame, column: str, frequent: np.ndarray) -> DataFrame
             rank = np.arange(len(hashes)) - np.repeat(cuts[:-1], size)
             prefix = np.where(fresh, size // 4 + 1, 0)
             keys = hashes[order][(rank < np.repeat(prefix, size)) & np.repeat(fresh, size)].view(np.int64)
-            group = (hashes >> np.uint64(40)).astype(np.int64) % GROUPS
-            counts = np.bincount(of * GROUPS + group, minlength=len(ids) * GROUPS).reshape(-1, GROUPS)[fresh].astype(np.int32)
+            groups = np.where(fresh, np.clip(1 << np.ceil(np.log2(np.maximum(size / PER_GROUP, 1))).astype(np.int64),
+                                             GROUPS, MOST_GROUPS), 0)
+            start = np.cumsum(groups) - groups
+            mine = np.repeat(fresh, size)
+            group = np.repeat(start, size)[mine] + (hashes[mine] >> np.uint64(40)).astype(np.int64) % np.repeat(groups, size)[mine]
+            counts = np.bincount(group, minlength=int(groups.sum())).astype(np.int32)
             ends = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [piece.column("id"), pa.array(size, pa.int32()), pa.array(ids),
                  pa.ListArray.from_arrays(ends(np.minimum(prefix, size)), pa.array(keys)),
-                 pa.ListArray.from_arrays(ends(fresh * GROUPS), pa.array(counts.ravel()))], names=["id", "n", "set", "keys", "counts"])
+                 pa.ListArray.from_arrays(ends(groups), pa.array(counts))], names=["id", "n", "set", "keys", "counts"])
 
     return docs.select("id", column).mapInArrow(run, "id long, n int, set long, keys array<long>, counts array<int>")
 
@@ -123,16 +151,17 @@ def _signatures(docs: DataFrame, column: str, frequent: np.ndarray) -> DataFrame
 RATIO = math.log(100 / PERCENT)
 
 
-def whole_runs(batches: Iterator[pa.RecordBatch], columns: list[str], keys: int) -> Iterator[tuple[dict, bool]]:
+def whole_runs(batches: Iterator[pa.RecordBatch], columns: list[str], keys: int, uneven: str = "") -> Iterator[tuple[dict, bool]]:
     """Sorted rows regrouped so that no run of the first ``keys`` columns is cut, up to ``16 * RUN_ROWS`` rows of one run.
 
-    The flag says that the last run goes on; the caller may hand rows back by ``send``.
+    The flag says that the last run goes on; the caller may hand rows back by ``send``. Lists have one length each, but
+    for those of the column ``uneven``.
     """
     kept: dict | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = {c: _numpy(batch.column(c)) for c in columns}
+        rows = {c: _numpy(batch.column(c), c == uneven) for c in columns}
         if kept is not None:
             rows = {c: np.concatenate([kept[c], rows[c]]) for c in columns}
         same = np.ones(len(rows[columns[0]]), bool)
@@ -150,7 +179,12 @@ def whole_runs(batches: Iterator[pa.RecordBatch], columns: list[str], keys: int)
         yield kept, False
 
 
-def _numpy(column: pa.Array) -> np.ndarray:
+def _numpy(column: pa.Array, uneven: bool = False) -> np.ndarray:
+    if uneven:
+        ends, flat = column.offsets.to_numpy() - column.offsets[0].as_py(), column.flatten().to_numpy()
+        out = np.empty(len(column), object)
+        out[:] = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        return out
     if pa.types.is_list(column.type):
         return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
     return column.to_numpy(zero_copy_only=False)
@@ -189,16 +223,17 @@ def _meetings(signatures: DataFrame) -> DataFrame:
             start = first_of(opens)
             many = np.bincount(start, minlength=len(key))[start] > 1
             firsts = stand_ins(opens, n)
+            before = np.where(opens, ids, np.roll(ids, 1))
             if many.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[many]) for x in (key, n, ids, place, ids[firsts[0]], ids[firsts[1]])],
-                    names=["key", "n", "set", "place", "near", "nearer"])
+                    [pa.array(x[many]) for x in (key, n, ids, place, ids[firsts[0]], ids[firsts[1]], before)],
+                    names=["key", "n", "set", "place", "near", "nearer", "before"])
             if open_:
                 # What stands for the sizes of a run that goes on meets its other rows.
                 some = np.unique(np.concatenate(firsts))
                 source.send({"key": key[some], "n": n[some], "set": ids[some], "place": place[some]})
 
-    return rows.mapInArrow(run, "key long, n int, set long, place int, near long, nearer long")
+    return rows.mapInArrow(run, "key long, n int, set long, place int, near long, nearer long, before long")
 
 
 def needed(n: np.ndarray) -> np.ndarray:
@@ -218,18 +253,20 @@ class CountTree:
             spread = points[tile].max(axis=0) - points[tile].min(axis=0)
             tiles.append(tile[np.argsort(points[tile, int(spread.argmax())], kind="stable")])
         self.order = np.concatenate(tiles)
-        self.points, self.sizes = points[self.order], sizes[self.order]
+        self.points, self.sizes = points[self.order].astype(np.int32), sizes[self.order]
         cuts = np.arange(0, len(self.order), LEAF)
         self.tops = np.maximum.reduceat(self.points, cuts, axis=0)
         self.least, self.most = np.minimum.reduceat(self.sizes, cuts), np.maximum.reduceat(self.sizes, cuts)
 
     def search(self, points: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places of the searched points and of the tree's points whose bound reaches the overlap they need."""
+        points = points.astype(np.int32)
+        above = sizes - points.sum(axis=1)
         for leaf, top in enumerate(self.tops):
             fits = (PERCENT * self.least[leaf] <= 100 * sizes) & (PERCENT * sizes <= 100 * self.most[leaf])
             asked = np.flatnonzero(fits)
             if len(asked):
-                bound = np.minimum(points[asked], top).sum(axis=1)
+                bound = np.minimum(points[asked], top).sum(axis=1) + above[asked]
                 asked = asked[bound >= needed(sizes[asked] + self.least[leaf])]
             if not len(asked):
                 continue
@@ -237,7 +274,7 @@ class CountTree:
             own, own_size = self.points[a: a + LEAF], self.sizes[a: a + LEAF]
             for i in range(0, len(asked), 512):
                 some = asked[i: i + 512]
-                overlap = np.minimum(points[some, None], own[None]).sum(axis=2, dtype=np.int32)
+                overlap = np.minimum(points[some, None], own[None]).sum(axis=2, dtype=np.int32) + above[some, None]
                 x, y = np.nonzero((overlap >= needed(sizes[some, None] + own_size[None]))
                                   & (PERCENT * np.maximum(sizes[some, None], own_size[None])
                                      <= 100 * np.minimum(sizes[some, None], own_size[None])))
@@ -245,65 +282,142 @@ class CountTree:
                     yield some[x], self.order[a + y]
 
 
+def group_counts(sets: np.ndarray) -> np.ndarray:
+    """The points of some shingle sets."""
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    group = (np.concatenate([np.zeros(0, np.int64), *sets]).view(np.uint64) >> np.uint64(40)).astype(np.int64) % GROUPS
+    return np.bincount(of * GROUPS + group, minlength=len(sets) * GROUPS).reshape(-1, GROUPS)
+
+
+def _joining(x, y, root: np.ndarray, sets: np.ndarray, above: dict) -> list[int]:
+    """Of the candidate pairs those that are linked and join what was apart so far; ``above`` remembers what is joined."""
+
+    def top(r: int) -> int:
+        while r in above:
+            r = above[r]
+        return r
+
+    out = []
+    for k, (i, j) in enumerate(zip(x.tolist(), y.tolist())):
+        a, b = top(int(root[i])), top(int(root[j]))
+        if a != b:
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= PERCENT * (len(sets[i]) + len(sets[j]) - both):
+                above[max(a, b)] = min(a, b)
+                out.append(k)
+    return out
+
+
 def open_pairs(meetings: DataFrame, classes: DataFrame) -> DataFrame:
-    """Distinct pairs ``a < b`` of classes that are not connected (``root``), share a key, and pass the tree's bound."""
+    """Distinct pairs ``a < b`` of classes that are not connected (``root``), share a key, and pass the tree's bound.
+
+    ``classes`` has the points (``counts``) or, if sets are small, the sets themselves (``shingles``); then the pairs are
+    verified at once, and of each run only those are given that join what was apart.
+    """
+    exact = "shingles" in classes.columns
+    last = "shingles" if exact else "counts"
     rows = meetings.select("key", "n", "set", "place").join(classes, "set")
     crowded = meetings.groupBy("key").agg(F.count("*").alias("rows")) \
         .filter(F.col("rows") > RUN_ROWS).select("key", F.ceil(F.col("rows") / RUN_ROWS).cast("int").alias("parts"))
     mixed = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     rows = rows.join(mixed, "key", "left_semi").join(crowded, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     part = F.pmod(F.xxhash64("set"), F.col("parts")).cast("int")
+    names = ["key", "p", "q", "n", "set", "place", "root", "part", last]
     rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
-        .select("key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "n", "set", "place", "root", "part", "counts")
+        .withColumn("p", F.least("part", "other")).withColumn("q", F.greatest("part", "other")).select(names)
     rows = rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "n", "set")
-    names = ["key", "p", "q", "n", "set", "place", "root", "part", "counts"]
 
     def pairs(rows_: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        opens = np.ones(len(rows_["key"]), bool)
+        opens = np.zeros(len(rows_["key"]), bool)
+        opens[:1] = True
         for c in ("key", "p", "q"):
-            opens[1:] &= rows_[c][1:] == rows_[c][:-1]
-        opens[1:] = ~opens[1:]
+            opens[1:] |= rows_[c][1:] != rows_[c][:-1]
         cuts = np.append(np.flatnonzero(opens), len(opens))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if b - a < 2:
-                continue
-            n, ids, place, root, part, counts = (rows_[c][a:b] for c in ("n", "set", "place", "root", "part", "counts"))
-            if (root == root[0]).all():
+            n, ids, place, root, part, held = (rows_[c][a:b] for c in ("n", "set", "place", "root", "part", last))
+            if b - a < 2 or (root == root[0]).all():
                 continue
             one = part == rows_["p"][a]
             left, right = np.flatnonzero(one), np.flatnonzero(~one if rows_["p"][a] != rows_["q"][a] else one)
             if not len(left) or not len(right):
                 continue
-            tree = CountTree(counts[left], n[left])
-            for x, y in tree.search(counts[right], n[right]):
+            points = group_counts(held) if exact else held
+            tree, above = CountTree(points[left], n[left]), {}
+            for x, y in tree.search(points[right], n[right]):
                 x, y = right[x], left[y]
                 # Under the first shingle that two sets share, what comes after it bounds their overlap, too.
-                good = (root[x] != root[y]) & (np.minimum(n[x] - place[x], n[y] - place[y]) >= needed(n[x] + n[y]))
-                if good.any():
+                good = np.flatnonzero((root[x] != root[y]) & (np.minimum(n[x] - place[x], n[y] - place[y]) >= needed(n[x] + n[y])))
+                if exact and len(good):
+                    good = good[_joining(x[good], y[good], root, held, above)]
+                if len(good):
                     yield np.minimum(ids[x], ids[y])[good], np.maximum(ids[x], ids[y])[good]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source = whole_runs(batches, names, 3)
-        for rows_, open_ in source:
+        found: list[np.ndarray] = []
+
+        def distinct() -> np.ndarray:
+            return np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
+
+        for rows_, open_ in whole_runs(batches, names, 3, "shingles"):
             if rows_ is None:
                 continue
             if open_:
                 raise RuntimeError("a block holds more classes than its key was split for")
-            found = list(pairs(rows_))
-            if found:
-                both = np.unique(np.stack([np.concatenate(c) for c in zip(*found)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+            found += [np.stack(p, axis=1) for p in pairs(rows_)]
+            if sum(map(len, found)) > PAIRS_HELD:
+                found = [distinct()]
+                if len(found[0]) > PAIRS_HELD // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(found[0][:, 0]), pa.array(found[0][:, 1])], names=["a", "b"])
+                    found = []
+        rest = distinct()
+        yield pa.RecordBatch.from_arrays([pa.array(rest[:, 0]), pa.array(rest[:, 1])], names=["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose sizes and group counts allow a link."""
+def fold(counts: np.ndarray, groups: int) -> np.ndarray:
+    """The counts of a power of two of groups as those of fewer groups."""
+    return counts.reshape(-1, groups).sum(axis=0)
+
+
+def _coarse(classes: DataFrame) -> DataFrame:
+    """``set, counts`` with the ``GROUPS`` coordinates of the tree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                lists = batch.column("counts")
+                size = np.diff(lists.offsets.to_numpy())
+                of = np.repeat(np.arange(batch.num_rows), size)
+                at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+                counts = np.bincount(of * GROUPS + at % GROUPS, lists.flatten().to_numpy(), batch.num_rows * GROUPS)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("set"), pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * GROUPS, pa.int32()),
+                                                                   pa.array(np.minimum(counts, MOST_COUNT).astype(np.int16)))], names=["set", "counts"])
+
+    return classes.select("set", "counts").mapInArrow(run, "set long, counts array<smallint>")
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs ``a, b`` whose sizes allow a link and whose finer group counts allow a similarity of ``percent``."""
     side = lambda x: classes.select(F.col("set").alias(x), F.col("n").alias(f"n{x}"), F.col("counts").alias(f"c{x}"))
-    overlap = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, v: s + v)
-    return pairs.join(side("a"), "a").join(side("b"), "b") \
-        .filter(PERCENT * F.greatest("na", "nb") <= 100 * F.least("na", "nb")) \
-        .filter((100 + PERCENT) * overlap >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ca", "cb") \
+        .filter(PERCENT * F.greatest("na", "nb") <= 100 * F.least("na", "nb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, na, nb = (batch.column(c).to_numpy() for c in ("a", "b", "na", "nb"))
+            good = np.zeros(batch.num_rows, bool)
+            ends = [batch.column(c).offsets.to_numpy() - batch.column(c).offsets[0].as_py() for c in ("ca", "cb")]
+            flat = [batch.column(c).flatten().to_numpy() for c in ("ca", "cb")]
+            for k in range(batch.num_rows):
+                x, y = (v[e[k]: e[k + 1]] for v, e in zip(flat, ends))
+                groups = min(len(x), len(y))
+                overlap = int(np.minimum(fold(x, groups), fold(y, groups)).sum())
+                good[k] = (100 + percent) * overlap >= percent * (na[k] + nb[k])
+            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
 
 
 def pick(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, np.ndarray]:
@@ -334,10 +448,8 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .filter(100 * both >= PERCENT * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, column: str, members: DataFrame) -> DataFrame:
-    """The pairs that are linked, by the exact overlap of their sets, made anew from the texts that hold them."""
-    pairs = settle(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(members, "set")
+def _made(docs: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (``set``, the ``id`` of a text that holds it, and more) with the set's ``shingles``, made anew from the texts."""
     found, bitmap = pick(docs.select("id", column), wanted)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -349,7 +461,101 @@ def _verified(pairs: DataFrame, docs: DataFrame, column: str, members: DataFrame
                  pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes.view(np.int64)))], names=["id", "set", "shingles"])
 
     made = found.mapInArrow(run, "id long, set long, shingles array<long>")
-    return linked(pairs, settle(made.join(wanted, ["id", "set"], "left_semi").drop("id").dropDuplicates(["set"])))
+    return made.join(F.broadcast(wanted) if wanted.count() <= SMALL_ROWS else wanted, ["id", "set"])
+
+
+def spanning(sets: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links between sets of the two sides (places; the same side twice for all pairs) that join what was apart."""
+    size = np.array([len(x) for x in sets])
+    _, flat = np.unique(np.concatenate(list(sets)), return_inverse=True)
+    starts = np.cumsum(size) - size
+    flags = np.zeros(int(flat.max()) + 1, np.int32)
+    root = np.arange(len(sets))
+    apart = len(sets) - 1
+    other = np.zeros(len(sets), bool)
+    other[right] = True
+    for x in left.tolist():
+        if not apart:
+            return
+        own = flat[starts[x]: starts[x] + size[x]]
+        flags[own] = 1
+        both = np.add.reduceat(flags[flat], starts)
+        flags[own] = 0
+        for y in np.flatnonzero(other & (100 * both >= PERCENT * (size[x] + size - both)) & (root != root[x])).tolist():
+            if root[y] != root[x]:
+                root[root == root[y]] = root[x]
+                apart -= 1
+                yield x, y
+
+
+def _clustered(pairs: DataFrame, classes: DataFrame, docs: DataFrame, column: str, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The clusters that ``pairs`` form (``node, root``), and links that connect within each what exact similarity connects."""
+    clusters = settle(components(pairs))
+    rows = clusters.select(F.col("node").alias("set"), F.col("root").alias("cluster")).join(classes.select("set", "n"), "set").join(members, "set")
+    rows = settle(rows)
+    parts = rows.groupBy("cluster").agg(F.greatest(F.ceil(F.sum("n") / CLUSTER_SHINGLES), F.ceil(F.count("*") / RUN_ROWS)).cast("int").alias("parts"))
+    wanted = settle(rows.join(parts, "cluster").select("set", "id", "cluster", "parts"))
+    part = F.pmod(F.xxhash64("set"), F.col("parts")).cast("int")
+    made = _made(docs, column, wanted).withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    names = ["cluster", "p", "q", "set", "part", "shingles"]
+    made = made.withColumn("p", F.least("part", "other")).withColumn("q", F.greatest("part", "other")).select(names) \
+        .repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q", "set")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows_, open_ in whole_runs(batches, names, 3, "shingles"):
+            if rows_ is None:
+                continue
+            if open_:
+                raise RuntimeError("a block holds more sets than its cluster was split for")
+            opens = np.zeros(len(rows_["set"]), bool)
+            opens[:1] = True
+            for c in ("cluster", "p", "q"):
+                opens[1:] |= rows_[c][1:] != rows_[c][:-1]
+            cuts, out = np.append(np.flatnonzero(opens), len(opens)), []
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                ids = rows_["set"][a:b]
+                # A set that several texts of its id hold comes more than once.
+                first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) + a
+                one = rows_["part"][first] == rows_["p"][a]
+                left = np.flatnonzero(one)
+                right = left if rows_["p"][a] == rows_["q"][a] else np.flatnonzero(~one)
+                if len(left) and len(right) and len(first) > 1:
+                    ids = rows_["set"][first]
+                    out += [(int(ids[x]), int(ids[y])) for x, y in spanning(rows_["shingles"][first], left, right)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return clusters, made.mapInArrow(compare, "a long, b long")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, column: str, members: DataFrame) -> DataFrame:
+    """The pairs that are linked, by the exact overlap of their sets.
+
+    The sets of all ``b`` go to the set of their ``a``, which a task holds alone while it reads them one by one.
+    """
+    pairs = settle(pairs.select("a", "b"))
+    roles = pairs.select("a", F.col("b").alias("set"), F.lit(1).alias("role")).unionAll(
+        pairs.select("a", F.col("a").alias("set"), F.lit(0).alias("role")).distinct())
+    met = _made(docs, column, settle(roles.join(members, "set"))).select("a", "role", "set", "shingles") \
+        .repartition("a").sortWithinPartitions("a", "role", "set")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds, own, last = None, np.zeros(0, np.int64), None
+        for batch in batches:
+            a, role, other = (batch.column(c).to_numpy() for c in ("a", "role", "set"))
+            sets, good = _numpy(batch.column("shingles"), True), []
+            for k in range(batch.num_rows):
+                if role[k] == 0:
+                    holds, own = a[k], sets[k].copy()
+                elif holds == a[k] and (a[k], other[k]) != last:
+                    both = len(np.intersect1d(own, sets[k], assume_unique=True))
+                    if 100 * both >= PERCENT * (len(own) + len(sets[k]) - both):
+                        good.append(k)
+                    last = (a[k], other[k])
+            if good:
+                yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(other[good])], names=["a", "b"])
+
+    return met.mapInArrow(compare, "a long, b long")
 
 
 def join(df: DataFrame, doc_id: str = "doc_id", column: str = "text") -> DataFrame:
@@ -357,24 +563,27 @@ def join(df: DataFrame, doc_id: str = "doc_id", column: str = "text") -> DataFra
 
     A row without an id gets the smallest id of its component, null if there is none.
     """
-    docs = df.select(F.col(doc_id).cast("long").alias("id"), F.col(column).alias("text"))
+    own = F.coalesce(F.col(doc_id).cast("long"), -F.lit(NO_ID) - F.pmod(F.xxhash64(column), F.lit(NO_ID)))
+    docs = df.select(own.alias("id"), F.col(column).alias("text"))
     signatures = settle(_signatures(docs, "text", frequent_shingles(docs, "text")))
     members = signatures.filter("n > 0").groupBy("set").agg(F.min("id").alias("id"))
     classes = settle(signatures.filter(F.size("counts") > 0).dropDuplicates(["set"]).select("set", "n", "counts"))
     meetings = settle(_meetings(signatures))
-    stars = meetings.select("set", F.explode(F.array("near", "nearer")).alias("near")).filter("set <> near") \
+    # Of the classes that stand for its size and of its neighbours, those that a class meets most often.
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("near")) for k, c in enumerate(("near", "nearer", "before"))])
+    stars = meetings.select("set", F.inline(kinds)).filter("set <> near") \
+        .groupBy("set", "kind", "near").agg(F.count("*").alias("times")) \
+        .groupBy("set", "kind").agg(F.max_by("near", F.struct("times", "near")).alias("near")) \
         .select(F.least("set", "near").alias("a"), F.greatest("set", "near").alias("b")).distinct()
-    tried = settle(_bounded(stars, classes))
-    links = settle(_verified(tried, docs, "text", members))
-    roots = components(links)
-    known = classes.select("set", "counts").join(roots.withColumnRenamed("node", "set"), "set", "left") \
-        .withColumn("root", F.coalesce("root", "set"))
-    rest = open_pairs(meetings, known).join(tried, ["a", "b"], "left_anti")
-    more = settle(_verified(rest, docs, "text", members))
-    roots = components(links.unionAll(more))
+    clusters, inner = _clustered(_bounded(stars, classes, CLUSTER_PERCENT), classes, docs, "text", members)
+    links = settle(inner)
+    coarse = _coarse(classes).join(clusters.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    rest = _bounded(open_pairs(meetings, coarse), classes)
+    roots = settle(components(links.unionAll(_verified(rest, docs, "text", members))))
     rows = signatures.select("id", "n", "set").join(roots.withColumnRenamed("node", "set"), "set", "left") \
         .withColumn("root", F.coalesce("root", "set"))
-    names = rows.filter("n > 0").groupBy("root").agg(F.min("id").alias("least"))
+    names = rows.filter((F.col("n") > 0) & (F.col("id") > -NO_ID)).groupBy("root").agg(F.min("id").alias("least"))
+    named = F.when(F.col("id") > -NO_ID, F.col("id"))
     return rows.join(names, "root", "left").select(
-        F.col("id").alias(doc_id), F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"))
+        named.alias(doc_id), F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("least")).otherwise(named).alias("component_id"))
