@@ -5,8 +5,8 @@ recall at the similarity); paragraphs that collide in a band are verified by the
 repeated passages also lie inside longer paragraphs, paragraphs are cut where the hash of three words is the least of its
 surroundings, a place that depends on the passage alone; such pieces collide when they are equal.
 
-Colliding paragraphs are first compared with the first of about their size and then, where they are not connected, through the
-count tree of the Jaccard join, so that a line that fills a third of the table is no task's square. Of each component the first
+Colliding paragraphs are first compared with the first of about their size and with their neighbour, and then, where they are not
+connected, through the count tree of the Jaccard join, so that a line that fills a third of the table is no task's square. Of each component the first
 place (smallest id, then start) stays, the others are removals. Neighbouring repeated units of a document make one passage;
 passages shorter than ``MIN_CHARACTERS`` are not reported, nor are repeats within one document alone.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from rowsentry.llm.common import mix, pieces, run_hashes, settle, shingle_hashes, span_hashes, utf8, word_spans
 from rowsentry.llm.components import components
-from rowsentry.llm.jaccard_join import GROUPS, first_of, linked, open_pairs, pick, picked, stand_ins, whole_runs
+from rowsentry.llm.jaccard_join import first_of, linked, open_pairs, pick, picked, stand_ins, whole_runs
 
 SIMILARITY = 0.75
 RECALL = 0.99
@@ -144,7 +144,10 @@ def _rows(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def _collisions(rows: DataFrame) -> DataFrame:
-    """The rows whose key others have, too; the sets that stand for their size; whether a key has different sets."""
+    """The rows whose key others have, too, with the sets they are compared with first, and whether a key has different sets.
+
+    These are the sets that stand for their size and the set before them: in a group of near copies few then stay apart.
+    """
     names = ["key", "n", "set", "id", "start", "end"]
     dealt = rows.repartition("key").sortWithinPartitions("key", "n", "set", "id", "start")
 
@@ -162,19 +165,20 @@ def _collisions(rows: DataFrame) -> DataFrame:
             many = np.bincount(start, minlength=len(key))[start] > 1
             differ = np.bincount(start, ids != ids[start], minlength=len(key))[start] > 0
             firsts = stand_ins(opens, n)
+            before = np.where(opens, ids, np.roll(ids, 1))
             if many.any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[many]) for x in (key, n, ids, *rest, ids[firsts[0]], ids[firsts[1]], differ)],
-                    names=[*names, "near", "nearer", "differ"])
+                    [pa.array(x[many]) for x in (key, n, ids, *rest, ids[firsts[0]], ids[firsts[1]], before, differ)],
+                    names=[*names, "near", "nearer", "before", "differ"])
             if open_:
                 some = np.unique(np.concatenate(firsts))
                 source.send({c: v[new][some] for c, v in found.items()})
 
-    return dealt.mapInArrow(run, "key long, n int, set long, id long, start int, end int, near long, nearer long, differ boolean")
+    return dealt.mapInArrow(run, "key long, n int, set long, id long, start int, end int, near long, nearer long, before long, differ boolean")
 
 
 def _unit_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``set, n, shingles, counts`` of the units ``set`` that ``wanted`` names with the ``id`` of a text that holds them."""
+    """``set, shingles`` of the units ``set`` that ``wanted`` names with the ``id`` of a text that holds them."""
     found, bitmap = pick(docs, wanted)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -205,22 +209,6 @@ def _unit_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return made.join(wanted, ["id", "set"], "left_semi").drop("id").dropDuplicates(["set"])
 
 
-def _counted(sets: DataFrame) -> DataFrame:
-    """``set, counts``: the group counts of the shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("shingles")
-            of = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            group = (lists.flatten().to_numpy().view(np.uint64) >> np.uint64(40)).astype(np.int64) % GROUPS
-            counts = np.bincount(of * GROUPS + group, minlength=batch.num_rows * GROUPS).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("set"), pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * GROUPS, pa.int32()), pa.array(counts))],
-                names=["set", "counts"])
-
-    return sets.select("set", "shingles").mapInArrow(run, "set long, counts array<int>")
-
-
 def repeats(df: DataFrame, doc_id: str = "doc_id", column: str = "text", min_characters: int = MIN_CHARACTERS,
             similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """Passages that repeat across documents.
@@ -235,15 +223,14 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", column: str = "text", min_cha
     mixed = met.filter("differ")
     wanted = settle(mixed.groupBy("set").agg(F.min("id").alias("id")))
     sets = settle(_unit_sets(docs, wanted))
-    stars = mixed.select("set", F.explode(F.array("near", "nearer")).alias("near")).filter("set <> near") \
+    stars = mixed.select("set", F.explode(F.array("near", "nearer", "before")).alias("near")).filter("set <> near") \
         .select(F.least("set", "near").alias("a"), F.greatest("set", "near").alias("b")).distinct()
-    tried = settle(stars)
-    links = settle(linked(tried, sets))
-    classes = _counted(sets).join(components(links).withColumnRenamed("node", "set"), "set", "left") \
-        .withColumn("root", F.coalesce("root", "set"))
+    links = settle(linked(stars, sets))
+    classes = sets.join(components(links).withColumnRenamed("node", "set"), "set", "left") \
+        .select("set", "shingles", F.coalesce("root", "set").alias("root"))
     sizes = sets.select("set", F.size("shingles").alias("n"))
     meetings = settle(mixed.select("key", "set").distinct().join(sizes, "set").withColumn("place", F.lit(0)))
-    more = settle(linked(open_pairs(meetings, classes).join(tried, ["a", "b"], "left_anti"), sets))
+    more = settle(open_pairs(meetings, classes))
     roots = components(links.unionAll(more)).withColumnRenamed("node", "set")
     places = met.select("set", "id", "start", "end").distinct().join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     places = settle(places)
