@@ -2,7 +2,8 @@
 
 Terms are words (runs of ASCII letters, digits and other bytes from 0x80 on; A-Z lower-cased) and the first 4 to 6 bytes of longer
 words. The vocabulary holds the terms whose frequency differs between the labels (G-squared test on the examples), inverse document
-frequencies come from all documents. The examples, at most about ``EXAMPLES`` of each label, lie in blocks; each
+frequencies come from all documents. The examples, at most about ``EXAMPLES`` of each label and one of each group of near
+copies, lie in blocks; each
 posting list knows its largest weight in every block. A query opens blocks in the order of their bounds and stops when no other
 block can hold a nearer example, so the neighbours are exact. Votes weighted by cosine are calibrated by leaving
 each example out in turn, at the labels' real shares.
@@ -23,15 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsentry.llm.common import mix, pieces, powers, runs, settle, utf8
-from rowsentry.llm.common import _BASE, _BASE_INVERSE, _LOWER
+from rowsentry.llm.common import (
+    _BASE, _BASE_INVERSE, _LOWER, mix, pieces, powers, runs, settle, shingle_hashes, span_hashes, utf8, word_spans,
+)
 
 #: Examples of each label at most (about; chosen by the hash of their id).
-EXAMPLES = 3_000
+EXAMPLES = 2_000
 VOCABULARY = 4_096
 MIN_DOCUMENTS = 4
-MIN_G2 = 15.0
+#: The G-squared that one in some hundred thousand terms reaches by chance: chance terms would be in most texts' vectors.
+MIN_G2 = 28.0
 NEIGHBOURS = 25
+COPY_HASHES = 3
 BLOCK = 64
 PREFIXES = (4, 5, 6)
 EVIDENCE = 3
@@ -67,6 +71,36 @@ def sample(labels: DataFrame, doc_id: str, label: str, per_label: int) -> tuple[
     return rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)) < cut), sizes
 
 
+def distinct_examples(examples: DataFrame) -> DataFrame:
+    """``example_id, label, text`` with one of each group of near copies, told by the least hashes of their word triples.
+
+    The words of a text that is there many times would all seem to tell the labels apart.
+    """
+    seeds = mix(np.arange(1, COPY_HASHES + 1, dtype=np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text"):
+            data, offsets = utf8(piece.column("text"))
+            starts, ends, bounds = word_spans(data, offsets)
+            hashes, cuts = shingle_hashes(span_hashes(data, starts, ends), bounds, 3)
+            some = np.flatnonzero(np.diff(cuts))
+            least = []
+            for seed in seeds:
+                value = np.zeros(piece.num_rows, np.uint64)
+                if len(some):
+                    value[some] = np.minimum.reduceat(mix(hashes ^ seed), cuts[:-1][some])
+                least.append(pa.array(value.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("example_id", "label", "text")), *least],
+                                             names=["example_id", "label", "text", *names])
+
+    names = [f"h{k}" for k in range(COPY_HASHES)]
+    rows = examples.select("example_id", "label", "text").mapInArrow(
+        run, "example_id long, label int, text string, " + ", ".join(f"{n} long" for n in names))
+    for name in names:
+        rows = rows.groupBy(F.col(name).alias("same")).agg(F.min(F.struct(*rows.columns)).alias("row")).select("row.*")
+    return rows.select("example_id", "label", "text")
+
+
 def choose_terms(examples: DataFrame, size: int = VOCABULARY) -> np.ndarray:
     """The hashes, sorted, of the terms whose share of texts differs most between the labels (``text, label``)."""
 
@@ -240,8 +274,11 @@ def classify(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", co
     if len(picked) > 4 * per_label:
         raise ValueError("more examples than the sample allows; are ids repeated in the labels?")
     ids = F.broadcast(spark.createDataFrame(picked, "example_id long, label int"))
-    examples = documents.select(F.col(doc_id).alias("example_id"), F.col(column).alias("text")).join(ids, "example_id")
+    held = documents.select(F.col(doc_id).cast("long").alias("example_id"), F.col(column).alias("text")).join(ids, "example_id")
+    examples = settle(distinct_examples(held))
     vocabulary = choose_terms(examples)
+    ids = F.broadcast(spark.createDataFrame([tuple(r) for r in examples.select("example_id", "label").distinct().collect()],
+                                            "example_id long, label int"))
     table = settle(vectors(documents, vocabulary, column))
     total = table.count()
     seen = {r["term"]: r["n"] for r in table.select(F.explode("terms").alias("term")).groupBy("term").agg(
