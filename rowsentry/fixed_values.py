@@ -19,15 +19,12 @@ FEATURE_DDL = (
     "flipper_length_mm DOUBLE, body_mass_g DOUBLE, sex STRING"
 )
 LABEL_DOMAIN = ("Adelie", "Chinstrap", "Gentoo")
-ISLAND_DOMAIN = ("Biscoe", "Dream", "Torgersen")
-SEX_DOMAIN = ("FEMALE", "MALE")
 
 # --- fixed values: spellings of a missing value in CSV text ------------------
 NULL_MARKERS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-DOMAIN_SENTINELS = (".",)
 
 # --- fixed values: content types and error texts -----------------------------
 CSV_TYPE = "text/csv"
@@ -44,6 +41,7 @@ FOLDS = 3
 # --- fixed values: training, tuning, gate ------------------------------------
 HIDDEN_LAYERS = (10, 8)
 BATCH_SIZE = 32
+LEARNING_RATE = 0.01
 DEFAULT_EPOCHS = 20
 TUNING_EPOCHS = (10, 30, 50)
 LOG_PATTERNS = {

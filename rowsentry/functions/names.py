@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,10 +23,3 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
     absent = [n for n in names if n not in present]
     if absent:
         raise ValueError(f"missing columns: {', '.join(absent)}")
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    out = F.lit(False)
-    for condition in conditions:
-        out = out | condition
-    return out

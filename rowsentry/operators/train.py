@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from rowsentry.fixed_values import (
-    BATCH_SIZE, DEFAULT_EPOCHS, HIDDEN_LAYERS, LOG_PATTERNS, TUNING_EPOCHS,
+    BATCH_SIZE, DEFAULT_EPOCHS, HIDDEN_LAYERS, LEARNING_RATE, LOG_PATTERNS, TUNING_EPOCHS,
 )
 from rowsentry.functions.names import as_list
 
@@ -25,10 +25,14 @@ SMALLEST_PROBABILITY = 1e-15
 
 def train_classifier(df: DataFrame, n_features: int, n_classes: int, hidden: Sequence[int] = HIDDEN_LAYERS,
                      epochs: int = DEFAULT_EPOCHS, batch: int = BATCH_SIZE, seed: int = SEED,
-                     initial=None, features: str = "features", label: str = "label"):
-    """Fit a perceptron ``n_features → hidden → n_classes`` on vector and code columns."""
+                     initial=None, features: str = "features", label: str = "label", solver: str = "l-bfgs",
+                     step: float = LEARNING_RATE):
+    """Fit a perceptron ``n_features → hidden → n_classes`` on vector and code columns.
+
+    ``solver`` is ``l-bfgs`` or ``gd``, gradient descent with steps of ``step`` (which ``l-bfgs`` does not use).
+    """
     learner = MultilayerPerceptronClassifier(
-        layers=[n_features, *hidden, n_classes], maxIter=epochs, blockSize=batch, seed=seed,
+        layers=[n_features, *hidden, n_classes], maxIter=epochs, blockSize=batch, seed=seed, solver=solver, stepSize=step,
         featuresCol=features, labelCol=label)
     if initial is not None:
         learner = learner.setInitialWeights(initial)
@@ -41,19 +45,19 @@ def train_logistic(df: DataFrame, epochs: int = DEFAULT_EPOCHS, features: str =
     return learner.fit(df.select(features, F.col(label).cast("double").alias(label)))
 
 
-def fold_metrics(model, validation: DataFrame, label: str = "label") -> dict[str, float]:
-    """Validation ``val_loss`` (cross-entropy) and ``val_accuracy`` of a fitted model, in one pass."""
+def fold_metrics(model, rows: DataFrame, label: str = "label", prefix: str = "val_") -> dict[str, float]:
+    """``loss`` (cross-entropy) and ``accuracy`` of a fitted model on some rows, in one pass; of validation rows by default."""
     truth = F.col(label).cast("double")
     chosen = F.element_at(vector_to_array("probability"), truth.cast("int") + 1)
-    row = model.transform(validation).agg(
-        F.avg(-F.log(F.greatest(chosen, F.lit(SMALLEST_PROBABILITY)))).alias("val_loss"),
-        F.avg((truth == F.col("prediction")).cast("double")).alias("val_accuracy")).first()
-    return {"val_loss": row["val_loss"], "val_accuracy": row["val_accuracy"]}
+    row = model.transform(rows).agg(
+        F.avg(-F.log(F.greatest(chosen, F.lit(SMALLEST_PROBABILITY)))).alias("loss"),
+        F.avg((truth == F.col("prediction")).cast("double")).alias("accuracy")).first()
+    return {f"{prefix}{name}": row[name] for name in ("loss", "accuracy")}
 
 
 @dataclass(frozen=True)
 class FoldModels:
-    """Fitted models by fold and their validation metrics."""
+    """Fitted models by fold and their metrics on the fold's training and validation rows."""
 
     models: dict
     metrics: dict
@@ -66,7 +70,8 @@ class FoldModels:
 def train_over_folds(df: DataFrame, folds: Sequence[int], n_features: int, n_classes: int,
                      hidden: Sequence[int] = HIDDEN_LAYERS, epochs: int = DEFAULT_EPOCHS, batch: int = BATCH_SIZE,
                      seed: int = SEED, warm_start: bool = True, fold: str = "fold", split: str = "split",
-                     features: str = "features", label: str = "label", persist: bool = True) -> FoldModels:
+                     features: str = "features", label: str = "label", persist: bool = True, solver: str = "l-bfgs",
+                     step: float = LEARNING_RATE) -> FoldModels:
     """One model per fold; with ``warm_start`` each goes on from the previous fold's weights.
 
     Warm-started models have seen rows of earlier folds, so their validation score is
@@ -84,8 +89,8 @@ def train_over_folds(df: DataFrame, folds: Sequence[int], n_features: int, n_cla
             train = held.filter((F.col(fold) == f) & (F.col(split) == "train"))
             valid = held.filter((F.col(fold) == f) & (F.col(split) == "validation"))
             models[f] = train_classifier(train, n_features, n_classes, hidden, epochs, batch, seed,
-                                         weights, features, label)
-            metrics[f] = fold_metrics(models[f], valid, label)
+                                         weights, features, label, solver, step)
+            metrics[f] = fold_metrics(models[f], valid, label) | fold_metrics(models[f], train, label, "")
             weights = models[f].weights if warm_start else None
     finally:
         if persist:

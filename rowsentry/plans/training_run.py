@@ -82,6 +82,9 @@ def training_run(spark: SparkSession, df: DataFrame, group: str, key: str | Sequ
     numbers = list(range(1, folds + 1))
     trials, results = train.tune(vectors, numbers, len(fitted.feature_names), len(fitted.domain(label)),
                                  trials=epochs, hidden=hidden, persist=False)
+    for number, result in results.items():
+        source = F.format_string(f"trial_{number}_fold_%d", "fold")
+        reports.write_metrics(result.metrics_table(spark), f"{folder}/metrics", source)
     best = results[train.top_models(trials).first()["trial"]]
     train.save_models(best.models, f"{folder}/models")
     score_test(splits, fitted, best.models, keys, label).write.mode("overwrite").parquet(f"{folder}/predictions")

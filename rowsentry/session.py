@@ -25,12 +25,9 @@ def local_session(cpus: int | str = 8, name: str = "rowsentry", **conf: str) ->
     return spark
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
-
-    ``fallback`` is used only when the session names none (a local test session).
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, as named in ``spark.checkpoint.dir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ValueError("spark.checkpoint.dir is unset; name a folder all executors can reach")
     return folder.rstrip("/")

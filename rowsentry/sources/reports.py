@@ -60,9 +60,9 @@ def read_violations(spark: SparkSession, path: str, multi_line: bool = False) ->
     return docs.select("run_id", "window_start", F.inline("violations"))
 
 
-def write_metrics(metrics: DataFrame, path: str, source: str, window: Column | str | None = None) -> None:
-    """Append ``metric, value`` rows to the long metrics table, laid out by source."""
+def write_metrics(metrics: DataFrame, path: str, source: str | Column, window: Column | str | None = None) -> None:
+    """Append ``metric, value`` rows to the long metrics table, laid out by source (a name, or a column of names)."""
     start = F.lit(None).cast("timestamp") if window is None else (F.col(window) if isinstance(window, str) else window)
-    rows = metrics.select(start.cast("timestamp").alias("window_start"), F.lit(source).alias("source"),
+    rows = metrics.select(start.cast("timestamp").alias("window_start"), (F.lit(source) if isinstance(source, str) else source).alias("source"),
                           "metric", F.col("value").cast("double").alias("value"))
     rows.write.mode("append").partitionBy("source").parquet(path)

@@ -25,7 +25,7 @@ def fitted_models(prepared):
 def test_a_model_per_fold_with_metrics(spark, fitted_models):
     table = fitted_models.metrics_table(spark)
     got = {(r["fold"], r["metric"]) for r in table.collect()}
-    assert got == {(f, m) for f in (1, 2, 3) for m in ("val_loss", "val_accuracy")}
+    assert got == {(f, m) for f in (1, 2, 3) for m in ("val_loss", "val_accuracy", "loss", "accuracy")}
     assert all(m["val_accuracy"] > 0.8 for m in fitted_models.metrics.values())
 
 
@@ -77,6 +77,13 @@ def test_tuning_and_top_models(prepared):
     assert len(best) == 1 and best[0]["rank"] == 0 and best[0]["val_accuracy"] == max(r["val_accuracy"] for r in got.values())
 
 
+def test_gradient_descent_and_its_step_are_passed_on(prepared):
+    rows = prepared[0].filter("fold = 1 AND split = 'train'")
+    models = [train.train_classifier(rows, len(prepared[1].feature_names), 3, epochs=3, solver="gd", step=s) for s in (0.01, 0.5)]
+    assert [m.getSolver() for m in models] == ["gd", "gd"] and [m.getStepSize() for m in models] == [0.01, 0.5]
+    assert models[0].weights != models[1].weights
+
+
 def test_top_models_ties(spark):
     trials = spark.createDataFrame([(2, 0.9), (1, 0.9), (3, 0.95), (4, 0.1)], "trial INT, val_accuracy DOUBLE")
     assert [(r["trial"], r["rank"]) for r in train.top_models(trials, 2).orderBy("rank").collect()] == [(3, 0), (1, 1), (2, 2)]
@@ -123,6 +130,9 @@ def test_training_run_end_to_end(spark, labelled, folder):
     assert run.passed and run.accuracy >= 0.6 and run.message is None
     report = json.loads(reports.read_eval_report(spark, f"{folder}/report").first()["report"])
     assert set(report["metrics"]["accuracy"]) == {"model_1", "model_2", "model_3"}
+    written = spark.read.parquet(f"{folder}/metrics").filter("source <> 'baseline'")
+    assert {(r["source"], r["metric"]) for r in written.collect()} == {
+        (f"trial_{t}_fold_{f}", m) for t in (0, 1) for f in (1, 2, 3) for m in ("loss", "accuracy", "val_loss", "val_accuracy")}
     assert spark.read.parquet(f"{folder}/constraints").count() == 6
     assert {r["metric"] for r in spark.read.parquet(f"{folder}/floors").collect()} >= {"accuracy", "weighted_f1"}
     entry = plan.read_registry(spark, f"{folder}/registry").collect()
@@ -151,5 +161,4 @@ def test_folder_comes_from_the_session():
 
     with pytest.raises(ValueError):
         shared_folder(session())
-    assert shared_folder(session(), "/x/") == "/x"
-    assert shared_folder(session(**{"spark.checkpoint.dir": "/shared/place/"}), "/x") == "/shared/place"
+    assert shared_folder(session(**{"spark.checkpoint.dir": "/shared/place/"})) == "/shared/place"
