@@ -27,11 +27,24 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it back: later steps start there, also after lost executors."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def settle(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: later steps start there, also after lost executors.
+
+    ``batch_rows`` bounds the Arrow batches of this write, for rows that hold whole sets.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession)
+    before = spark.conf.get(_BATCH_ROWS, None)
+    try:
+        if batch_rows:
+            spark.conf.set(_BATCH_ROWS, str(batch_rows))
+        df.write.parquet(path)
+    finally:
+        if batch_rows and before is not None:
+            spark.conf.set(_BATCH_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:

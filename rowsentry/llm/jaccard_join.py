@@ -60,6 +60,8 @@ CLUSTER_PERCENT = 65
 CLUSTER_SHINGLES = 1 << 20
 #: Rows of ids and sets that are broadcast at most; more are joined by a shuffle.
 SMALL_ROWS = 300_000
+#: Rows of whole sets in an Arrow batch.
+SET_ROWS = 512
 #: Ids from -2^61 down stand for rows without one.
 NO_ID = 1 << 61
 
@@ -576,10 +578,11 @@ def join(df: DataFrame, doc_id: str = "doc_id", column: str = "text") -> DataFra
         .groupBy("set", "kind").agg(F.max_by("near", F.struct("times", "near")).alias("near")) \
         .select(F.least("set", "near").alias("a"), F.greatest("set", "near").alias("b")).distinct()
     clusters, inner = _clustered(_bounded(stars, classes, CLUSTER_PERCENT), classes, docs, "text", members)
-    links = settle(inner)
+    links = settle(inner, SET_ROWS)
     coarse = _coarse(classes).join(clusters.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     rest = _bounded(open_pairs(meetings, coarse), classes)
-    roots = settle(components(links.unionAll(_verified(rest, docs, "text", members))))
+    more = settle(_verified(rest, docs, "text", members), SET_ROWS)
+    roots = settle(components(links.unionAll(more)))
     rows = signatures.select("id", "n", "set").join(roots.withColumnRenamed("node", "set"), "set", "left") \
         .withColumn("root", F.coalesce("root", "set"))
     names = rows.filter((F.col("n") > 0) & (F.col("id") > -NO_ID)).groupBy("root").agg(F.min("id").alias("least"))
