@@ -28,7 +28,7 @@ from rowsentry.llm.common import pieces, ragged
 WIDTHS = (4, 6, 8, 12, 16, 24, 32, 48, 64, 128, 256)
 LONG_WORD = WIDTHS[-1]
 #: Encoded words that a Python worker keeps; beyond it the store starts anew.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 NONE = np.int32(2**31 - 1)
 #: A rank file is broadcast; larger ones are refused.
 MAX_RANK_BYTES = 64 << 20

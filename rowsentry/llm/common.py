@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one numpy step works on; one longer text is a step of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 MASK64 = (1 << 64) - 1
 
 
@@ -47,6 +48,15 @@ def settle(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker lives on, and its next task may be another operator's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``limit`` text bytes."""
     for batch in batches:
@@ -57,6 +67,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
             yield batch.slice(a, b - a)
+    release()
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

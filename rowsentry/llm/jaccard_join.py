@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsentry.llm.common import mix, pieces, settle, shingle_hashes, span_hashes, utf8, word_spans
+from rowsentry.llm.common import mix, pieces, release, settle, shingle_hashes, span_hashes, utf8, word_spans
 from rowsentry.llm.components import components
 
 WORDS = 5
@@ -40,8 +40,8 @@ GROUPS = 128
 #: Frequent shingles put last in the order; only the plan depends on them.
 FREQUENT = 1 << 18
 #: Shingles that a task counts at a time, and how often one must be among them.
-COUNTED = 1 << 22
-FREQUENT_AMONG = 3
+COUNTED = 1 << 20
+FREQUENT_AMONG = 2
 #: Classes under one shingle that one step holds; more are split.
 RUN_ROWS = 8_192
 LEAF = 64
@@ -179,6 +179,7 @@ def whole_runs(batches: Iterator[pa.RecordBatch], columns: list[str], keys: int,
             yield None, False
     if kept is not None and len(kept[columns[0]]):
         yield kept, False
+    release()
 
 
 def _numpy(column: pa.Array, uneven: bool = False) -> np.ndarray:
