@@ -1,9 +1,9 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine, found through a block-max inverted index.
 
 Terms are words (runs of ASCII letters, digits and other bytes from 0x80 on; A-Z lower-cased) and the first 4 to 6 bytes of longer
-words. The vocabulary holds the terms whose frequency differs between the labels (G-squared test on the examples), inverse document
-frequencies come from all documents. The examples, at most about ``EXAMPLES`` of each label and one of each group of near
-copies, lie in blocks; each
+words. The vocabulary holds the ``VOCABULARY`` terms whose frequency differs most between the labels (by G-squared on the examples),
+inverse document frequencies come from all documents. The examples are at most about ``EXAMPLES`` of each label; of those of a label whose word
+triples have a Jaccard similarity of ``COPY_SIMILARITY`` or more one stays. They lie in blocks; each
 posting list knows its largest weight in every block. A query opens blocks in the order of their bounds and stops when no other
 block can hold a nearer example, so the neighbours are exact. Votes weighted by cosine are calibrated by leaving
 each example out in turn, at the labels' real shares.
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,17 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsentry.llm.common import (
-    _BASE, _BASE_INVERSE, _LOWER, mix, pieces, powers, runs, settle, shingle_hashes, span_hashes, utf8, word_spans,
+    _BASE, _BASE_INVERSE, _LOWER, mix, pieces, powers, ragged, runs, settle, shingle_hashes, span_hashes, utf8, word_spans,
 )
 
 #: Examples of each label at most (about; chosen by the hash of their id).
-EXAMPLES = 2_000
+EXAMPLES = 3_000
 VOCABULARY = 4_096
 MIN_DOCUMENTS = 4
-#: The G-squared that one in some hundred thousand terms reaches by chance: chance terms would be in most texts' vectors.
-MIN_G2 = 28.0
 NEIGHBOURS = 25
+#: Least hashes of a text's word triples, any of which brings examples of a label together to be compared.
 COPY_HASHES = 3
+COPY_SIMILARITY = 0.75
 BLOCK = 64
 PREFIXES = (4, 5, 6)
 EVIDENCE = 3
@@ -72,17 +72,25 @@ def sample(labels: DataFrame, doc_id: str, label: str, per_label: int) -> tuple[
 
 
 def distinct_examples(examples: DataFrame) -> DataFrame:
-    """``example_id, label, text`` with one of each group of near copies, told by the least hashes of their word triples.
+    """``example_id, label, text`` without near copies of a smaller example of the same label.
 
-    The words of a text that is there many times would all seem to tell the labels apart.
+    The words of a text that is there many times would all seem to tell the labels apart. Examples of a label that share one of
+    the least hashes of their word triples are compared with the smallest of them by the exact Jaccard similarity.
     """
     seeds = mix(np.arange(1, COPY_HASHES + 1, dtype=np.uint64))
+    names = [f"h{k}" for k in range(COPY_HASHES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             data, offsets = utf8(piece.column("text"))
             starts, ends, bounds = word_spans(data, offsets)
             hashes, cuts = shingle_hashes(span_hashes(data, starts, ends), bounds, 3)
+            of = np.repeat(np.arange(piece.num_rows), np.diff(cuts))
+            order = np.lexsort((hashes, of))
+            hashes, of = hashes[order], of[order]
+            new = np.ones(len(hashes), bool)
+            new[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+            hashes, cuts = hashes[new], np.searchsorted(of[new], np.arange(piece.num_rows + 1))
             some = np.flatnonzero(np.diff(cuts))
             least = []
             for seed in seeds:
@@ -90,14 +98,24 @@ def distinct_examples(examples: DataFrame) -> DataFrame:
                 if len(some):
                     value[some] = np.minimum.reduceat(mix(hashes ^ seed), cuts[:-1][some])
                 least.append(pa.array(value.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("example_id", "label", "text")), *least],
-                                             names=["example_id", "label", "text", *names])
+            triples = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("example_id", "label", "text")), triples, *least],
+                                             names=["example_id", "label", "text", "triples", *names])
 
-    names = [f"h{k}" for k in range(COPY_HASHES)]
     rows = examples.select("example_id", "label", "text").mapInArrow(
-        run, "example_id long, label int, text string, " + ", ".join(f"{n} long" for n in names))
+        run, "example_id long, label int, text string, triples array<long>, " + ", ".join(f"{n} long" for n in names))
+    # Equal sets of triples first, so that no group of exact copies meets in a join.
+    rows = settle(rows.groupBy("label", "triples").agg(F.min(F.struct("example_id", "text", *names)).alias("row"))
+                  .select("label", "triples", "row.*").withColumn("place", F.xxhash64("label", "triples")))
+    sets = rows.select("place", "triples")
     for name in names:
-        rows = rows.groupBy(F.col(name).alias("same")).agg(F.min(F.struct(*rows.columns)).alias("row")).select("row.*")
+        heads = rows.groupBy("label", name).agg(F.min(F.struct("example_id", "place")).alias("head"), F.count("*").alias("n")) \
+            .filter("n > 1").select("label", name, F.col("head.place").alias("head"))
+        pairs = rows.join(heads, ["label", name]).filter("place <> head").select("place", "head", "triples")
+        both = pairs.join(sets.select(F.col("place").alias("head"), F.col("triples").alias("others")), "head")
+        shared = F.size(F.array_intersect("triples", "others"))
+        copies = both.filter(shared >= COPY_SIMILARITY * (F.size("triples") + F.size("others") - shared)).select("place")
+        rows = settle(rows.join(copies, "place", "left_anti"))
     return rows.select("example_id", "label", "text")
 
 
@@ -128,7 +146,7 @@ def choose_terms(examples: DataFrame, size: int = VOCABULARY) -> np.ndarray:
     a, n = F.col("a"), F.col("n")
     g2 = 2 * (part(a, n * toxic / total) + part(n - a, n * (total - toxic) / total)
               + part(toxic - a, (total - n) * toxic / total) + part(total - toxic - n + a, (total - n) * (total - toxic) / total))
-    best = counts.select("term", g2.alias("g2")).filter(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "term").limit(size)
+    best = counts.select("term", g2.alias("g2")).orderBy(F.desc("g2"), "term").limit(size)
     return np.sort(np.array([r["term"] for r in best.collect()], np.int64))
 
 
@@ -155,15 +173,39 @@ def vectors(df: DataFrame, vocabulary: np.ndarray, column: str) -> DataFrame:
     return df.mapInArrow(run, f"{fields}, terms array<int>, counts array<int>")
 
 
+def document_counts(table: DataFrame, size: int) -> np.ndarray:
+    """How many rows of ``terms`` hold each term of the vocabulary, counted in each task first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(size, np.int64)
+        for batch in batches:
+            count += np.bincount(batch.column("terms").flatten().to_numpy(), minlength=size)
+        some = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(count[some])], names=["term", "n"])
+
+    seen = np.zeros(size, np.int64)
+    for r in table.select("terms").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        seen[r["term"]] = r["n"]
+    return seen
+
+
 @dataclass
 class BlockMaxIndex:
-    """Postings of unit vectors: for each term the examples, their weights, and its largest weight in each block."""
+    """Postings of unit vectors: for each term the examples, their weights, and its largest weight in each block.
+
+    Postings lie by term and place. The segment of a term and block has its postings from ``cuts`` on, those of a term its
+    segments from ``segments`` on.
+    """
 
     ids: np.ndarray
     labels: np.ndarray
     idf: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    places: np.ndarray
+    weights: np.ndarray
+    cuts: np.ndarray
+    blocks: np.ndarray
+    largest: np.ndarray
+    segments: np.ndarray
 
     @classmethod
     def build(cls, ids, labels, rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> BlockMaxIndex:
@@ -171,19 +213,17 @@ class BlockMaxIndex:
         units = [cls.unit(t, c, idf) for t, c in rows]
         lead = [(int(t[w.argmax()]), -float(w.max())) if len(t) else (len(idf), 0.0) for (t, _), w in zip(rows, units)]
         order = sorted(range(len(rows)), key=lambda k: (lead[k], int(ids[k])))
-        index = cls(np.array(ids, np.int64)[order], np.array(labels, np.int64)[order], idf)
         of = np.concatenate([np.zeros(0, np.int64), *(rows[k][0] for k in order)]).astype(np.int64)
         weight = np.concatenate([np.zeros(0), *(units[k] for k in order)])
         place = np.repeat(np.arange(len(order)), [len(rows[k][0]) for k in order])
         by = np.lexsort((place, of))
         of, weight, place = of[by], weight[by], place[by]
-        cuts = np.searchsorted(of, np.arange(len(idf) + 1))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            p, w = place[a:b], weight[a:b]
-            block, first = np.unique(p // BLOCK, return_index=True)
-            index.postings.append((p, w))
-            index.blocks.append((block, np.maximum.reduceat(w, first) if len(first) else w, np.append(first, b - a)))
-        return index
+        opens = np.ones(len(of), bool)
+        opens[1:] = (of[1:] != of[:-1]) | (place[1:] // BLOCK != place[:-1] // BLOCK)
+        first = np.flatnonzero(opens)
+        return cls(np.array(ids, np.int64)[order], np.array(labels, np.int64)[order], idf, place, weight, np.append(first, len(of)),
+                   place[first] // BLOCK, np.maximum.reduceat(weight, first) if len(first) else weight,
+                   np.searchsorted(of[first], np.arange(len(idf) + 1)))
 
     @staticmethod
     def unit(term: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -195,28 +235,30 @@ class BlockMaxIndex:
         q = self.unit(term, count, self.idf)
         if not len(q):
             return np.zeros(0, np.int64), np.zeros(0)
-        lists = [self.blocks[t] for t in term]
-        owner = np.concatenate([b for b, _, _ in lists])
-        bounds = np.bincount(owner, np.concatenate([x * m for x, (_, m, _) in zip(q, lists)]), -(-len(self.ids) // BLOCK))
+        number = self.segments[term + 1] - self.segments[term]
+        segment = ragged(self.segments[term], number)
+        weight, block = np.repeat(q, number), self.blocks[segment]
+        start, size = self.cuts[segment], self.cuts[segment + 1] - self.cuts[segment]
+        bounds = np.bincount(block, weight * self.largest[segment], -(-len(self.ids) // BLOCK))
         order = np.argsort(-bounds, kind="stable")
         places, scores, worst = np.zeros(0, np.int64), np.zeros(0), 0.0
         at, step = 0, 4
         while at < len(order) and bounds[order[at]] > 0 and bounds[order[at]] >= worst - 1e-12:
-            opened = order[at: at + step]
-            at, step = at + step, step * 2
             inside = np.zeros(len(bounds), bool)
-            inside[opened] = True
-            found, value = [], []
-            for x, t, (block, _, cuts) in zip(q, term, lists):
-                p, w = self.postings[t]
-                mine = np.repeat(inside[block], np.diff(cuts))
-                found.append(p[mine])
-                value.append(w[mine] * x)
-            p, place = np.unique(np.concatenate(found), return_inverse=True)
-            s = np.bincount(place, np.concatenate(value), len(p))
-            p, s = p[p != skip], s[p != skip]
-            places, scores = np.concatenate([places, p]), np.concatenate([scores, s])
-            best = np.lexsort((places, -np.round(scores, 12)))[:k]
+            inside[order[at: at + step]] = True
+            at, step = at + step, step * 2
+            mine = np.flatnonzero(inside[block])
+            posting = ragged(start[mine], size[mine])
+            s = np.bincount(self.places[posting], self.weights[posting] * np.repeat(weight[mine], size[mine]), len(self.ids))
+            if skip >= 0:
+                s[skip] = 0.0
+            p = np.flatnonzero(s)
+            places, scores = np.concatenate([places, p]), np.concatenate([scores, s[p]])
+            rounded = np.round(scores, 12)
+            if len(rounded) > k:
+                best = np.flatnonzero(rounded >= np.partition(rounded, -k)[-k])
+                places, scores, rounded = places[best], scores[best], rounded[best]
+            best = np.lexsort((places, -rounded))[:k]
             places, scores = places[best], scores[best]
             worst = scores[-1] if len(scores) == k else 0.0
         return places, scores
@@ -281,9 +323,8 @@ def classify(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", co
                                             "example_id long, label int"))
     table = settle(vectors(documents, vocabulary, column))
     total = table.count()
-    seen = {r["term"]: r["n"] for r in table.select(F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count("*").alias("n")).collect()}
-    idf = np.array([math.log((1 + total) / (1 + seen.get(t, 0))) + 1 for t in range(len(vocabulary))])
+    seen = document_counts(table, len(vocabulary))
+    idf = np.log((1 + total) / (1 + seen)) + 1
     rows = table.select(F.col(doc_id).alias("example_id"), "terms", "counts").join(ids, "example_id") \
         .orderBy("example_id", "label", "terms", "counts").collect()
     sparse = [(np.array(r["terms"], np.int64), np.array(r["counts"], np.int64)) for r in rows]

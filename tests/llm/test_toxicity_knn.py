@@ -64,3 +64,29 @@ def test_without_both_labels_or_rows(spark, corpus):
     assert {r["score"] for r in toxicity_knn.classify(docs, labels.filter("toxic = 0")).collect()} == {0.0}
     assert {r["score"] for r in toxicity_knn.classify(docs, labels.filter("toxic = 9")).collect()} == {0.0}
     assert toxicity_knn.classify(docs.filter("false"), labels).count() == 0
+
+
+def test_only_verified_copies_of_a_label_are_one_example(spark):
+    rng = np.random.default_rng(1)
+    base = rng.choice(WORDS, 60).tolist()
+    other = [f"x{k}" for k in range(60)]
+    rows = [(1, 0, " ".join(base)), (2, 1, " ".join([*base[:30], "nitwit", *base[30:]])), (3, 0, " ".join([*base, "more"])),
+            (4, 0, " ".join(base)), (5, 1, " ".join(base))]
+    # Half of each of these texts is the same: any least triple may be shared, though none is a copy.
+    rows += [(10 + k, 1, " ".join([*other, *(f"y{k}_{j}" for j in range(60))])) for k in range(20)]
+    got = toxicity_knn.distinct_examples(spark.createDataFrame(rows, "example_id long, label int, text string")).collect()
+    assert sorted(r["example_id"] for r in got) == [1, 2, *range(10, 30)]
+
+
+def test_toxic_texts_that_are_edited_copies_of_clean_ones_are_found(spark):
+    rng = np.random.default_rng(2)
+    docs, labels = [], []
+    for i in range(150):
+        text = rng.choice(WORDS, 40).tolist()
+        docs += [(2 * i, " ".join(text)), (2 * i + 1, " ".join([*text, "scoundrel"]))]
+        if i % 3:
+            labels += [(2 * i, 0), (2 * i + 1, 1)]
+    got = toxicity_knn.classify(spark.createDataFrame(docs, "doc_id long, text string"),
+                                spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    unseen = [r for r in got if r["doc_id"] // 2 % 3 == 0]
+    assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in unseen]) >= 0.95
