@@ -7,8 +7,10 @@ surroundings, a place that depends on the passage alone; such pieces collide whe
 
 Colliding paragraphs are first compared with the first of about their size and with their neighbour, and then, where they are not
 connected, through the count tree of the Jaccard join, so that a line that fills a third of the table is no task's square. Of each component the first
-place (smallest id, then start) stays, the others are removals. Neighbouring repeated units of a document make one passage;
-passages shorter than ``MIN_CHARACTERS`` are not reported, nor are repeats within one document alone.
+place (smallest id, then start) stays, the others are removals. Repeated pieces are extended word by word, within their line, as
+far as another document goes on alike. Neighbouring units of a document then make one passage, also across a changed word. Passages
+shorter than ``MIN_CHARACTERS`` that hold no whole paragraph of ``PARAGRAPH_WORDS`` words are not reported, nor are repeats
+within one document alone.
 
 Words lie between ASCII white space, A-Z lower-cased; offsets are code points. Null and empty texts have no paragraphs, and units of
 fewer than ``MIN_WORDS`` words are not compared. Rows that repeat an id and its text are one document. Rows without an id take
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsentry.llm.common import mix, pieces, run_hashes, settle, shingle_hashes, span_hashes, utf8, word_spans
+from rowsentry.llm.common import mix, pieces, ragged, run_hashes, settle, shingle_hashes, span_hashes, utf8, word_spans
 from rowsentry.llm.components import components
 from rowsentry.llm.jaccard_join import first_of, linked, open_pairs, pick, picked, stand_ins, whole_runs
 
@@ -33,7 +35,9 @@ RECALL = 0.99
 REACH = 4
 MIN_WORDS = 4
 MIN_CHARACTERS = 140
-#: Characters between two repeated units of one passage, for a short line that is no unit.
+#: Words of a whole paragraph that is reported whatever its length.
+PARAGRAPH_WORDS = 8
+#: Characters between two repeated units of one passage, for a short line that is no unit or a changed word.
 GAP = 24
 NO_ID = 1 << 61
 
@@ -209,6 +213,81 @@ def _unit_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return made.join(wanted, ["id", "set"], "left_semi").drop("id").dropDuplicates(["set"])
 
 
+def _around(docs: DataFrame, units: DataFrame) -> DataFrame:
+    """``id, start, side, chain, at``: for each repeated piece the hash of it with 1, 2, … words before (side -1) or after it (1).
+
+    They reach to the far end of the next repeated piece or of the line, so that what two documents share beyond equal pieces has
+    a row in both; ``at`` is where it then starts or ends. Whole paragraphs of ``PARAGRAPH_WORDS`` words have one row of side 0.
+    """
+    spans = units.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text"):
+            data, offsets = utf8(piece.column("text"))
+            starts, ends, bounds = word_spans(data, offsets)
+            if not len(starts):
+                continue
+            words = span_hashes(data, starts, ends)
+            text = np.repeat(np.arange(piece.num_rows), np.diff(bounds))
+            chars = np.zeros(len(data) + 1, np.int64)
+            np.cumsum((data & 0xC0) != 0x80, out=chars[1:])
+            begin = chars[offsets[:-1]][text]
+            first_char, last_char = chars[starts] - begin, chars[ends] - begin
+            line = np.cumsum(data == 10)[starts]
+            opens = np.ones(len(words), bool)
+            opens[1:] = (line[1:] != line[:-1]) | (text[1:] != text[:-1])
+            number = np.cumsum(opens) - 1
+            first = np.flatnonzero(opens)
+            last = np.append(first[1:], len(words))
+            lists = piece.column("spans")
+            of = np.repeat(np.arange(piece.num_rows), lists.value_lengths().to_numpy())
+            flat = lists.flatten()
+            keys = [(of << 32) + flat.field(k).to_numpy().astype(np.int64) for k in (0, 1)]
+            heads, tails = (text << 32) + first_char, (text << 32) + last_char
+            a = np.minimum(np.searchsorted(heads, keys[0]), len(words) - 1)
+            b = np.minimum(np.searchsorted(tails, keys[1]), len(words) - 1)
+            fits = (heads[a] == keys[0]) & (tails[b] == keys[1])  # else it is a place in another text of the same id
+            a, b = a[fits], b[fits] + 1
+            whole = (a == first[number[a]]) & (b == last[number[a]])
+            long = np.flatnonzero(whole & (b - a >= PARAGRAPH_WORDS))
+            rows = [(a[long], np.zeros(len(long), np.int64), np.zeros(len(long), np.int64), last_char[b[long] - 1])]
+            a, b = a[~whole], b[~whole]
+            order = np.argsort(a)
+            a, b = a[order], b[order]
+            low, high = first[number[a]], last[number[a]]
+            same = number[a[1:]] == number[a[:-1]]
+            low[1:] = np.where(same, a[:-1], low[1:])
+            high[:-1] = np.where(same, b[1:], high[:-1])
+            low, high = np.minimum(low, a), np.maximum(high, b)
+            to, owner = ragged(b + 1, high - b), np.repeat(a, high - b)
+            rows.append((owner, np.full(len(to), 1), run_hashes(words, owner, to).view(np.int64), last_char[to - 1]))
+            to, owner = ragged(low, a - low), np.repeat(a, a - low)
+            rows.append((owner, np.full(len(to), -1), run_hashes(words, to, np.repeat(b, a - low)).view(np.int64), first_char[to]))
+            owner, side, chain, at = (np.concatenate(x) for x in zip(*rows))
+            ids = piece.column("id").to_numpy(zero_copy_only=False)
+            columns = (ids[text[owner]], first_char[owner].astype(np.int32), side.astype(np.int32), chain, at.astype(np.int32))
+            for k in range(0, len(owner), 65536):
+                yield pa.RecordBatch.from_arrays([pa.array(c[k: k + 65536]) for c in columns],
+                                                 names=["id", "start", "side", "chain", "at"])
+
+    return docs.join(spans, "id").mapInArrow(run, "id long, start int, side int, chain long, at int")
+
+
+def _extended(docs: DataFrame, units: DataFrame) -> DataFrame:
+    """The units with their ends where the text goes on as in no other document, and whether one is a whole ``paragraph``."""
+    around = settle(_around(docs, units))
+    beyond = around.filter("side <> 0")
+    shared = beyond.groupBy("side", "chain").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high") \
+        .select("side", "chain")
+    reach = beyond.join(shared, ["side", "chain"], "left_semi").groupBy("id", "start").agg(
+        F.min(F.when(F.col("side") < 0, F.col("at"))).alias("from"), F.max(F.when(F.col("side") > 0, F.col("at"))).alias("to"))
+    paragraphs = around.filter("side = 0").select("id", "start", F.col("at").alias("end"), F.lit(True).alias("paragraph")).distinct()
+    found = units.join(paragraphs, ["id", "start", "end"], "left").join(reach, ["id", "start"], "left")
+    # A whole paragraph begins where its first piece does; it ends with its line, so the piece's reach is within it.
+    return found.select("id", F.coalesce("from", "start").alias("start"), F.greatest("end", "to").alias("end"), "root", "stays",
+                        F.coalesce("paragraph", F.lit(False)).alias("paragraph"))
+
+
 def repeats(df: DataFrame, doc_id: str = "doc_id", column: str = "text", min_characters: int = MIN_CHARACTERS,
             similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """Passages that repeat across documents.
@@ -238,6 +317,7 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", column: str = "text", min_cha
         .filter(F.col("first.id") < F.col("last")).select("root", "first")
     units = places.join(shared, "root").select(
         "id", "start", "end", "root", ((F.col("first.id") == F.col("id")) & (F.col("first.start") == F.col("start"))).alias("stays"))
+    units = _extended(docs, settle(units))
     by_place = Window.partitionBy("id").orderBy("start", "end")
     reached = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     number = F.sum((F.coalesce(F.col("start") - F.col("reached"), F.lit(GAP + 1)) > GAP).cast("int")).over(
@@ -246,5 +326,6 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", column: str = "text", min_cha
         F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("units"),
         F.sum(F.when(F.col("stays"), 0).otherwise(
             F.greatest(F.col("end") - F.greatest("start", F.coalesce("reached", F.lit(0))), F.lit(0)))).alias("removed"),
-        F.min("root").alias("cluster_id")).filter(F.col("end") - F.col("start") >= min_characters)
+        F.min("root").alias("cluster_id"), F.max("paragraph").alias("paragraph")) \
+        .filter((F.col("end") - F.col("start") >= min_characters) | F.col("paragraph"))
     return passages.select(F.when(F.col("id") > -NO_ID, F.col("id")).alias(doc_id), "start", "end", "units", "removed", "cluster_id")

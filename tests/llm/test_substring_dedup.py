@@ -75,3 +75,24 @@ def test_cuts_depend_on_the_passage_alone():
     ids = [set(units.id[(units.text == t) & ~units.whole].tolist()) for t in (0, 1)]
     assert len(ids[0] & ids[1]) >= 4
     assert np.all(units.end > units.start)
+
+
+def test_passages_in_longer_lines_are_found_to_their_ends(spark):
+    rng = random.Random(11)
+    rows, want = [], {}
+    for k in range(150):
+        passage = words(rng, 51)
+        for i in (2 * k, 2 * k + 1):
+            before = words(rng, rng.randint(3, 25))
+            rows.append((i, f"{words(rng, 20)}\n{before} {passage} {words(rng, rng.randint(3, 25))}"))
+            at = rows[-1][1].index(passage)
+            want[i] = (at, at + len(passage))
+    got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["start"], r["end"]) for r in got} == want
+
+
+def test_short_whole_paragraphs_are_reported(spark):
+    line = "one short line of nine words that is repeated"
+    rows = [(k, f"{words(random.Random(k), 30)}\n{line}\n{words(random.Random(100 + k), 20)}") for k in range(3)]
+    got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], rows[r["doc_id"]][1][r["start"]: r["end"]]) for r in got) == [(k, line) for k in range(3)]
