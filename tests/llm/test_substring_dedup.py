@@ -96,3 +96,17 @@ def test_short_whole_paragraphs_are_reported(spark):
     rows = [(k, f"{words(random.Random(k), 30)}\n{line}\n{words(random.Random(100 + k), 20)}") for k in range(3)]
     got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], rows[r["doc_id"]][1][r["start"]: r["end"]]) for r in got) == [(k, line) for k in range(3)]
+
+
+def test_edited_passages_in_longer_lines_are_found_whole(spark):
+    rng = random.Random(12)
+    rows, want = [], {}
+    for k in range(100):
+        passage = words(rng, 80).split()
+        for i in (2 * k, 2 * k + 1):
+            copy = " ".join([*passage[:40], "changed", *passage[41:]] if i % 2 else passage)
+            rows.append((i, f"{words(rng, 20)}\n{words(rng, rng.randint(3, 25))} {copy} {words(rng, rng.randint(3, 25))}"))
+            at = rows[-1][1].index(copy)
+            want[i] = (at, at + len(copy))
+    got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["start"], r["end"]) for r in got} == want
