@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsentry.llm import ann_scan, byte_bpe, decontaminate, jaccard_join, language_spans, quality_cotraining, secret_scan, substring_dedup, toxicity_knn, warc_revisit
+from rowsentry.llm import ann_scan, byte_bpe, decontaminate, embedding_whitening, jaccard_join, language_spans, quality_cotraining, secret_scan, substring_dedup, toxicity_knn, warc_revisit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +115,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "text_chance", "meta_chance", "quality_score", "keep")
+
+
+@query()
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
+    rows = white.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("k", "of"))
+    return rows.select("vec_id", (F.col("k") + 1).cast("int").alias("component"), "n", "deviation", "of.whitened", "of.explained", "identity_error")
