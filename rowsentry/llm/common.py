@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one numpy step works on; one longer text is a step of its own.
@@ -70,6 +71,25 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
     release()
 
 
+#: Text bytes of a block of documents that one task answers as a whole (one longer text is a block of its own).
+BLOCK = 4 << 20
+
+
+def in_blocks(df: DataFrame, column: str, name: str, limit: int = BLOCK) -> DataFrame:
+    """Add a block number: rows that follow each other, up to about ``limit`` text bytes. Settle the result, then the numbers stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, held = TaskContext.get().partitionId() << 32, 0
+        for piece in pieces(batches, column):
+            size = pc.fill_null(pc.binary_length(piece.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            total = held + np.cumsum(size)
+            held = int(total[-1])
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(base + (total - 1) // limit)], names=[*piece.schema.names, name])
+
+    fields = "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, " for f in df.schema)
+    return df.mapInArrow(run, f"{fields}`{name}` long")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts in a row, and the offsets of each; nulls are empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

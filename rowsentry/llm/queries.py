@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsentry.llm import ann_scan, byte_bpe, decontaminate, embedding_whitening, jaccard_join, language_spans, quality_cotraining, secret_scan, substring_dedup, toxicity_knn, warc_revisit
+from rowsentry.llm import ann_scan, byte_bpe, decontaminate, embedding_whitening, jaccard_join, language_spans, quality_cotraining, secret_scan, substring_dedup, token_alignment, toxicity_knn, warc_revisit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def query(sql: str | None = None):
@@ -122,3 +123,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     white = embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
     rows = white.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("k", "of"))
     return rows.select("vec_id", (F.col("k") + 1).cast("int").alias("component"), "n", "deviation", "of.whitened", "of.explained", "identity_error")
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = token_alignment.align(docs, *(public_tokenizers.path(name) for name in ALIGNED))
+    return out.select("doc_id", *token_alignment.OUTPUTS[:-1],
+                      F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise(F.lit("")).alias("groups_sha256"))
