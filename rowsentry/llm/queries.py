@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsentry.llm import ann_scan, byte_bpe, decontaminate, embedding_whitening, jaccard_join, language_spans, quality_cotraining, secret_scan, substring_dedup, token_alignment, toxicity_knn, warc_revisit
+from rowsentry.llm import ann_scan, byte_bpe, context_mixing, decontaminate, embedding_whitening, jaccard_join, language_spans, quality_cotraining, secret_scan, substring_dedup, token_alignment, toxicity_knn, warc_revisit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +131,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = token_alignment.align(docs, *(public_tokenizers.path(name) for name in ALIGNED))
     return out.select("doc_id", *token_alignment.OUTPUTS[:-1],
                       F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise(F.lit("")).alias("groups_sha256"))
+
+
+@query()
+def op13_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string")) % 10
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
+    out = context_mixing.score(docs, fold != 0)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -6,8 +6,8 @@ tokens of both sides end: these offsets cut the text into groups. Group incidenc
 entries count its tokens in a group, give the links within groups by the same product: the entry of two ids is how many
 pairs of their tokens share a group, so a group of any size costs its distinct ids, not its pairs.
 
-Before a space between two visible ASCII or accented Latin characters both tokenizers end a token. Texts are cut there, and each
-distinct run of some texts is encoded and aligned once. Documents are written with a block number (a few megabytes of text); each block
+Before a space between two visible ASCII or accented Latin characters both tokenizers end a token. Texts are cut there, and a
+worker encodes and aligns each distinct run once, as long as it remembers it. Documents are written with a block number (a few megabytes of text); each block
 asks for the corpus-wide counts of the id pairs it holds and is answered by a cogroup, so no table of all pairs is broadcast.
 
 Null and empty texts, and those that a tokenizer does not give back byte by byte, have no tokens: zeros and an empty ``groups``.
@@ -32,6 +32,8 @@ from rowsentry.llm.common import BLOCK, free_name, in_blocks, pieces, ragged, re
 
 #: Entries that one step of a product expands to at most (one longer row is a step of its own).
 STEP = 1 << 20
+#: Runs, and bytes of runs, whose alignment a worker remembers from one piece of text to the next.
+REMEMBERED, REMEMBERED_BYTES = 1 << 18, 1 << 24
 #: Id pairs that a task holds before it hands its counts on.
 HELD = 1 << 19
 OUTPUTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
@@ -237,8 +239,8 @@ class Aligned:
     texts: list[str]
 
 
-def align_runs(runs: list[bytes], both: Tokenizers, written: bool = True) -> Aligned:
-    """Align the distinct runs; those whose bytes a tokenizer does not give back have no tokens. ``written``: the groups as text, too."""
+def align_runs(runs: list[bytes], both: Tokenizers) -> Aligned:
+    """Align distinct runs; those whose bytes a tokenizer does not give back have no tokens."""
     a, n_a, b, n_b = both.encode(runs)
     a_lengths, a_equal = _same_bytes(a, n_a, both.a_bytes, both.a_starts, runs)
     b_lengths, b_equal = _same_bytes(b, n_b, both.b_bytes, both.b_starts, runs)
@@ -260,7 +262,7 @@ def align_runs(runs: list[bytes], both: Tokenizers, written: bool = True) -> Ali
     run = a_rows[row] // both.a_width
     starts = np.concatenate([[0], np.cumsum(np.bincount(run, minlength=len(runs)))])
     links = Rows(starts, place, shared.values, len(pairs))
-    texts = _written(a, of_a, b, of_b, run_of, n, len(runs)) if written else []
+    texts = _written(a, of_a, b, of_b, run_of, n, len(runs))
     return Aligned(whole, n_a, n_b, np.bincount(run_of, minlength=len(runs)), _per_run(shared.values, np.diff(starts)), links, pairs, texts)
 
 
@@ -283,8 +285,8 @@ def _written(a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray, r
     return [next(lines) if h else "" for h in held.tolist()]
 
 
-def split_runs(column: pa.Array, cuts: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The distinct runs of all texts (each with a space before it), the run at every place, and the places of the texts' first runs."""
+def split_runs(column: pa.Array, cuts: bool = True) -> tuple[list[bytes], np.ndarray]:
+    """The runs of all texts (each with a space before it), and the places of the texts' first runs."""
     data, offsets = utf8(column)
     texts = len(column)
     at = offsets + np.arange(texts + 1)
@@ -299,47 +301,87 @@ def split_runs(column: pa.Array, cuts: bool = True) -> tuple[list[bytes], np.nda
     first[at[:-1]] = True
     starts = np.flatnonzero(first)
     blob, places = spaced.tobytes(), [*starts.tolist(), len(spaced)]
-    number: dict[bytes, int] = {}
-    of = np.fromiter((number.setdefault(blob[a:b], len(number)) for a, b in zip(places, places[1:])), np.int64, len(starts))
-    return list(number), of, np.searchsorted(starts, at)
+    return [blob[a:b] for a, b in zip(places, places[1:])], np.searchsorted(starts, at)
+
+
+class Known:
+    """Runs that a worker has aligned: their numbers, counts, links (id pairs and how many token pairs) and groups as text.
+
+    Only time depends on what is remembered; when it grows beyond its bounds it begins anew.
+    """
+
+    def __init__(self, both: Tokenizers):
+        self.both = both
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.bytes = 0
+        none = np.zeros(0, np.int64)
+        self.whole = np.zeros(0, bool)
+        self.counts = np.zeros((4, 0), np.int64)
+        self.starts, self.pairs, self.times = np.zeros(1, np.int64), none, none
+        self.texts: list[str] = []
+
+    def numbers(self, runs: list[bytes]) -> np.ndarray:
+        if len(self.number) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
+            self.forget()
+        new = [r for r in dict.fromkeys(runs) if r not in self.number]
+        if new:
+            made = align_runs(new, self.both)
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            self.bytes += sum(map(len, new))
+            self.whole = np.append(self.whole, made.whole)
+            self.counts = np.hstack([self.counts, [made.n_a, made.n_b, made.n_groups, made.n_links]])
+            self.starts = np.append(self.starts, self.starts[-1] + made.links.starts[1:])
+            self.pairs = np.append(self.pairs, made.pairs[made.links.columns])
+            self.times = np.append(self.times, made.links.values)
+            self.texts += made.texts
+        return np.fromiter(map(self.number.__getitem__, runs), np.int64, len(runs))
+
+
+@lru_cache(maxsize=2)
+def known(a_path: str, b_path: str) -> Known:
+    return Known(tokenizers(a_path, b_path))
 
 
 @dataclass
 class Texts:
-    """Some texts by their distinct runs: the run at every place, whose text it is, and which texts have tokens."""
+    """Some texts by their runs: the known run at every place, whose text it is, and which texts have tokens."""
 
-    aligned: Aligned
+    known: Known
     runs: np.ndarray
     of: np.ndarray
     bounds: np.ndarray
     some: np.ndarray
 
-    def summed(self, per_run: np.ndarray) -> np.ndarray:
-        return np.where(self.some, _per_run(per_run[self.runs], np.diff(self.bounds)), 0)
+    def summed(self, per_place: np.ndarray) -> np.ndarray:
+        return np.where(self.some, _per_run(per_place, np.diff(self.bounds)), 0)
+
+    def links(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the links of each of the runs are, and how many each has."""
+        size = self.known.starts[runs + 1] - self.known.starts[runs]
+        return ragged(self.known.starts[runs], size), size
 
 
-def _texts(column: pa.Array, both: Tokenizers, written: bool) -> Texts:
-    runs, of, bounds = split_runs(column, both.cuts)
-    aligned = align_runs(runs, both, written)
+def _texts(column: pa.Array, memory: Known) -> Texts:
+    runs, bounds = split_runs(column, memory.both.cuts)
+    numbers = memory.numbers(runs)
     n = np.diff(bounds)
-    whole = _per_run(~aligned.whole[of], n) == 0
+    whole = _per_run(~memory.whole[numbers], n) == 0
     some = whole & (pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False) > 0)
-    return Texts(aligned, of, np.repeat(np.arange(len(n)), n), bounds, some)
+    return Texts(memory, numbers, np.repeat(np.arange(len(n)), n), bounds, some)
 
 
 def _documents_of(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Id pairs, and in how many of the texts each is linked."""
     kept = t.some[t.of]
-    width = np.int64(max(len(t.aligned.whole), 1))
+    width = np.int64(max(len(t.known.whole), 1))
     held = np.unique(t.of[kept] * width + t.runs[kept])
-    text, run = held // width, held % width
-    links = t.aligned.links
-    size = np.diff(links.starts)[run]
-    place = links.columns[ragged(links.starts[run], size)]
-    pairs = np.int64(max(links.width, 1))
-    once = np.unique(np.repeat(text, size) * pairs + place)
-    n = np.bincount(once % pairs, minlength=links.width)
-    return t.aligned.pairs[n > 0], n[n > 0]
+    at, size = t.links(held % width)
+    pairs, place = np.unique(t.known.pairs[at], return_inverse=True)
+    once = np.unique(np.repeat(held // width, size) * np.int64(max(len(pairs), 1)) + place)
+    return pairs, np.bincount(once % max(len(pairs), 1), minlength=len(pairs))
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -353,7 +395,7 @@ def pair_counts(table: DataFrame, block: str, column: str, a_path: str, b_path:
     """``block, pair, n``: how many of a block's documents hold an id pair linked; a pair may have several rows of a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokenizers(a_path, b_path)
+        memory = known(a_path, b_path)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         number = None
 
@@ -369,7 +411,7 @@ def pair_counts(table: DataFrame, block: str, column: str, a_path: str, b_path:
                 if held and blocks[i] != number:
                     yield out()
                 number = blocks[i]
-                held.append(_documents_of(_texts(piece.column(column).slice(i, j - i), both, False)))
+                held.append(_documents_of(_texts(piece.column(column).slice(i, j - i), memory)))
                 if sum(len(p) for p, _ in held) > HELD:
                     held[:] = [_merged(held)]
                     if len(held[0][0]) > HELD // 2:
@@ -405,26 +447,26 @@ def align(df: DataFrame, a_path: str, b_path: str, column: str = "text", block_b
     kept = df.columns
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        both = tokenizers(a_path, b_path)
+        memory = known(a_path, b_path)
         pair, documents, best = (right.column(c).to_numpy() for c in ("pair", "documents", "best"))
         order = np.argsort(pair)
         pair, documents, best = pair[order], documents[order], best[order].astype(np.int64)
         made = []
         for piece in pieces(left.to_batches(), column):
-            t = _texts(piece.column(column), both, True)
-            links, per = t.aligned.links, np.diff(t.aligned.links.starts)
-            at = np.minimum(np.searchsorted(pair, t.aligned.pairs), max(len(pair) - 1, 0))
+            t = _texts(piece.column(column), memory)
+            held, place = np.unique(t.runs, return_inverse=True)
+            links, per = t.links(held)
             # Pairs of texts without tokens were not asked for; their sums are not used.
+            n = top = np.zeros(len(links), np.int64)
             if len(pair):
-                known = pair[at] == t.aligned.pairs
-                n, top = np.where(known, documents[at], 0), np.where(known, best[at], 0)
-            else:
-                n = top = np.zeros(len(t.aligned.pairs), np.int64)
-            sums = [t.summed(v) for v in (t.aligned.n_a, t.aligned.n_b, t.aligned.n_groups, t.aligned.n_links,
-                                          _per_run(links.values * top[links.columns], per), _per_run(links.values * n[links.columns], per))]
-            place, names = t.bounds.tolist(), t.aligned.texts
-            runs = t.runs.tolist()
-            texts = [";".join([names[r] for r in runs[i:j]]) if s else "" for i, j, s in zip(place, place[1:], t.some.tolist())]
+                at = np.minimum(np.searchsorted(pair, memory.pairs[links]), len(pair) - 1)
+                there = pair[at] == memory.pairs[links]
+                n, top = np.where(there, documents[at], 0), np.where(there, best[at], 0)
+            sums = [t.summed(c[t.runs]) for c in memory.counts]
+            sums += [t.summed(_per_run(memory.times[links] * v, per)[place]) for v in (top, n)]
+            bounds, names = t.bounds.tolist(), memory.texts
+            said = [names[r] for r in t.runs.tolist()]
+            texts = [";".join(said[i:j]) if s else "" for i, j, s in zip(bounds, bounds[1:], t.some.tolist())]
             made.append(pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), *(pa.array(s.astype(np.int64)) for s in sums), pa.array(texts, pa.string())],
                                                    names=[*kept, *OUTPUTS]))
         release()
