@@ -48,9 +48,10 @@ def model_quality_run(captures: DataFrame, ground_truth: DataFrame, floors: Data
 
 
 def record_run(spark: SparkSession, folder: str, run_id: str, endpoint: str, kind: str, violations: DataFrame) -> int:
-    """Write all violations of a run, of either monitor type, and append its line to the run log.
+    """Write all violations of a run, of either monitor type, and its line in the run log.
 
-    Returns their number, counted in what was written, so that the monitor's plan runs once.
+    Returns their number, counted in what was written, so that the monitor's plan runs once. A run that is recorded again
+    replaces its violations and its line.
     """
     path = f"{folder}/violations/{run_id}"
     reports.write_violations(violations.withColumn("run_id", F.lit(run_id)), path)
@@ -58,5 +59,5 @@ def record_run(spark: SparkSession, folder: str, run_id: str, endpoint: str, kin
     status = VIOLATED_STATUS if written else "Completed"
     line = spark.createDataFrame([(endpoint, f"{endpoint}-{kind}", kind, status, run_id, written)],
                                  "endpoint STRING, name STRING, type STRING, last_status STRING, run_id STRING, n_violations LONG")
-    line.withColumn("last_ts", F.current_timestamp()).write.mode("append").parquet(f"{folder}/runs")
+    reports.replace_parts(line.withColumn("last_ts", F.current_timestamp()), f"{folder}/runs", ["run_id"])
     return written

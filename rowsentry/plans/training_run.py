@@ -14,7 +14,7 @@ from rowsentry.functions.arrays import encode_label
 from rowsentry.functions.names import as_list
 from rowsentry.operators import evaluate, features, quality, registry, rows, scoring, split, train
 from rowsentry.session import shared_folder
-from rowsentry.sources import fitted as fitted_store, reports, tables
+from rowsentry.sources import commits, fitted as fitted_store, reports, tables
 
 
 @dataclass(frozen=True)
@@ -99,13 +99,14 @@ def training_run(spark: SparkSession, df: DataFrame, group: str, key: str | Sequ
     return TrainingRun(folder, gate["metric"], gate["passed"], gate["message"])
 
 
-def append_version(spark: SparkSession, entries: DataFrame, path: str) -> None:
-    """Append entries to the registry table at ``path``, numbered after its last versions."""
-    known = read_registry(spark, path)
-    numbered = registry.register_version(known, entries, "model_group", ["artifact"])
-    numbered.write.mode("append").parquet(path)
+def append_version(spark: SparkSession, entries: DataFrame, path: str) -> int:
+    """Append entries to the registry table at ``path``, numbered after its last versions; returns the commit's number.
+
+    Runs that register at the same time get different versions: the later one numbers its entries again.
+    """
+    return commits.commit(spark, path, lambda known: registry.register_version(known, entries, "model_group", ["artifact"]))
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame | None:
     """The registry table, or nothing while no version has been registered."""
-    return tables.read_if_present(spark, path)
+    return commits.read_committed(spark, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowsentry.fixed_values import ACCURACY_PATH
@@ -10,7 +12,11 @@ from rowsentry.fixed_values import ACCURACY_PATH
 VIOLATION_FIELDS = ("column", "check", "detail", "value", "floor")
 VIOLATIONS_DDL = ("run_id STRING, window_start TIMESTAMP, violations ARRAY<STRUCT<column: STRING, check: STRING, detail: STRING, "
                   "value: DOUBLE, floor: DOUBLE>>")
-METRIC_COLUMNS = ("window_start", "source", "metric", "value")
+METRIC_PARTS = ("source", "run_id", "window")
+METRIC_COLUMNS = ("window_start", *METRIC_PARTS, "metric", "value")
+METRICS_DDL = "window_start TIMESTAMP, metric STRING, value DOUBLE, source STRING, run_id STRING, window STRING"
+#: Names of window folders.
+WINDOW_FORMAT = "yyyy-MM-dd'T'HHmmss"
 
 
 def write_eval_report(reports: DataFrame, path: str) -> None:
@@ -60,9 +66,24 @@ def read_violations(spark: SparkSession, path: str, multi_line: bool = False) ->
     return docs.select("run_id", "window_start", F.inline("violations"))
 
 
-def write_metrics(metrics: DataFrame, path: str, source: str | Column, window: Column | str | None = None) -> None:
-    """Append ``metric, value`` rows to the long metrics table, laid out by source (a name, or a column of names)."""
+def write_metrics(metrics: DataFrame, path: str, source: str | Column, window: Column | str | None = None, run_id: str = "run") -> None:
+    """Write ``metric, value`` rows into the long metrics table, laid out by source (a name, or a column of names), run and window.
+
+    What a source, run and window had before is replaced, all else stays: a run or a micro-batch that is repeated leaves the
+    same table.
+    """
     start = F.lit(None).cast("timestamp") if window is None else (F.col(window) if isinstance(window, str) else window)
     rows = metrics.select(start.cast("timestamp").alias("window_start"), (F.lit(source) if isinstance(source, str) else source).alias("source"),
+                          F.lit(run_id).alias("run_id"), F.coalesce(F.date_format(start.cast("timestamp"), WINDOW_FORMAT), F.lit("all")).alias("window"),
                           "metric", F.col("value").cast("double").alias("value"))
-    rows.write.mode("append").partitionBy("source").parquet(path)
+    replace_parts(rows, path, METRIC_PARTS)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The metrics table with its types, whatever the names of sources and runs look like."""
+    return spark.read.schema(METRICS_DDL).parquet(path)
+
+
+def replace_parts(rows: DataFrame, path: str, parts: Sequence[str]) -> None:
+    """Write ``rows`` laid out by ``parts``; of a table that is there only the parts that ``rows`` holds are replaced."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)

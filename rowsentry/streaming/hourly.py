@@ -10,6 +10,8 @@ from rowsentry.operators.evaluate import (
     check_model_quality, multiclass_metrics,
 )
 from rowsentry.operators.quality import check_constraints, constraint_domains, profile_columns
+from rowsentry.sources import reports
+from rowsentry.streaming.merging import stream_merge_earliest
 
 HOUR = "1 hour"
 LATENESS = "1 hour"
@@ -72,18 +74,33 @@ def start_data_quality(stream: DataFrame, columns: Sequence[str], constraints: D
             .foreachBatch(write).trigger(availableNow=True).start())
 
 
-def start_model_quality(merged: DataFrame, floors: DataFrame, out: str, checkpoint: str, ts: str = "ts"):
-    """Metrics and violations of each closed hour of merged predictions; returns the query."""
+def start_model_quality(merged: DataFrame, floors: DataFrame, out: str, checkpoint: str, ts: str = "ts", source: str = "model_quality",
+                        run_id: str = "stream"):
+    """Metrics and violations of each closed hour of merged predictions; returns the query.
+
+    Metrics go to the long metrics table ``<out>/metrics`` under ``source`` and ``run_id``; an hour that is written again replaces itself.
+    """
     counts = hourly_confusion(merged, ts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
             metrics = hourly_model_metrics(kept)
-            metrics.write.mode("overwrite").parquet(f"{out}/metrics/batch={batch_id}")
+            reports.write_metrics(metrics, f"{out}/metrics", source, "window_start", run_id)
             hourly_model_violations(metrics, floors).write.mode("overwrite").parquet(f"{out}/violations/batch={batch_id}")
         finally:
             kept.unpersist()
 
     return (counts.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
             .foreachBatch(write).trigger(availableNow=True).start())
+
+
+def follow_model_quality(captured: DataFrame, ground_truth: DataFrame, floors: DataFrame, out: str, checkpoint: str,
+                         delay: str = "1 hour", lateness: str = LATENESS, source: str = "model_quality", run_id: str = "stream"):
+    """One running query from two streams, predictions and labels, to hourly metrics and violations.
+
+    The interval join, the choice of the earliest label and the hourly counts are stateful steps of one query; an hour is
+    written when no label of it can arrive any more. Returns the started query.
+    """
+    merged = stream_merge_earliest(captured, ground_truth, delay=delay, lateness=lateness)
+    return start_model_quality(merged, floors, out, checkpoint, source=source, run_id=run_id)

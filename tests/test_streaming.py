@@ -79,6 +79,102 @@ def test_repeated_labels_count_once_on_streams_and_tables(spark, folder):
     assert query.exception() is None and spark.read.parquet(f"{folder}/m").count() == 3
 
 
+def arriving(spark, folder, **batches):
+    """A stream that takes one file after the other, whatever the event times in them are."""
+    import os
+    import time
+
+    for i, (name, df) in enumerate(batches.items()):
+        df.coalesce(1).write.parquet(f"{folder}/{name}")
+        for part in os.listdir(f"{folder}/{name}"):
+            when = time.time() - 1000 + i
+            os.utime(f"{folder}/{name}/{part}", (when, when))
+    schema = next(iter(batches.values())).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(*[f"{folder}/*"])
+
+
+def disordered(spark, folder, n=600):
+    """Predictions and labels in three arrivals: corrections come before the labels they follow, and labels repeat."""
+    left, right = captured(spark, n), labels(spark, n)
+    later = right.filter("inference_id % 2 = 0").select("inference_id", (F.col("gt_ts") + F.expr("INTERVAL 5 MINUTES")).alias("gt_ts"), F.lit("z").alias("truth"))
+    early = right.filter("inference_id % 7 = 0").select("inference_id", (F.col("gt_ts") - F.expr("INTERVAL 20 MINUTES")).alias("gt_ts"), F.lit("y").alias("truth"))
+    third = lambda df, k: df.filter(F.col("inference_id").cast("int").between(k * n // 3, (k + 1) * n // 3 - 1))
+    # The end of a stream is never closed: a last row far ahead moves the watermark over all others.
+    last = spark.range(1).select(F.lit("end").alias("inference_id"), at(F.lit(10**7)).alias("ts"), F.lit("a").alias("prediction"), F.lit(0.0).alias("x"))
+    told = spark.range(1).select(F.lit("end").alias("inference_id"), at(F.lit(10**7)).alias("gt_ts"), F.lit("a").alias("truth"))
+    sent = {f"b{k}": third(left, k) for k in range(3)} | {"b9": last}
+    known, after = {}, later.unionByName(right.filter("inference_id % 3 = 0"))
+    for k in range(3):
+        known[f"b{2 * k}"] = third(after, k)
+        known[f"b{2 * k + 1}"] = third(right.unionByName(early), k)
+    known["b9"] = told
+    return (left, right.unionByName(later).unionByName(early).unionByName(right.filter("inference_id % 3 = 0")),
+            arriving(spark, f"{folder}/c", **sent), arriving(spark, f"{folder}/g", **known))
+
+
+def test_the_earliest_label_counts_whatever_the_order_of_arrival(spark, folder):
+    left, right, sent, told = disordered(spark, folder)
+    merged = merging.stream_merge_earliest(sent, told, lateness="10 hours")
+    query = merged.writeStream.format("parquet").option("path", f"{folder}/m").option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start()
+    query.awaitTermination(300)
+    assert query.exception() is None
+    batch = merging.stream_merge_ground_truth(left, right)
+    emitted = spark.read.schema(batch.schema).parquet(f"{folder}/m")
+    assert emitted.columns == batch.columns and emitted.count() == batch.count() > 300
+    assert emitted.exceptAll(batch).isEmpty()
+    assert batch.filter("truth = 'y'").count() > 10 and batch.filter("truth = 'z'").count() == 0
+
+
+def test_one_query_from_captures_to_hourly_metrics(spark, folder):
+    left, right, sent, told = disordered(spark, folder)
+    floors = evaluate.suggest_model_constraints(spark.createDataFrame([("accuracy", 0.6)], "metric STRING, value DOUBLE"))
+    hourly.follow_model_quality(sent, told, floors, f"{folder}/out", f"{folder}/ck", lateness="10 hours").awaitTermination(300)
+    want = hourly.hourly_model_metrics(hourly.hourly_confusion(merging.stream_merge_ground_truth(left, right)))
+    got = reports.read_metrics(spark, f"{folder}/out/metrics")
+    rounded = lambda df: {(r[0], r[1], round(r[2], 9)) for r in df.select("window_start", "metric", "value").collect()}
+    assert rounded(got) == rounded(want) and len(rounded(want)) >= 30
+    assert {(r["source"], r["run_id"]) for r in got.collect()} == {("model_quality", "stream")}
+    low = hourly.hourly_model_violations(want, floors)
+    assert spark.read.parquet(f"{folder}/out/violations").count() == low.count()
+
+
+def test_repeated_runs_leave_the_same_tables(spark, folder):
+    found = spark.createDataFrame([("mass", "completeness", "0.5")], "column STRING, check STRING, detail STRING")
+    hours = spark.range(3).select(at(F.col("id") * 3600).alias("window_start"), F.lit("accuracy").alias("metric"), (F.col("id") / 4).alias("value"))
+    for _ in range(2):
+        for run in ("1", "2"):
+            assert monitoring_run.record_run(spark, folder, run, "birds", "DataQuality", found) == 1
+        reports.write_metrics(hours, f"{folder}/metrics", "model_quality", "window_start", "7")
+        reports.write_metrics(hours.limit(1).drop("window_start"), f"{folder}/metrics", F.lit("baseline"))
+    assert sorted(r["run_id"] for r in spark.read.schema("run_id STRING").parquet(f"{folder}/runs").collect()) == ["1", "2"]
+    # An hour that is written again replaces itself alone.
+    reports.write_metrics(hours.filter("value = 0.5").withColumn("value", F.lit(0.9)), f"{folder}/metrics", "model_quality", "window_start", "7")
+    rows = reports.read_metrics(spark, f"{folder}/metrics").collect()
+    assert sorted((r["source"], r["run_id"], r["value"]) for r in rows) == [
+        ("baseline", "run", 0.0), ("model_quality", "7", 0.0), ("model_quality", "7", 0.25), ("model_quality", "7", 0.9)]
+
+
+def test_two_writers_get_different_versions(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from rowsentry.plans import training_run as plan
+    from rowsentry.sources import commits
+
+    def register(k):
+        entry = spark.createDataFrame([("g", f"m{k}", 0.9)], "model_group STRING, artifact STRING, accuracy DOUBLE")
+        return plan.append_version(spark, entry, f"{folder}/registry")
+
+    assert plan.read_registry(spark, f"{folder}/registry") is None
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(register, range(6)))
+    assert sorted(numbers) == list(range(6))
+    rows = plan.read_registry(spark, f"{folder}/registry").collect()
+    assert sorted(r["version"] for r in rows) == [1, 2, 3, 4, 5, 6] and len({r["artifact"] for r in rows}) == 6
+    # What a writer left that never committed is not seen.
+    spark.range(3).write.parquet(f"{folder}/registry/rows-left")
+    assert plan.read_registry(spark, f"{folder}/registry").count() == 6 and len(commits.commits(spark, f"{folder}/registry")) == 6
+
+
 def test_model_quality_stream(spark, folder):
     merged = merging.stream_merge_ground_truth(captured(spark), labels(spark))
     floors = evaluate.suggest_model_constraints(spark.createDataFrame([("accuracy", 0.6)], "metric STRING, value DOUBLE"))
