@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,16 @@ def query(sql: str | None = None):
     return add
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``; only a local session may name none, and gets one of its own machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is unset; name a folder all executors can reach")
+        base = tempfile.mkdtemp(prefix="bindings-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,8 +1,8 @@
 """Fitting and applying scaling and one-hot indicators.
 
-Fitting is an aggregation per fold. The fitted values are few (a mean and a deviation per
-number, the categories of each text column, both checked), so applying them is a projection
-with literals: no join, no shuffle, no Python.
+Fitting is an aggregation per fold. Means, deviations and the categories of text columns with few values are literals, so
+applying them is a projection: no join, no shuffle, no Python. Columns with more values keep their categories in a numbered
+table (:mod:`rowsentry.operators.dictionary`), and a value is looked up by a join.
 """
 
 from __future__ import annotations
@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from rowsentry.functions.names import as_list, require_columns
 from rowsentry.operators.rows import numeric_columns, string_columns
-from rowsentry.operators.ranking import bucketed_rank
+from rowsentry.operators.dictionary import Dictionary, build, kept, numbered
 from rowsentry.operators.sizing import join_unique, lookup, settle_small
 
-#: Categories that one task numbers; more are numbered in buckets of their hash order.
+#: Categories that one task numbers; more are numbered in ranges of their order.
 CATEGORIES_PER_TASK = 100_000
-#: Categories up to which a value is looked up in a literal; more are looked up by a join.
+#: Categories up to which a value is looked up in a literal; more stay a table and are looked up by a join.
 LITERAL_CATEGORIES = 200
 COLUMNS_PER_PASS = 100
 
@@ -77,9 +77,7 @@ def fit_one_hot(df: DataFrame, cols: str | Sequence[str], by: str | Sequence[str
     by = as_list(by)
     found, size = settle_small(distinct_categories(df, cols, by), CATEGORIES_PER_TASK)
     if size is None:
-        # Buckets by the first characters keep the order, so that no task numbers a whole column.
-        numbered = bucketed_rank(found, [*by, "column"], F.substring("category", 1, 3), ["category"], "_place")
-        return numbered.select(*by, "column", (F.col("_place") - 1).cast("int").alias("idx"), "category")
+        return numbered(found, [*by, "column"], "idx").select(*by, "column", "idx", "category")
     order = Window.partitionBy(*by, "column").orderBy("category")
     return found.select(*by, "column", (F.row_number().over(order) - 1).alias("idx"), "category")
 
@@ -117,7 +115,7 @@ class FittedColumns:
     """Fitted values by fold: ``means[fold][column] = (mean, std)``, ``categories[fold][column]``.
 
     Fold ``None`` is used when the fit was not done per fold. ``label`` is the encoded label
-    column, if any; its categories are the training domain.
+    column, if any; its categories are the training domain. Columns with many categories are in ``large`` instead.
     """
 
     numeric: tuple[str, ...]
@@ -125,15 +123,28 @@ class FittedColumns:
     label: str | None
     means: dict = field(default_factory=dict)
     categories: dict = field(default_factory=dict)
+    large: dict[str, Dictionary] = field(default_factory=dict)
 
     @property
     def folds(self) -> list:
         return sorted(self.means, key=lambda f: (f is not None, f))
 
     def domain(self, column: str) -> list[str]:
-        """All categories of a column over the folds, alphabetically."""
+        """All categories of a column over the folds, alphabetically; of a large column they are brought here, for names of columns."""
+        if column in self.large:
+            return self.large[column].names()
         return sorted({c for fold in self.categories.values() for c in fold.get(column, ())})
 
+    def width(self, column: str) -> int:
+        """The number of categories of a column over the folds."""
+        return self.large[column].size if column in self.large else len(self.domain(column))
+
+    def seen(self, fold, column: str) -> list[str]:
+        """The categories that a fold has seen."""
+        if column in self.large:
+            return [v for v in self.large[column].of_fold(fold).names() if v]
+        return self.categories[fold].get(column, [])
+
     @property
     def feature_names(self) -> list[str]:
         return [*self.numeric, *(f"{c}_{v}" for c in self.categorical for v in self.domain(c))]
@@ -145,7 +156,8 @@ class FittedColumns:
     def only(self, fold) -> FittedColumns:
         """The values of one fold, usable on rows without a fold column."""
         return FittedColumns(self.numeric, self.categorical, self.label,
-                             {None: self.means[fold]}, {None: self.categories[fold]})
+                             {None: self.means[fold]}, {None: self.categories[fold]},
+                             {c: d.of_fold(fold) for c, d in self.large.items()})
 
 
 FITTED_DDL = ("fold INT, column STRING, kind STRING, position INT, idx INT, category STRING, "
@@ -175,16 +187,26 @@ def fit_columns(df: DataFrame, label: str | None = None, by: str | None = None,
         # One row per fold and column: folds are a parameter of the split, columns of the table.
         for r in fit_scaler(source, numbers, "_fold").collect():
             means.setdefault(r["_fold"], {})[r["column"]] = (r["mean"], r["std"])
+    large: dict = {}
     if coded:
-        for r in fit_one_hot(source, coded, "_fold").collect():
-            categories.setdefault(r["_fold"], {}).setdefault(r["column"], []).append((r["idx"], r["category"]))
+        found = kept(distinct_categories(source, coded, "_fold"))
+        sizes = {r["column"]: r["n"] for r in found.groupBy("column").agg(F.count_distinct("category").alias("n")).collect()}
+        many = [c for c in coded if sizes.get(c, 0) > LITERAL_CATEGORIES]
+        # At most LITERAL_CATEGORIES values of each column and fold.
+        for r in found.filter(~F.col("column").isin(many)).collect():
+            categories.setdefault(r["_fold"], {}).setdefault(r["column"], []).append(r["category"])
+        for c in many:
+            large[c] = build(found.filter(F.col("column") == c).select(F.col("_fold").alias("fold"), "category"), sizes[c], by is not None)
+        if many:
+            for r in found.select("_fold").distinct().collect():
+                categories.setdefault(r["_fold"], {})
     for per_column in categories.values():
         for c in per_column:
-            per_column[c] = [v for _, v in sorted(per_column[c])]
+            per_column[c] = sorted(per_column[c])
     for f in {*means, *categories}:
         means.setdefault(f, {})
         categories.setdefault(f, {})
-    return FittedColumns(tuple(numbers), tuple(texts), label, means, categories)
+    return FittedColumns(tuple(numbers), tuple(texts), label, means, categories, large)
 
 
 def _by_fold(fitted: FittedColumns, by: str | None, build) -> Column:
@@ -215,33 +237,42 @@ def _coded(df: DataFrame, fitted: FittedColumns, columns: Sequence[str], by: str
     literal where the domain is small and else in a joined table of one row per category and fold.
     """
     for k, c in enumerate(columns):
-        domain = fitted.domain(c)
         value = F.col(c).cast("string")
-        if len(domain) <= LITERAL_CATEGORIES:
+        if c not in fitted.large:
+            domain = fitted.domain(c)
             place = F.array_position(F.array(*map(F.lit, domain)), value) if domain else F.lit(0)
             code = F.coalesce(place.cast("int") - 1, F.lit(-1))
             known = _by_fold(fitted, by, lambda f, c=c, value=value: F.coalesce(
                 value.isin(fitted.categories[f].get(c, [])), F.lit(False)) if fitted.categories[f].get(c) != domain else code >= 0)
             df = df.withColumn(_code_column(k), F.when(known, code).otherwise(-1))
         else:
-            at = {v: i for i, v in enumerate(domain)}
-            folds = fitted.folds if by else fitted.folds[:1]
+            dictionary = fitted.large[c]
             if by is None and len(fitted.folds) != 1:
                 raise ValueError("fitted per fold: pass the fold column, or use only(fold)")
-            rows = [(f, v, at[v]) for f in folds for v in fitted.categories[f].get(c, [])]
-            table = df.sparkSession.createDataFrame(rows, "_f INT, _v STRING, _i INT")
+            table = dictionary.table.withColumnsRenamed({"fold": "_f", "category": "_v", "place": "_i"})
             keys = df.withColumn("_v", value)
-            if by:
-                found = lookup(keys.withColumn("_f", F.col(by).cast("int")), table, ["_f", "_v"], "left")
+            if dictionary.per_fold:
+                fold = F.lit(fitted.folds[0]) if by is None else F.col(by)
+                found = lookup(keys.withColumn("_f", fold.cast("int")), table, ["_f", "_v"], "left")
             else:
-                found = lookup(keys, table.drop("_f"), "_v", "left")
+                found = lookup(keys, table, "_v", "left")
             df = found.withColumn(_code_column(k), F.coalesce("_i", F.lit(-1))).drop("_f", "_v", "_i")
         if unseen == "error":
+            text = _unseen_text(c)
+            if c in fitted.large:
+                # A later filter must not move below the join's own filters, where it would raise for rows of its other branch.
+                text = F.concat(text, F.substring(F.rand().cast("string"), 1, 0))
             df = df.withColumn(_code_column(k), F.when(F.col(_code_column(k)) >= 0, F.col(_code_column(k))).otherwise(
-                F.raise_error(_unseen_text(c)).cast("int")))
+                F.raise_error(text).cast("int")))
     return df
 
 
+def category_codes(df: DataFrame, fitted: FittedColumns) -> tuple[DataFrame, list[str]]:
+    """The place of each categorical value, -1 for an unknown one, in new columns, and their names."""
+    columns = list(fitted.categorical)
+    return _coded(df, fitted, columns, None, "keep"), [_code_column(k) for k in range(len(columns))]
+
+
 def _indicator_sql(fitted: FittedColumns, columns: Sequence[str]) -> list[str]:
     """One short expression for each category: whether the code is its place."""
     return [f"CAST({_code_column(k)} = {i} AS DOUBLE) AS {_quoted(f'{c}_{v}')}"
@@ -285,18 +316,20 @@ def feature_columns(fitted: FittedColumns, by: str | None = None) -> list[Column
     out = _scaled_columns(fitted, by)
     for c in fitted.categorical:
         value = F.col(c).cast("string")
+        seen = {f: set(fitted.seen(f, c)) for f in fitted.folds}
         for v in fitted.domain(c):
             # A category that this fold has not seen is no indicator of it.
-            hit = _by_fold(fitted, by, lambda f, c=c, v=v: value == F.lit(v) if v in fitted.categories[f].get(c, ()) else F.lit(False))
+            hit = _by_fold(fitted, by, lambda f, v=v: value == F.lit(v) if v in seen[f] else F.lit(False))
             out.append(F.coalesce(hit, F.lit(False)).cast("double").alias(f"{c}_{v}"))
     return out
 
 
-def sparse_vector(df: DataFrame, fitted: FittedColumns, by: str | None = None, keep: Sequence[str] = (),
-                  unseen: str = "error", name: str = "features") -> DataFrame:
-    """``keep`` and one sparse vector of what :func:`transform_with` makes dense: no column for each category.
+def sparse_cells(df: DataFrame, fitted: FittedColumns, by: str | None = None, keep: Sequence[str] = (),
+                 unseen: str = "error") -> DataFrame:
+    """``keep``, ``size``, ``indices`` and ``values``: what :func:`transform_with` makes dense, no column for each category.
 
-    The scaled numbers lie first, then the indicators in the order of ``feature_names``.
+    The scaled numbers lie first, then the indicators in the order of ``feature_names``; zeros are left out. No category
+    comes to the driver.
     """
     require_columns(df, [*fitted.numeric, *fitted.categorical, *keep])
     coded = _coded(df, fitted, fitted.categorical, by, "keep" if unseen == "skip" else unseen)
@@ -309,19 +342,26 @@ def sparse_vector(df: DataFrame, fitted: FittedColumns, by: str | None = None, k
     for k, c in enumerate(fitted.categorical):
         code = F.col(_code_column(k))
         cells.append(F.when(code >= 0, F.struct((code + width).alias("i"), F.lit(1.0).alias("v"))))
-        width += len(fitted.domain(c))
+        width += fitted.width(c)
     there = F.filter(F.array(*cells), lambda x: x.isNotNull() & (x["v"] != 0)) if cells else F.array().cast("array<struct<i:int,v:double>>")
-    body = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(width).alias("size"),
-                    F.transform(there, lambda x: x["i"]).alias("indices"), F.transform(there, lambda x: x["v"]).alias("values"))
+    return coded.select(*keep, F.lit(width).alias("size"), F.transform(there, lambda x: x["i"]).alias("indices"),
+                        F.transform(there, lambda x: x["v"]).alias("values"))
+
+
+def sparse_vector(df: DataFrame, fitted: FittedColumns, by: str | None = None, keep: Sequence[str] = (),
+                  unseen: str = "error", name: str = "features") -> DataFrame:
+    """``keep`` and the cells of :func:`sparse_cells` as one sparse vector."""
+    cells = sparse_cells(df, fitted, by, keep, unseen)
+    body = F.struct(F.lit(0).cast("tinyint").alias("type"), "size", "indices", "values")
     # The parser reads the stored form of a vector; there is no function from indices and values to one.
     read = F.from_json(F.to_json(F.struct(body.alias("v"))), T.StructType([T.StructField("v", VectorUDT())]))
-    return coded.select(*keep, read["v"].alias(name))
+    return cells.select(*keep, read["v"].alias(name))
 
 
 def apply_one_hot(df: DataFrame, fitted: FittedColumns, by: str | None = None, keep: Sequence[str] = (),
                   unseen: str = "error") -> DataFrame:
     """Only the indicator columns of :func:`transform_with`."""
-    texts = FittedColumns((), fitted.categorical, fitted.label, fitted.means, fitted.categories)
+    texts = FittedColumns((), fitted.categorical, fitted.label, fitted.means, fitted.categories, fitted.large)
     return transform_with(df, texts, by, keep, unseen)
 
 
@@ -341,33 +381,52 @@ def fit_transform_columns(df: DataFrame, label: str, fold: str = "fold", split:
         last = fitted.folds[-1]
         fitted = FittedColumns(fitted.numeric, fitted.categorical, label,
                                {f: fitted.means[last] for f in fitted.folds},
-                               {f: fitted.categories[last] for f in fitted.folds})
+                               {f: fitted.categories[last] for f in fitted.folds},
+                               {c: d.of_fold(last) for c, d in fitted.large.items()})
     rows = df.filter(F.col(split).isin("train", "validation"))
     return transform_with(rows, fitted, fold, [*keep, fold, split], with_label=True), fitted
 
 
 def fitted_rows(spark: SparkSession, fitted: FittedColumns) -> DataFrame:
-    """The fitted values as a long table (see ``FITTED_DDL``)."""
+    """The fitted values as a long table (see ``FITTED_DDL``); ``idx`` of a large column is the place over all folds."""
     rows = []
+    coded = [*((c, "categorical") for c in fitted.categorical), *([(fitted.label, "label")] if fitted.label else [])]
     for f in fitted.folds:
         for i, c in enumerate(fitted.numeric):
             mean, std = fitted.means[f][c]
             rows.append((f, c, "numeric", i, None, None, mean, std))
-        coded = [*((c, "categorical") for c in fitted.categorical), *([(fitted.label, "label")] if fitted.label else [])]
         for i, (c, kind) in enumerate(coded):
             for idx, v in enumerate(fitted.categories[f].get(c, [])):
                 rows.append((f, c, kind, i, idx, v, None, None))
-    return spark.createDataFrame(rows, T.StructType.fromDDL(FITTED_DDL))
+    out = spark.createDataFrame(rows, T.StructType.fromDDL(FITTED_DDL))
+    for i, (c, kind) in enumerate(coded):
+        if c in fitted.large:
+            d = fitted.large[c]
+            fold = F.col("fold") if d.per_fold else F.explode(F.array(*[F.lit(f).cast("int") for f in fitted.folds])).alias("fold")
+            out = out.unionByName(d.table.select(
+                fold, F.lit(c).alias("column"), F.lit(kind).alias("kind"), F.lit(i).alias("position"), F.col("place").alias("idx"),
+                "category", F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("std")))
+    return out
 
 
 def fitted_from_rows(table: DataFrame) -> FittedColumns:
-    """Read back what :func:`fitted_rows` wrote; its size is that of the fit, which lay in memory before."""
-    rows = table.collect()
+    """Read back what :func:`fitted_rows` wrote; columns with many categories stay in the table."""
+    coded = table.filter("kind <> 'numeric'").groupBy("column").agg(
+        F.first("kind").alias("kind"), F.first("position").alias("position"), F.count_distinct("category").alias("n"),
+        F.count("fold").alias("folded")).collect()
+    large = {r["column"]: Dictionary(
+        table.filter(F.col("column") == r["column"]).select(*(["fold"] if r["folded"] else []), "category", F.col("idx").alias("place")),
+        r["n"], r["folded"] > 0) for r in coded if r["n"] > LITERAL_CATEGORIES}
+    rows = table.filter(~F.col("column").isin(list(large)) | (F.col("kind") == "numeric")).collect()
     means: dict = {}
     categories: dict = {}
     numeric: dict = {}
-    texts: dict = {}
-    label = None
+    texts = {r["column"]: r["position"] for r in coded if r["kind"] == "categorical"}
+    label = next((r["column"] for r in coded if r["kind"] == "label"), None)
+    folds = [r["fold"] for r in table.select("fold").distinct().collect()] if large else []
+    for f in folds:
+        means.setdefault(f, {})
+        categories.setdefault(f, {})
     for r in sorted(rows, key=lambda r: (r["fold"] is not None, r["fold"] or 0, r["kind"], r["position"], r["idx"] or 0)):
         f, c = r["fold"], r["column"]
         means.setdefault(f, {})
@@ -375,11 +434,7 @@ def fitted_from_rows(table: DataFrame) -> FittedColumns:
         if r["kind"] == "numeric":
             numeric[c] = r["position"]
             means[f][c] = (r["mean"], r["std"])
-            continue
-        categories[f].setdefault(c, []).append(r["category"])
-        if r["kind"] == "label":
-            label = c
         else:
-            texts[c] = r["position"]
+            categories[f].setdefault(c, []).append(r["category"])
     return FittedColumns(tuple(sorted(numeric, key=numeric.get)), tuple(sorted(texts, key=texts.get)),
-                         label, means, categories)
+                         label, means, categories, large)

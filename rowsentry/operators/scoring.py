@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowsentry.fixed_values import FEATURE_DDL
 from rowsentry.functions.arrays import argmax, confidence, decode_label
-from rowsentry.operators.features import FittedColumns, feature_columns, transform_with
+from rowsentry.operators.features import FittedColumns, category_codes, feature_columns, transform_with
 from rowsentry.sources.requests import parse_requests
 from rowsentry.sources.responses import render_predictions
 
@@ -67,17 +67,18 @@ def score_requests(requests: DataFrame, fitted: FittedColumns, model, domain: Se
     prediction from half a row would look like any other. :func:`answer_requests` answers from both.
     """
     parsed = parse_requests(requests, schema, strict=strict)
+    checked, codes = category_codes(parsed, fitted)
     missing = F.lit(False)
     for c in (*fitted.numeric, *fitted.categorical):
         missing = missing | F.col(c).isNull()
     unknown = F.lit(False)
-    for c in fitted.categorical:
-        unknown = unknown | ~F.coalesce(F.col(c).isin(fitted.domain(c)), F.lit(False))
+    for code in codes:
+        unknown = unknown | (F.col(code) < 0)
     error = (
         F.when(F.col("error").isNotNull(), F.col("error"))
         .when(missing | unknown, F.lit("Error transforming the input data."))
     )
-    checked = parsed.withColumn("error", error)
+    checked = checked.withColumn("error", error).drop(*codes)
     keys = ["inference_id", "row_no", "n_rows", "accept"]
     good = checked.filter("error IS NULL")
     bad = checked.filter("error IS NOT NULL").select(*keys, "error")

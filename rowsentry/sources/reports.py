@@ -86,4 +86,4 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 def replace_parts(rows: DataFrame, path: str, parts: Sequence[str]) -> None:
     """Write ``rows`` laid out by ``parts``; of a table that is there only the parts that ``rows`` holds are replaced."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    rows.repartition(*parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -14,9 +15,10 @@ COUNTS = {"Adelie": 146, "Chinstrap": 68, "Gentoo": 119}
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
-    yield session
-    session.stop()
+    with tempfile.TemporaryDirectory(prefix="tests-") as shared:
+        session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.checkpoint.dir": shared})
+        yield session
+        session.stop()
 
 
 def birds():

@@ -148,3 +148,42 @@ def test_apply_is_a_projection(labelled):
     fitted = features.fit_columns(labelled.drop("id"), "species")
     plan = features.transform_with(labelled, fitted)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("by", [None, "fold"])
+def test_large_dictionaries_stay_tables(spark, folder, monkeypatch, by):
+    """Many categories with one long common prefix: numbered in ranges, encoded and stored without a list of them on the driver."""
+    df = spark.range(30_000).select("id", (F.col("id") % 2 + 1).cast("int").alias("fold"),
+                                    F.concat(F.lit("customer#"), F.lpad((F.col("id") * 7919 % 30_000).cast("string"), 6, "0")).alias("c"),
+                                    F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("d"))
+    fitted = features.fit_columns(df.drop("id"), by=by, numeric=[], categorical=["c", "d"])
+    assert set(fitted.large) == {"c"} and fitted.width("c") == 30_000 and all("c" not in v for v in fitted.categories.values())
+    assert fitted.large["c"].table.count() == 30_000
+
+    def no_names(self):
+        raise AssertionError("categories came to the driver")
+
+    monkeypatch.setattr(features.Dictionary, "names", no_names)
+    cells = features.sparse_cells(df, fitted, by, keep=["id"])
+    bad = cells.filter((F.col("size") != 30_002) | (F.element_at("indices", 1) != F.col("id") * 7919 % 30_000)
+                       | (F.element_at("indices", 2) != F.when(F.col("id") % 3 == 0, 30_000).otherwise(30_001)))
+    assert cells.count() == 30_000 and bad.isEmpty()
+    store.save_fitted(spark, fitted, f"{folder}/fitted")
+    back = store.load_fitted(spark, f"{folder}/fitted")
+    assert features.sparse_cells(df, back, by, keep=["id"]).exceptAll(cells).isEmpty()
+    if by:
+        one = store.load_fitted(spark, f"{folder}/fitted", 2)
+        assert features.sparse_cells(df, one, keep=["id"], unseen="keep").filter("size(indices) = 2").count() == 15_000
+        assert features.sparse_cells(df, fitted.only(2), keep=["id"], unseen="skip").count() == 15_000
+
+
+@pytest.mark.parametrize("folderless", [False, True])
+def test_numbered_in_ranges_like_sorted(spark, monkeypatch, folderless):
+    from rowsentry.operators import dictionary
+
+    if folderless:
+        monkeypatch.setattr(dictionary, "written", lambda df: None)
+    words = sorted({f"{'é' if i % 3 else 'prefix-'}{(i * 37) % 1000}" for i in range(1000)} | {"", "z"})
+    df = spark.createDataFrame([(w,) for w in words], "category STRING").repartition(7)
+    got = {r["category"]: r["place"] for r in dictionary.numbered(df).collect()}
+    assert got == {w: i for i, w in enumerate(words)}
