@@ -21,11 +21,14 @@ _IN_TIME = f"""(SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start
 
 
 def _streams(spark, sf):
-    """The events as two streams, predictions and labels; corrections lie before the labels they follow."""
+    """The events as two streams, predictions and labels; corrections lie before the labels they follow.
+
+    The path is a pattern, as a stream of files takes a folder or a pattern.
+    """
     kind = table(spark, sf, "events").schema
 
     def arriving():
-        return spark.readStream.schema(kind).parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+        return spark.readStream.schema(kind).parquet(f"{sf}/[e]vents.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
     k = number()
     guess = F.when(k < 20, "click").when(k < 40, "error").when(k < 60, "purchase").when(k < 80, "signup").otherwise("view")
