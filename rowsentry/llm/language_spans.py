@@ -1,6 +1,6 @@
 """Language of each span of a text: script ranges narrow the candidates, Viterbi over per-word scores places the changes.
 
-A word (a run of letters) is scored for every learned language that uses its script, from hashed character trigrams with
+A word (a run of letters and their marks) is scored for every learned language that uses its script, from hashed character trigrams with
 word edges and from the hashed word itself. The best sequence of languages pays a penalty for each switch. Long texts
 are cut into chunks of ``CHUNK`` words whose best scores between all pairs of states are found side by side and then
 chained, so no text, however long, is walked word by word.
@@ -33,6 +33,8 @@ SWITCH_PENALTY = 8.0
 SCRIPT_SHARE = 0.01
 CHUNK = 128
 LONGEST_EVIDENCE = 12.0
+#: Numbers of languages.
+STATE = np.int16
 
 # First and last code points of scripts; letters outside are script 0.
 SCRIPTS = {
@@ -46,14 +48,14 @@ SCRIPTS = {
 
 @lru_cache(maxsize=1)
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By code point: is it a letter or mark, its script, its lower case."""
+    """By code point: is it a letter (2), a mark (1) or neither (0), its script, its lower case."""
     size = 0x110000
-    letter, script, lower = np.zeros(size, bool), np.zeros(size, np.uint8), np.arange(size, dtype=np.uint32)
-    for c in range(0x30000):
+    letter, script, lower = np.zeros(size, np.uint8), np.zeros(size, np.uint8), np.arange(size, dtype=np.uint32)
+    for c in range(size):
         if 0xD800 <= c < 0xE000:
             continue
         ch = chr(c)
-        letter[c] = unicodedata.category(ch)[0] in "LM"
+        letter[c] = {"L": 2, "M": 1}.get(unicodedata.category(ch)[0], 0)
         small = ch.lower()
         if len(small) == 1:
             lower[c] = ord(small)
@@ -84,7 +86,12 @@ def _words(column: pa.Array) -> Words:
     np.cumsum((data & 0xC0) != 0x80, out=reached[1:])
     offsets = reached[byte_offsets]
     letter, script, lower = _tables()
-    starts, ends, bounds = runs(letter[points], offsets)
+    kind = letter[points]
+    starts, ends, bounds = runs(kind > 0, offsets)
+    if len(starts):  # a run of marks alone is no word
+        lettered = np.maximum.reduceat(kind, starts) == 2
+        bounds = np.concatenate([[0], np.cumsum(lettered)])[bounds]
+        starts, ends = starts[lettered], ends[lettered]
     low = lower[points].astype(np.uint64)
     # Trigrams of the word with its edges: the k-th is (k-1, k, k+1), edges being 0.
     length = ends - starts
@@ -118,8 +125,8 @@ def fit(df: DataFrame, column: str = "text", lang: str = "lang", per_language: i
     languages = sorted(sizes)
     if not languages:
         return LanguageModel([], np.zeros((2 * BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS) + 1, 0), bool))
-    share = F.create_map(*[F.lit(x) for k in languages for x in (k, int(min(1.0, per_language / sizes[k]) * (1 << 20)))])
-    part = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")))
+    share = F.create_map(*[F.lit(x) for k in languages for x in (k, max(1, int(min(1.0, per_language / sizes[k]) * (1 << 62))))])
+    part = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 62)) < F.try_element_at(share, F.col("lang")))
     number = {k: i for i, k in enumerate(languages)}
     width = 2 * BUCKETS + len(SCRIPTS) + 1
 
@@ -161,7 +168,7 @@ def _evidence(w: Words, model: LanguageModel) -> np.ndarray:
 def viterbi(evidence: np.ndarray, bounds: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
     """The state of every row of ``evidence`` on the best path of its text; ties go to the smaller state."""
     states = evidence.shape[1]
-    path = np.zeros(len(evidence), np.int8)
+    path = np.zeros(len(evidence), STATE)
     n = np.diff(bounds)
     per_text = -(-n // CHUNK)
     chunk_bounds = np.concatenate([[0], np.cumsum(per_text)])
@@ -188,7 +195,7 @@ def viterbi(evidence: np.ndarray, bounds: np.ndarray, penalty: float = SWITCH_PE
     texts = np.flatnonzero(n > 0)
     texts = texts[np.argsort(-per_text[texts], kind="stable")]
     value = np.zeros((len(texts), states), np.float32)
-    enter = np.zeros((chunks, states), np.int8)
+    enter = np.zeros((chunks, states), STATE)
     longest = int(per_text.max())
     alive = np.searchsorted(-per_text[texts], -np.arange(1, longest + 1), side="right")
     for c in range(longest):
@@ -205,8 +212,8 @@ def viterbi(evidence: np.ndarray, bounds: np.ndarray, penalty: float = SWITCH_PE
     # Within the chunks, from the state before to the state at the end.
     v = np.full((chunks, states), -np.inf, np.float32)
     v[np.arange(chunks), first[order]] = 0
-    came = np.zeros((len(evidence), states), np.int8)
-    own = np.arange(states, dtype=np.int8)
+    came = np.zeros((len(evidence), states), STATE)
+    own = np.arange(states, dtype=STATE)
     for t in range(CHUNK):
         a = active[t]
         if not a:
@@ -231,7 +238,7 @@ def _label(column: pa.Array, model: LanguageModel, penalty: float) -> tuple[pa.A
     texts, states = len(column), len(model.languages)
     if not states:
         w.bounds, w.starts, w.ends = np.zeros(texts + 1, np.int64), w.starts[:0], w.ends[:0]
-        path = np.zeros(0, np.int8)
+        path = np.zeros(0, STATE)
     else:
         path = viterbi(_evidence(w, model), w.bounds, penalty)
     of = np.repeat(np.arange(texts), np.diff(w.bounds))

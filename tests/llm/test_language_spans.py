@@ -71,3 +71,22 @@ def test_nothing_learned_and_empty_tables(spark):
 def test_bounded_learning_is_a_share_of_each_language(spark):
     many = spark.range(400).select(F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
     assert language_spans.fit(many, per_language=40).languages == ["en"]
+
+
+def test_marks_are_no_letters_and_all_letters_count(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr")]
+    model = language_spans.fit(spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING"))
+    texts = [(1, "́̂"), (2, "\U00030000\U00030001"), (3, "the ́ cat"), (4, "the ćat"), (5, "")]
+    df = spark.createDataFrame([(i, t, "own") for i, t in texts], "doc_id LONG, text STRING, lang_pred STRING")
+    got = {r["doc_id"]: r for r in language_spans.label(df, model).collect()}
+    assert [got[i]["lang_pred"] for i, _ in texts][0] == "und" and got[1]["score"] == 0 and got[1]["lang_spans"] == []
+    assert got[2]["lang_pred"] in ("en", "fr") and got[3]["lang_pred"] == got[4]["lang_pred"] == "en" and got[5]["lang_pred"] == "und"
+    assert [(s["start"], s["end"]) for s in got[3]["lang_spans"]] == [(0, 9)]
+
+
+def test_many_languages_keep_their_numbers():
+    import numpy as np
+
+    evidence = np.full((6, 300), -9.0, np.float32)
+    evidence[:, 250] = 0
+    assert language_spans.viterbi(evidence, np.array([0, 6])).tolist() == [250] * 6
