@@ -78,6 +78,55 @@ def test_width_of_the_band_does_not_matter(labelled, monkeypatch, spreads):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+@pytest.mark.parametrize("spread", [1e-9, 1e6])
+def test_search_by_parts_finds_the_same_cuts(spark, monkeypatch, spread):
+    """Ranges of few parts and few rows, begun in the wrong place, also with one class of nearly all rows."""
+    df = spark.range(3000).select("id", F.when(F.col("id") % 50 == 0, "rare").otherwise("hot").alias("label"))
+    rows = [(r["id"], r["label"]) for r in df.collect()]
+    monkeypatch.setattr(split, "_SPREADS", (spread,))
+    monkeypatch.setattr(split, "_SLOTS", 8)
+    monkeypatch.setattr(split, "_LEAF_ROWS", 20)
+    got = split.stratified_split(df, "label", "id").filter("split = 'train'").select("id").collect()
+    assert {str(r["id"]) for r in got} == brute_force(rows, 20, "42")
+    folds = split.stratified_folds(df, "label", "id", folds=2).filter("split = 'train'").select("fold", "id").collect()
+    for fold in (1, 2):
+        assert {str(r["id"]) for r in folds if r["fold"] == fold} == brute_force(rows, 20, f"41|{fold}")
+
+
+def test_number_of_passes(spark, labelled, monkeypatch):
+    """One pass over the rows finds the cuts of all classes, and one those of all folds."""
+    passes = []
+    real = split._narrowed
+    monkeypatch.setattr(split, "_narrowed", lambda *a: passes.append(1) or real(*a))
+    split.stratified_split(labelled, "species", "id")
+    assert len(passes) == 1
+    split.stratified_folds(labelled, "species", "id")
+    assert len(passes) == 2
+    split.split_and_fold(labelled, "species", "id")
+    assert len(passes) == 4
+
+
+def test_rows_of_a_key_stay_together(spark):
+    """A third of the rows share one key: no row of it is apart from the others, and train exceeds its quota by no more than them."""
+    df = spark.range(600).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("id"), F.col("id").alias("row"),
+                                 (F.col("id") % 2).alias("label"))
+    parts = split.stratified_split(df, "label", "id", together=True)
+    assert {tuple(r)[0] for r in parts.filter("id = 0").groupBy("label").agg(F.countDistinct("split")).select("count(DISTINCT split)").collect()} == {1}
+    keys = sorted(((md5(f"42|{k}"), str(k)), k) for k in {r["id"] for r in df.collect()})
+    for label in (0, 1):
+        sizes = Counter(r["id"] for r in df.filter(F.col("label") == label).collect())
+        train, run = set(), 0
+        for _, k in keys:
+            if k in sizes and run < 240:
+                train.add(k)
+                run += sizes[k]
+        got = parts.filter((F.col("label") == label) & (F.col("split") == "train"))
+        assert {r["id"] for r in got.collect()} == train and got.count() == run
+    folded = split.split_and_fold(df, "label", "id", together=True)
+    per_key = folded.groupBy("id", "label", "fold").agg(F.countDistinct("split").alias("sides"))
+    assert per_key.filter("sides > 1").isEmpty() and folded.select("row").distinct().count() == 600
+
+
 def test_partitioning_does_not_matter(spark, labelled):
     a = {tuple(r) for r in split.stratified_split(labelled.repartition(1), "species", "id").select("id", "split").collect()}
     spark.conf.set("spark.sql.shuffle.partitions", "50")
