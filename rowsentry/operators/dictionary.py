@@ -7,30 +7,13 @@ that using it starts there.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from rowsentry.operators.ranking import bucketed_rank
-
-
-def written(df: DataFrame) -> DataFrame | None:
-    """``df`` as a table below ``spark.checkpoint.dir``, or None where no such folder is named."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return None
-    path = f"{folder.rstrip('/')}/dictionary-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def kept(df: DataFrame) -> DataFrame:
-    """The written table, or ``df`` itself where there is no folder to write to."""
-    out = written(df)
-    return df if out is None else out
+from rowsentry.operators.sizing import kept, written  # noqa: F401
 
 
 def numbered(found: DataFrame, by: Sequence[str] = (), name: str = "place") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rowsentry.operators.quality import unpivot_numbers, unpivot_text
-from rowsentry.operators.ranking import column_range_bucket, running_total, value_cuts
+from rowsentry.operators.ranking import nested_buckets, running_total, value_cuts
 
 _SIDES = ("_a", "_b")
 
@@ -34,8 +34,9 @@ def drift_numeric(baseline: DataFrame, current: DataFrame, columns: Sequence[str
     Equal values are counted together before the shuffle and ranked bucket by bucket.
     """
     sides = baseline.select(*columns).unionByName(current.select(*columns))
-    bucket = column_range_bucket("column", "value", {c: cuts for c, (cuts, _) in value_cuts(sides, columns).items()})
+    found = value_cuts(sides, columns)
     counts = _both(baseline, current, columns, unpivot_numbers).groupBy("column", "value").agg(*[F.sum(s).alias(s) for s in _SIDES])
+    counts, bucket = nested_buckets(counts, found)
     placed = running_total(counts, ["column"], bucket, ["value"], list(_SIDES))
     return placed.join(_totals(counts), "column").groupBy("column").agg(_gap("_a_run", "_b_run").alias("distance"))
 

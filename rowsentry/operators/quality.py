@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowsentry.functions.names import as_list
-from rowsentry.operators.ranking import column_range_bucket, literal_of, running_total, value_cuts
+from rowsentry.operators.ranking import literal_of, nested_buckets, running_total, value_cuts
 
 COLUMNS_PER_PASS = 100
 MAX_DOMAIN = 20
@@ -116,8 +116,9 @@ def profile_columns_exact(df: DataFrame, by: Sequence[str] = (), columns: Sequen
 def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, value, n, share`` of every value, nulls included."""
     counts = unpivot_text(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
-    rows = df.agg(F.count("*")).scalar()
-    return counts.select("column", "value", "n", (F.col("n") / rows).alias("share"))
+    # Each column has every row once, so its counts add up to them: one row per column, hence the broadcast.
+    rows = F.broadcast(counts.groupBy("column").agg(F.sum("n").alias("_rows")))
+    return counts.join(rows, "column").select("column", "value", "n", (F.col("n") / F.col("_rows")).alias("share"))
 
 
 def infer_column_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -143,8 +144,8 @@ def profile_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequ
     neither a hot value nor a long column ends up in one task.
     """
     found = value_cuts(df, columns)
-    bucket = column_range_bucket("column", "value", {c: cuts for c, (cuts, _) in found.items()})
     counts = unpivot_numbers(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
+    counts, bucket = nested_buckets(counts, found)
     placed = running_total(counts, ["column"], bucket, ["value"], ["n"])
     top = literal_of("column", {c: n - 1 for c, (_, n) in found.items()})
     # A value covers the places [n_run - n, n_run - 1]; keep the (value, p) pairs it decides.

@@ -2,7 +2,7 @@
 
 A window over a whole group puts the group into one task. Here the rows first fall into
 buckets that follow the order; each task ranks one bucket, and the total of the earlier
-buckets (a table with one row per bucket) is added.
+buckets (a table with one row per bucket) is added. Buckets that are too full are cut again.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rowsentry.operators.sizing import kept, settle_small
+
 BUCKET_HEX = 3
 MAX_PARTS, MIN_PARTS, LEAVES = 1024, 16, 64
 ROWS_PER_PART = 1_000_000
@@ -100,6 +102,41 @@ def column_range_bucket(column: str, value: str, cuts: dict[str, Sequence[float]
     return F.lit(0) if out is None else out.otherwise(F.lit(0))
 
 
+def nested_buckets(counts: DataFrame, found: dict[str, tuple[list[float], int]]) -> tuple[DataFrame, Column]:
+    """Distinct ``column, value`` rows with a bucket for :func:`running_total`, given :func:`value_cuts` of the columns.
+
+    Columns too long for ``MAX_PARTS`` buckets of ``ROWS_PER_PART`` values have those buckets cut again that hold more, by
+    quantiles of their own, until none does. Only these few are looked at; the others stay as they are.
+    """
+    bucket = column_range_bucket("column", "value", {c: cuts for c, (cuts, _) in found.items()})
+    if all(n <= MAX_PARTS * ROWS_PER_PART for _, n in found.values()):
+        return counts, bucket
+    rows, keys, largest = kept(counts.withColumn("_b0", bucket)), ["column", "_b0"], None
+    shares = ", ".join(f"{i / MAX_PARTS}D" for i in range(1, MAX_PARTS))
+    while True:
+        sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > ROWS_PER_PART)
+        full, size = settle_small(sizes)
+        if size == 0:
+            break
+        most = full.agg(F.max("_n")).first()[0]
+        if largest is not None and most >= largest:
+            break  # values that the sketch cannot tell apart
+        largest = most
+        held = F.broadcast(full) if size is not None else full
+        # Of the finest cuts as many are kept as give each part about ROWS_PER_PART values.
+        step = F.greatest(F.lit(1), F.floor(F.lit(MAX_PARTS) / F.ceil(2 * F.first("_n") / ROWS_PER_PART)))
+        fine = F.expr(f"approx_percentile(value, array({shares}), {SKETCH_SIZE})")
+        cuts, few = settle_small(
+            rows.join(held, keys).groupBy(*keys).agg(fine.alias("_fine"), step.alias("_step"))
+            .select(*keys, F.filter("_fine", lambda c, i: (i + 1) % F.col("_step") == 0).alias("_cuts")))
+        name = f"_b{len(keys) - 1}"
+        inner = F.size(F.filter("_cuts", lambda c: c <= F.col("value")))
+        met = rows.join(F.broadcast(cuts) if few is not None else cuts, keys, "left")
+        rows = kept(met.withColumn(name, F.when(F.col("_cuts").isNull(), -1).otherwise(inner)).drop("_cuts"))
+        keys = [*keys, name]
+    return rows, F.struct(*keys[1:])
+
+
 def literal_of(column: str, values: dict[str, int]) -> Column:
     """The entry of ``values`` for the name in ``column``."""
     pairs = [F.lit(x) for name, n in values.items() for x in (name, n)]

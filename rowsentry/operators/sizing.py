@@ -1,7 +1,8 @@
-"""Joins that broadcast only what has been measured, and stay exact beyond that."""
+"""Joins that broadcast only what has been measured, and stay exact beyond that; tables written to cut lineage."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +14,23 @@ HOT_SHARE = 0.01
 HOT_TRACKED = 10_000
 
 
+def written(df: DataFrame) -> DataFrame | None:
+    """``df`` as a table below ``spark.checkpoint.dir``, or None where no such folder is named."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return None
+    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The written table, or ``df`` itself where there is no folder to write to."""
+    out = written(df)
+    return df if out is None else out
+
+
 def settle_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, int | None]:
     """Run ``df`` once and keep its rows as a local table when it has at most ``max_rows``.
 

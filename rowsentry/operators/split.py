@@ -20,9 +20,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rowsentry.fixed_values import FOLD_SEED, FOLDS, TEST_PERCENT, TEST_SEED
 from rowsentry.functions.keys import hash_percent, row_key, seeded_hash
 from rowsentry.functions.names import as_list
-from rowsentry.operators.dictionary import kept
 from rowsentry.operators.ranking import BUCKET_HEX, bucketed_rank, hash_bucket
-from rowsentry.operators.sizing import heavy_keys, join_unique, settle_small
+from rowsentry.operators.sizing import heavy_keys, join_unique, kept, settle_small
 
 # Deviations of a class's cut from its expected place that the first range covers.
 _SPREADS = (6.0,)

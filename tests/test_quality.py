@@ -80,6 +80,30 @@ def test_quantiles_of_several_columns_and_sketches(spark, rows_per_part):
         assert abs(rank - 0.5) < 0.03
 
 
+def test_full_buckets_are_cut_again(spark, monkeypatch):
+    """No bucket keeps more values than its limit, however many levels that takes, and quantiles and distances stay exact."""
+    # Most values lie close together, so that even buckets of the whole range would be full.
+    df = spark.range(4000).select((F.pow(F.col("id") / 4000, 3) * 1000).alias("x"), (F.col("id") % 7).cast("double").alias("y"))
+    probabilities = [0.0, 0.1, 0.5, 0.77, 1.0]
+    other = df.withColumn("x", F.col("x") * 1.01)
+
+    def results():
+        return (sorted(map(tuple, quality.profile_quantiles(df, ["x", "y"], probabilities).collect())),
+                sorted(map(tuple, drift.drift_numeric(df, other, ["x", "y"]).collect())))
+
+    want = results()
+    monkeypatch.setattr(ranking, "MAX_PARTS", 4)
+    monkeypatch.setattr(ranking, "ROWS_PER_PART", 30)
+    counts = quality.unpivot_numbers(df, ["x", "y"]).distinct()
+    rows, bucket = ranking.nested_buckets(counts, ranking.value_cuts(df, ["x", "y"], 4))
+    per = rows.groupBy("column", bucket.alias("b")).agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    spans = [tuple(r) for r in per.orderBy("column", "b").select("column", "n", "low", "high").collect()]
+    assert sum(s[1] for s in spans) == 4007 and max(s[1] for s in spans) <= 30
+    assert all(a[3] < b[2] for a, b in zip(spans, spans[1:]) if a[0] == b[0])
+    assert len(rows.columns) > 4  # more than one level
+    assert results() == want
+
+
 def test_bucketed_rank_equals_a_window(spark):
     df = spark.range(3000).select("id", (F.col("id") % 3).alias("g"), F.md5(F.col("id").cast("string")).alias("h"))
     df = df.withColumn("g", F.when(F.col("g") != 2, F.col("g")))
