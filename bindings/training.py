@@ -102,6 +102,73 @@ def score_requests_checked(spark, sf):
     return answers.select("inference_id", "accept", "error", name.isin(_PRIORITY).alias("in_domain"), share.between(0.2, 1.0).alias("in_range"))
 
 
+def _weight(k: int, i: int) -> float:
+    """A weight by rule, small and different for each class and feature."""
+    return ((k * 7 + i * 3) % 11 - 5) / 4
+
+
+def _sum_sql(k: int, terms: list[str]) -> str:
+    return f"CAST({k / 10} AS DOUBLE) + " + " + ".join(f"CAST({_weight(k, i)} AS DOUBLE) * {t}" for i, t in enumerate(terms))
+
+
+def _softmax_sql(rows: str, keep: str, n: int) -> str:
+    """Probabilities ``p`` (a list) of the scores ``s0``, ``s1``, … in ``rows``."""
+    names = [f"s{k}" for k in range(n)]
+    top = f"greatest({', '.join(names)})"
+    exps = [f"exp({x} - {top})" for x in names]
+    return f"SELECT {keep}, [{', '.join(f'{e} / ({" + ".join(exps)})' for e in exps)}] AS p FROM ({rows})"
+
+
+_DIMENSIONS = 64
+_SCORED_VECTORS = "SELECT vec_id, " + ", ".join(
+    _sum_sql(k, [f"CAST(embedding[{i + 1}] AS DOUBLE)" for i in range(_DIMENSIONS)]) + f" AS s{k}" for k in range(CLASSES)) + " FROM embeddings"
+
+
+@query(f"""
+  SELECT vec_id, unnest(range({CLASSES})) AS class, round(unnest(p), 6) AS probability FROM ({_softmax_sql(_SCORED_VECTORS, "vec_id", CLASSES)})
+""")
+def predict_proba_fixed(spark, sf):
+    """Every probability of a model with given weights."""
+    model = scoring.SoftmaxModel([[_weight(k, i) for i in range(_DIMENSIONS)] for k in range(CLASSES)], [k / 10 for k in range(CLASSES)])
+    rows = table(spark, sf, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    found = scoring.predict_proba(model, rows).select("vec_id", F.posexplode("probabilities").alias("class", "probability"))
+    return found.select("vec_id", F.col("class").cast("long").alias("class"), F.round("probability", 6).alias("probability"))
+
+
+_TERMS = ["(o_totalprice - pm) / ps", "(o_custkey - cm) / cs", *[f"CAST(o_orderstatus = '{c}' AS DOUBLE)" for c in "FOP"]]
+_SCORED_ORDERS = "SELECT o_orderkey, " + ", ".join(_sum_sql(k, _TERMS) + f" AS s{k}" for k in range(len(_PRIORITY))) + """
+  FROM orders, (SELECT avg(o_totalprice) AS pm, stddev_pop(o_totalprice) AS ps, avg(o_custkey) AS cm, stddev_pop(o_custkey) AS cs FROM orders)"""
+_REFUSED = "o_orderkey % 10 = 3"
+
+
+@query(f"""
+  SELECT CAST(o_orderkey AS VARCHAR) AS inference_id, CASE WHEN o_orderkey % 2 = 0 THEN 'text/csv' ELSE 'application/json' END AS accept,
+         CASE WHEN {_REFUSED} THEN 'Error transforming the input data.' END AS error,
+         CASE WHEN NOT {_REFUSED} THEN {_PRIORITY!r}[list_position(p, list_max(p))] END AS prediction,
+         CASE WHEN NOT {_REFUSED} THEN round(list_max(p), 6) END AS confidence
+  FROM ({_softmax_sql(_SCORED_ORDERS, "o_orderkey", len(_PRIORITY))})
+""")
+def score_requests_exact(spark, sf):
+    """Class and confidence of every order, sent as a CSV or JSON request; some name a status nobody knows and are refused."""
+    o = table(spark, sf, "orders")
+    fitted = features.fit_columns(o.select("o_orderstatus", "o_totalprice", "o_custkey", "o_orderpriority"), "o_orderpriority")
+    names = fitted.feature_names
+    order = [["o_totalprice", "o_custkey", *[f"o_orderstatus_{c}" for c in "FOP"]].index(n) for n in names]
+    model = scoring.SoftmaxModel([[_weight(k, i) for i in order] for k in range(len(_PRIORITY))], [k / 10 for k in range(len(_PRIORITY))])
+    even = F.col("o_orderkey") % 2 == 0
+    kind = F.when(even, "text/csv").otherwise("application/json")
+    sent = o.withColumn("o_orderstatus", F.when(F.expr(_REFUSED), "X").otherwise(F.col("o_orderstatus")))
+    body = F.when(even, F.concat_ws(",", "o_orderstatus", "o_totalprice", "o_custkey")).otherwise(
+        F.to_json(F.struct("o_orderstatus", "o_totalprice", "o_custkey")))
+    sent = sent.select(F.col("o_orderkey").cast("string").alias("inference_id"), kind.alias("content_type"),
+                       kind.alias("accept"), body.alias("body"))
+    answers = scoring.answer_requests(*scoring.score_requests(sent, fitted, model, _PRIORITY, _ORDER_DDL))
+    is_csv = F.col("accept") == "text/csv"
+    name = F.when(is_csv, F.substring_index("response", ",", 1)).otherwise(F.get_json_object("response", "$.0"))
+    share = F.when(is_csv, F.substring_index("response", ",", -1)).otherwise(F.get_json_object("response", "$.1")).cast("double")
+    return answers.select("inference_id", "accept", "error", name.alias("prediction"), F.round(share, 6).alias("confidence"))
+
+
 @query("""
   SELECT o_orderkey, CASE WHEN o_totalprice > 250000 THEN 'large' ELSE 'small' END AS prediction FROM orders
 """)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsentry.fixed_values import FEATURE_DDL
 from rowsentry.functions.arrays import argmax, confidence, decode_label
@@ -20,6 +21,40 @@ def as_vector(df: DataFrame, cols: Sequence[str], name: str = "features") -> Dat
     return df.withColumn(name, array_to_vector(F.array(*[F.col(f"`{c}`").cast("double") for c in cols])))
 
 
+@dataclass(frozen=True)
+class SoftmaxModel:
+    """A linear model with given weights, one row of ``coefficients`` and one of ``intercepts`` per class.
+
+    Its probabilities are one JVM expression over the vector, the same on any cluster. Use it where :func:`predict_proba` takes a model.
+    """
+
+    coefficients: Sequence[Sequence[float]]
+    intercepts: Sequence[float]
+    features: str = "features"
+
+    @classmethod
+    def of(cls, model) -> SoftmaxModel:
+        """The weights of a trained multinomial logistic model."""
+        return cls(model.coefficientMatrix.toArray().tolist(), model.interceptVector.toArray().tolist(), model.getFeaturesCol())
+
+    def getFeaturesCol(self) -> str:
+        return self.features
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``probability``, a vector; null where the features are null."""
+        def score(row: Sequence[float], start: float) -> Column:
+            products = F.zip_with("_x", F.array(*[F.lit(float(w)) for w in row]), lambda x, w: x * w)
+            return F.aggregate(products, F.lit(float(start)), lambda a, v: a + v)
+
+        scores = F.array(*[score(row, start) for row, start in zip(self.coefficients, self.intercepts, strict=True)])
+        # Differences to the largest score: no exponential overflows.
+        parts = F.transform("_s", lambda v: F.exp(v - F.array_max("_s")))
+        total = F.aggregate("_e", F.lit(0.0), lambda a, v: a + v)
+        out = df.withColumn("_x", vector_to_array(self.features)).withColumn("_s", scores).withColumn("_e", parts)
+        share = F.when(F.col("_x").isNotNull(), array_to_vector(F.transform("_e", lambda v: v / total)))
+        return out.withColumn("probability", share).drop("_x", "_s", "_e")
+
+
 def predict_proba(model, df: DataFrame, name: str = "probabilities") -> DataFrame:
     """Add the model's class probabilities as an array; other model outputs are dropped."""
     scored = model.transform(df)

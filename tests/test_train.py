@@ -69,6 +69,24 @@ def test_probabilities_and_decoded_classes(prepared, fitted_models):
         assert r["prediction"] == LABEL_DOMAIN[r["probabilities"].index(max(r["probabilities"]))] and r["confidence"] == max(r["probabilities"])
 
 
+def test_given_weights_give_the_trained_models_probabilities(prepared):
+    """The expression over the weights agrees with the model they were taken from."""
+    table, _ = prepared
+    model = train.train_logistic(table.filter("fold = 1 and split = 'train'"), epochs=5)
+    rows = table.filter("fold = 1").orderBy("id").limit(40)
+    pairs = scoring.predict_proba(scoring.SoftmaxModel.of(model), scoring.predict_proba(model, rows, "want"), "got").select("want", "got").collect()
+    assert len(pairs) == 40 and all(r["got"] == pytest.approx(r["want"], abs=1e-9) for r in pairs)
+
+
+def test_given_weights_with_large_scores(spark):
+    """No score overflows."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = spark.createDataFrame([([1000.0, 0.0],), ([-1000.0, 1.0],)], "x ARRAY<DOUBLE>").select(array_to_vector("x").alias("features"))
+    model = scoring.SoftmaxModel([[1.0, 0.0], [-1.0, 0.0], [0.0, 0.0]], [0.0, 0.0, 0.0])
+    assert [r["probabilities"] for r in scoring.predict_proba(model, rows).collect()] == [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0]]
+
+
 def test_tuning_and_top_models(prepared):
     trials, results = train.tune(prepared[0], [1, 2], 9, 3, trials=(1, 20))
     got = {r["trial"]: r for r in trials.collect()}
