@@ -115,7 +115,8 @@ def fit(df: DataFrame, column: str = "text", fit_documents: int = FIT_DOCUMENTS)
     """
     total = df.count()
     share = min(1.0, fit_documents / max(total, 1))
-    part = df.select(F.col(column).alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    # 62 bits of the hash: the share of a table of any size is more than none.
+    part = df.select(F.col(column).alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(1 << 62)) < int(share * (1 << 62)))
     spans = base_spans(part, "text")
     values = spans.select(F.explode("spans").alias("s")).select(F.lit(True).alias("random"), F.col("s.value").alias("token"))
     runs = spans.filter(F.size("spans") == 0).select(

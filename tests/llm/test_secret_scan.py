@@ -63,3 +63,10 @@ def test_listed_and_redacted(table):
                 out += [text[at:a], "#"]
             at = max(at, b)
         assert r["red"] == (text if not spans else "".join(out) + text[at:])
+
+
+def test_a_small_share_of_a_large_table_is_fitted_on(spark):
+    """The share is taken by many bits of the hash: below a millionth it still picks its part of the texts."""
+    table = spark.range(4_000_000).select(F.concat(F.lit("token = q9Zx71LmPq"), F.col("id").cast("string")).alias("text"))
+    models = secret_scan.fit(table, fit_documents=3)
+    assert 0 < models.random_transitions < 20 * 24
