@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowsentry.fixed_values import CSV_TYPE, GROUND_TRUTH_DDL, JSON_TYPE
@@ -19,6 +21,12 @@ def ground_truth_event(key: Column, label: Column) -> Column:
     ))
 
 
+def write_ground_truth(labels: DataFrame, path: str, at: datetime, key: str = "inference_id", truth: str = "truth") -> None:
+    """One drop of labels, in the folder that names its time (UTC) to the second; a repeated drop replaces itself."""
+    events = labels.select(ground_truth_event(F.col(key), F.col(truth)).alias("value"))
+    events.write.mode("overwrite").text(f"{path.rstrip('/')}/{at:%Y/%m/%d/%H/%M%S}")
+
+
 def _labels(raw: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     parts = [F.regexp_extract(path, _PATH_TIME, i) for i in range(1, 7)]
@@ -52,8 +60,11 @@ def _by_hour(df: DataFrame, ts: str) -> DataFrame:
 
 
 def capture_inferences(df: DataFrame, path: str, ts: str = "ts", percent: int = 100) -> None:
-    """Append captured inputs and outputs, laid out by date and hour."""
-    _by_hour(captured(df, percent), ts).write.mode("append").partitionBy("date", "hour").parquet(path)
+    """Append captured inputs and outputs, laid out by date and hour.
+
+    Rows of an hour are brought together, so that tasks do not each write a file an hour; hours that are too full stay split.
+    """
+    _by_hour(captured(df, percent), ts).hint("rebalance", "date", "hour").write.mode("append").partitionBy("date", "hour").parquet(path)
 
 
 def stream_captures(df: DataFrame, path: str, checkpoint: str, ts: str = "ts", percent: int = 100):
