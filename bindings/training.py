@@ -1,4 +1,4 @@
-"""Training and scoring on the driver tables; iterative, so without SQL twins."""
+"""Training and scoring on the driver tables; the perceptron is iterative and has no SQL twin, the fixed-step fit has one."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from bindings.catalog import query, split_sql, table
-from rowsentry.operators import features, scoring, split, train
+from rowsentry.operators import features, scoring, softmax, split, train
 
 WIDTH, CLASSES, EPOCHS = 64, 10, 10
 
@@ -61,6 +61,85 @@ def predict_proba_totals(spark, sf):
     return predict_proba(spark, sf).select("vec_id", F.round(total, 6).alias("total"), F.size("probabilities").alias("width"))
 
 
+_STEPS, _FIXED_EPOCHS, _FEATURES = (0.5, 2.0), 3, 64
+_FOLDED_VECTORS = split_sql("SELECT vec_id, label, embedding, fold FROM embeddings, (SELECT unnest([1, 2, 3]) AS fold) f", "label", "vec_id",
+                            "concat_ws('|', '41', r.fold_)", fold="fold", keep="fold, vec_id, label, embedding", other="validation")
+
+
+def _descent_sql(result: str) -> str:
+    """Plain gradient descent, an epoch after the other: tables ``w<e>`` (weights), ``p<e>`` (probabilities), ``m<e>`` (metrics)."""
+    steps = ", ".join(f"({t}, CAST({s} AS DOUBLE))" for t, s in enumerate(_STEPS))
+    ctes = [f"""r AS MATERIALIZED (SELECT CAST(fold AS INT) AS fold, split, vec_id, CAST(label AS INT) AS label, list_append(CAST(embedding AS DOUBLE[]), 1.0) AS x
+              FROM ({_FOLDED_VECTORS}))""",
+            f"""w0 AS MATERIALIZED (SELECT CAST(f.fold AS INT) AS fold, CAST(trial AS INT) AS trial, step, CAST(k AS INT) AS class,
+                  list_resize(CAST([] AS DOUBLE[]), {_FEATURES + 1}, CAST(0 AS DOUBLE)) AS w
+              FROM (SELECT unnest([1, 2, 3]) AS fold) f, (VALUES {steps}) AS t(trial, step), range({CLASSES}) AS c(k))"""]
+    for e in range(_FIXED_EPOCHS + 1):
+        ctes.append(f"""p{e} AS MATERIALIZED (SELECT *, u / sum(u) OVER one AS p FROM (SELECT *, exp(s - max(s) OVER one) AS u FROM (
+            SELECT fold, trial, split, vec_id, label, class, x, list_dot_product(x, w) AS s FROM r JOIN w{e} USING (fold))
+            WINDOW one AS (PARTITION BY fold, trial, vec_id)) WINDOW one AS (PARTITION BY fold, trial, vec_id))""")
+        if e:
+            ctes.append(f"""m{e} AS (SELECT fold, trial, split, {e} AS epoch, avg(loss) AS loss, avg(hit) AS accuracy FROM (
+                SELECT fold, trial, split, vec_id, -ln(max(p) FILTER (class = label)) AS loss, CAST(arg_max(class, p) = any_value(label) AS DOUBLE) AS hit
+                FROM p{e} GROUP BY ALL) GROUP BY fold, trial, split)""")
+        if e < _FIXED_EPOCHS:
+            ctes.append(f"""w{e + 1} AS MATERIALIZED (SELECT fold, trial, any_value(step) AS step, class, list(v - step * g ORDER BY i) AS w FROM (
+                SELECT fold, trial, class, i, avg(d * v) AS g FROM (
+                  SELECT fold, trial, class, p - CAST(class = label AS DOUBLE) AS d, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM p{e} WHERE split = 'train')
+                GROUP BY ALL) JOIN (SELECT fold, trial, step, class, unnest(w) AS v, generate_subscripts(w, 1) AS i FROM w{e}) USING (fold, trial, class, i)
+              GROUP BY fold, trial, class)""")
+    return f"WITH {', '.join(ctes)} {result}"
+
+
+_EVERY_EPOCH = " UNION ALL ".join(f"SELECT * FROM m{e}" for e in range(1, _FIXED_EPOCHS + 1))
+
+
+def _fixed_fits(spark, sf):
+    rows = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("features"))
+    folded = split.stratified_folds(rows, "label", "vec_id")
+    return softmax.train_softmax(folded, [1, 2, 3], _FEATURES, CLASSES, _FIXED_EPOCHS, _STEPS)
+
+
+@query(_descent_sql(f"""SELECT fold, trial, class, CAST(i - 1 AS INT) AS index, round(v, 6) AS weight FROM (
+    SELECT fold, trial, class, unnest(w) AS v, generate_subscripts(w, 1) AS i FROM w{_FIXED_EPOCHS})"""))
+def train_softmax(spark, sf):
+    """All weights of all folds and steps after the last epoch."""
+    return _fixed_fits(spark, sf).weights_table(spark).withColumn("weight", F.round("weight", 6))
+
+
+@query(_descent_sql(f"""
+  SELECT fold, trial, epoch, CASE WHEN split = 'train' THEN '' ELSE 'val_' END || metric AS metric, round(value, 6) AS value
+  FROM (SELECT fold, trial, split, epoch, unnest(['loss', 'accuracy']) AS metric, unnest([loss, accuracy]) AS value FROM ({_EVERY_EPOCH}))"""))
+def softmax_fold_metrics(spark, sf):
+    """Loss and accuracy of both sides of each fold after every epoch."""
+    return _fixed_fits(spark, sf).metrics_table(spark).withColumn("value", F.round("value", 6))
+
+
+_TRIALS = (1, 2, 3)
+
+
+@query(_descent_sql(f"""
+  SELECT CAST(row_number() OVER (ORDER BY trial, epoch) - 1 AS INT) AS trial, trial AS step, epoch AS epochs, round(accuracy, 6) AS val_accuracy
+  FROM ({_EVERY_EPOCH}) WHERE fold = 3 AND split = 'validation' AND epoch IN {_TRIALS}
+  QUALIFY row_number() OVER (ORDER BY round(accuracy, 6) DESC, trial, epoch) <= 3"""))
+def tune_softmax(spark, sf):
+    """The three best of all steps and numbers of epochs by the validation accuracy of the last fold."""
+    trials = softmax.softmax_trials(_fixed_fits(spark, sf), spark, _TRIALS)
+    return train.top_models(trials.withColumn("val_accuracy", F.round("val_accuracy", 6)), 2).drop("rank")
+
+
+@query(_descent_sql(f"""
+  SELECT vec_id, CAST(arg_max(class, p) AS INT) AS prediction, round(max(p), 6) AS confidence
+  FROM p{_FIXED_EPOCHS} WHERE fold = 2 AND trial = 1 AND split = 'validation' GROUP BY vec_id"""))
+def predict_softmax(spark, sf):
+    """Class and confidence of the held-out rows of a fold by the model trained on its other rows."""
+    model = _fixed_fits(spark, sf).models[2, 1]
+    rows = table(spark, sf, "embeddings").select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    held = split.stratified_folds(rows, "label", "vec_id").filter("fold = 2 AND split = 'validation'")
+    scored = scoring.argmax_confidence(scoring.predict_proba(model, held.select("vec_id", "features")))
+    return scored.select("vec_id", F.col("prediction").cast("int").alias("prediction"), F.round("confidence", 6).alias("confidence"))
+
+
 _ORDER_DDL = "o_orderstatus STRING, o_totalprice DOUBLE, o_custkey BIGINT"
 _PRIORITY = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
