@@ -20,9 +20,11 @@ part and are reported with a null id (ids below -2^61 are reserved for them). Ot
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,8 @@ MIN_CHARACTERS = 140
 PARAGRAPH_WORDS = 8
 #: Characters between two repeated units of one passage, for a short line that is no unit or a changed word.
 GAP = 24
+#: Words beyond a repeated piece that are compared in the first round, and at most in a later one.
+WORDS, MOST_WORDS = 16, 256
 NO_ID = 1 << 61
 
 
@@ -213,11 +217,19 @@ def _unit_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return made.join(wanted, ["id", "set"], "left_semi").drop("id").dropDuplicates(["set"])
 
 
-def _around(docs: DataFrame, units: DataFrame) -> DataFrame:
-    """``id, start, side, chain, at``: for each repeated piece the hash of it with 1, 2, … words before (side -1) or after it (1).
+def _strings(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The bytes of each run of equally wide ``values``, one binary per run."""
+    ends = np.concatenate([[0], np.cumsum(lengths)]) * values.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
 
-    They reach to the far end of the next repeated piece or of the line, so that what two documents share beyond equal pieces has
-    a row in both; ``at`` is where it then starts or ends. Whole paragraphs of ``PARAGRAPH_WORDS`` words have one row of side 0.
+
+def _beyond(docs: DataFrame, units: DataFrame, offset: int, width: int) -> DataFrame:
+    """``key, words, steps, id, start, side, base, more``: a row for each side of a repeated piece that has words beyond it.
+
+    ``words`` are 32-bit hashes of up to ``width`` words before the piece (side -1, backwards) or after it (1) from the
+    ``offset``-th on, as far as the far end of the next repeated piece or of the line; ``steps`` are their widths in characters,
+    counted from ``base``, and ``more`` says that others follow. ``key`` is the hash of the piece, all words before ``words`` and
+    the first of them: only rows of one key can go on alike. Whole paragraphs of ``PARAGRAPH_WORDS`` words have a row of side 0.
     """
     spans = units.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
@@ -249,8 +261,10 @@ def _around(docs: DataFrame, units: DataFrame) -> DataFrame:
             fits = (heads[a] == keys[0]) & (tails[b] == keys[1])  # else it is a place in another text of the same id
             a, b = a[fits], b[fits] + 1
             whole = (a == first[number[a]]) & (b == last[number[a]])
-            long = np.flatnonzero(whole & (b - a >= PARAGRAPH_WORDS))
-            rows = [(a[long], np.zeros(len(long), np.int64), np.zeros(len(long), np.int64), last_char[b[long] - 1])]
+            ids = piece.column("id").to_numpy(zero_copy_only=False)
+            long = np.flatnonzero(whole & (b - a >= PARAGRAPH_WORDS)) if not offset else np.zeros(0, np.int64)
+            none = np.zeros(len(long), np.int64)
+            rows = [(a[long], none, none, none, mix(ids[text[a[long]]].view(np.uint64) ^ a[long].view(np.uint64)), last_char[b[long] - 1])]
             a, b = a[~whole], b[~whole]
             order = np.argsort(a)
             a, b = a[order], b[order]
@@ -258,30 +272,113 @@ def _around(docs: DataFrame, units: DataFrame) -> DataFrame:
             same = number[a[1:]] == number[a[:-1]]
             low[1:] = np.where(same, a[:-1], low[1:])
             high[:-1] = np.where(same, b[1:], high[:-1])
-            low, high = np.minimum(low, a), np.maximum(high, b)
-            to, owner = ragged(b + 1, high - b), np.repeat(a, high - b)
-            rows.append((owner, np.full(len(to), 1), run_hashes(words, owner, to).view(np.int64), last_char[to - 1]))
-            to, owner = ragged(low, a - low), np.repeat(a, a - low)
-            rows.append((owner, np.full(len(to), -1), run_hashes(words, to, np.repeat(b, a - low)).view(np.int64), first_char[to]))
-            owner, side, chain, at = (np.concatenate(x) for x in zip(*rows))
-            ids = piece.column("id").to_numpy(zero_copy_only=False)
-            columns = (ids[text[owner]], first_char[owner].astype(np.int32), side.astype(np.int32), chain, at.astype(np.int32))
-            for k in range(0, len(owner), 65536):
-                yield pa.RecordBatch.from_arrays([pa.array(c[k: k + 65536]) for c in columns],
-                                                 names=["id", "start", "side", "chain", "at"])
+            for side, reach in ((-1, a - np.minimum(low, a)), (1, np.maximum(high, b) - b)):
+                some = reach > offset
+                at, to, left = a[some], b[some], reach[some] - offset
+                if side < 0:
+                    key, base = run_hashes(words, at - offset - 1, to), first_char[at - offset]
+                else:
+                    key, base = run_hashes(words, at, to + offset + 1), last_char[to + offset - 1]
+                rows.append((at, np.full(len(at), side), left, to, mix(key ^ np.uint64(2 + side)), base))
+            owner, side, left, to, key, base = (np.concatenate(x) for x in zip(*rows))
+            for k in range(0, len(owner), 16384):
+                o, s, n, t = (c[k: k + 16384] for c in (owner, side, left, to))
+                taken = np.minimum(n, width)
+                step, which = ragged(np.zeros(len(o), np.int64), taken), np.repeat(np.arange(len(o)), taken)
+                after = s[which] > 0
+                word = np.where(after, t[which] + offset + step, o[which] - offset - 1 - step)
+                wide = np.where(after, last_char[word] - last_char[word - 1], first_char[np.minimum(word + 1, len(words) - 1)] - first_char[word])
+                kind = np.uint16 if not len(wide) or wide.max() < 1 << 16 else np.uint32
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[k: k + 16384].view(np.int64)), _strings((words[word] >> np.uint64(32)).astype(">u4"), taken),
+                     _strings(wide.astype(kind), taken), pa.array(ids[text[o]]), pa.array(first_char[o].astype(np.int32)),
+                     pa.array(s.astype(np.int32)), pa.array(base[k: k + 16384].astype(np.int32)), pa.array(n > width)],
+                    names=["key", "words", "steps", "id", "start", "side", "base", "more"])
+
+    return docs.join(spans, "id").mapInArrow(
+        run, "key long, words binary, steps binary, id long, start int, side int, base int, more boolean")
+
+
+def _matrix(column: pa.Array, n: np.ndarray, kind: str, width: int) -> np.ndarray:
+    """The values of each binary as a row, with zeros behind them."""
+    out = np.zeros((len(n), width), np.int64)
+    out[np.arange(width) < n[:, None]] = np.frombuffer(b"".join(column.to_pylist()), kind)
+    return out
+
 
-    return docs.join(spans, "id").mapInArrow(run, "id long, start int, side int, chain long, at int")
+def _least(values: np.ndarray, opens: np.ndarray) -> np.ndarray:
+    """The running minimum of each run of ``values``, which begin where ``opens``."""
+    drop = np.cumsum(opens) << 32
+    return np.minimum.accumulate(values - drop) + drop
+
+
+def _common(beyond: DataFrame, width: int) -> DataFrame:
+    """``id, start, side, at, full``: how far the words beyond a piece go on as in another document; ``full`` if they may go on.
+
+    Sorted by their words, the rows that share most with one another are neighbours; a row is compared with the nearest row of
+    another document on either side. Words are compared by 32 bits: 1 of 4 billion unequal pairs lengthens a passage by a word.
+    """
+    names = ["key", "id", "start", "side", "base", "more", "n", "words", "steps"]
+    dealt = beyond.repartition("key").sortWithinPartitions("key", "words", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, told = None, 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                if not batch.num_rows:
+                    continue
+                rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names[:6]}
+                rows["n"] = pc.binary_length(batch.column("words")).to_numpy() // 4
+                rows["words"] = _matrix(batch.column("words"), rows["n"], ">u4", width)
+                size = pc.binary_length(batch.column("steps")).to_numpy()
+                rows["steps"] = np.zeros((batch.num_rows, width), np.int64)
+                for each, kind in ((2, "<u2"), (4, "<u4")):
+                    of = np.flatnonzero(size == each * rows["n"]) if each == 2 else np.flatnonzero((size == 4 * rows["n"]) & (rows["n"] > 0))
+                    rows["steps"][of] = _matrix(batch.column("steps").take(pa.array(of)), rows["n"][of], kind, width)
+                if held is not None:
+                    rows = {c: np.concatenate([held[c], rows[c]]) for c in names}
+            elif held is None:
+                return
+            else:
+                rows = held
+            key, ids, n = rows["key"], rows["id"], rows["n"]
+            near = np.zeros(len(key) + 1, np.int64)  # words a row shares with the one before it
+            equal = np.cumprod(rows["words"][1:] == rows["words"][:-1], axis=1).sum(axis=1)
+            near[1:-1] = np.where(key[1:] == key[:-1], np.minimum(equal, np.minimum(n[1:], n[:-1])), 0)
+            opens = np.ones(len(key), bool)
+            opens[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
+            shuts = np.append(opens[1:], True)
+            length = np.maximum(_least(near[:-1], opens), _least(near[:0:-1], shuts[::-1])[::-1])
+            # The last document's rows wait for the next one's, with the row before them.
+            end = len(key) if batch is None else int(np.flatnonzero(opens)[-1])
+            some = np.arange(told, end)
+            some = some[(length[some] > 0) | (rows["side"][some] == 0)]
+            far = (rows["steps"][some] * (np.arange(width) < length[some, None])).sum(axis=1)
+            columns = (ids[some], rows["start"][some], rows["side"][some], (rows["base"][some] + rows["side"][some] * far).astype(np.int32),
+                       rows["more"][some] & (length[some] == width))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "start", "side", "at", "full"])
+            held, told = {c: v[max(end - 1, 0):] for c, v in rows.items()}, min(end, 1)
+
+    return dealt.mapInArrow(run, "id long, start int, side int, at int, full boolean")
 
 
 def _extended(docs: DataFrame, units: DataFrame) -> DataFrame:
-    """The units with their ends where the text goes on as in no other document, and whether one is a whole ``paragraph``."""
-    around = settle(_around(docs, units))
-    beyond = around.filter("side <> 0")
-    shared = beyond.groupBy("side", "chain").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high") \
-        .select("side", "chain")
-    reach = beyond.join(shared, ["side", "chain"], "left_semi").groupBy("id", "start").agg(
+    """The units with their ends where the text goes on as in no other document, and whether one is a whole ``paragraph``.
+
+    Words beyond a piece are compared ``WORDS`` at a time first; where all of them go on alike, more follow, four times as many a round.
+    """
+    found, offset, width, open_ = None, 0, WORDS, units
+    while True:
+        part = settle(_common(_beyond(docs, open_, offset, width), width))
+        found = part if found is None else found.unionAll(part)
+        full = part.filter("full").select("id").distinct()
+        if full.isEmpty():
+            break
+        open_ = units.join(full, "id", "left_semi")
+        offset, width = offset + width, min(width * 4, MOST_WORDS)
+    reach = found.filter("side <> 0").groupBy("id", "start").agg(
         F.min(F.when(F.col("side") < 0, F.col("at"))).alias("from"), F.max(F.when(F.col("side") > 0, F.col("at"))).alias("to"))
-    paragraphs = around.filter("side = 0").select("id", "start", F.col("at").alias("end"), F.lit(True).alias("paragraph")).distinct()
+    paragraphs = found.filter("side = 0").select("id", "start", F.col("at").alias("end"), F.lit(True).alias("paragraph")).distinct()
     found = units.join(paragraphs, ["id", "start", "end"], "left").join(reach, ["id", "start"], "left")
     # A whole paragraph begins where its first piece does; it ends with its line, so the piece's reach is within it.
     return found.select("id", F.coalesce("from", "start").alias("start"), F.greatest("end", "to").alias("end"), "root", "stays",

@@ -110,3 +110,37 @@ def test_edited_passages_in_longer_lines_are_found_whole(spark):
             want[i] = (at, at + len(copy))
     got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: (r["start"], r["end"]) for r in got} == want
+
+
+def test_words_beyond_a_piece_agree_with_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    rows, wanted = [], []
+    for i in range(400):
+        n = int(rng.integers(0, 7))
+        rows.append((int(rng.integers(0, 3)), [int(w) for w in rng.integers(1, 3, n)], int(rng.integers(0, 40)), i, -1 if i % 2 else 1, bool(i % 3)))
+    for key, words, doc, i, side, more in rows:
+        best = 0
+        for other, there, who, *_ in rows:
+            if other == key and who != doc:
+                best = max(best, next((k for k, (a, b) in enumerate(zip(words, there)) if a != b), min(len(words), len(there))))
+        if best:
+            wanted.append((doc, i, side, 100 + side * 5 * best, more and best == 6))
+    table = [(k, np.array(w, ">u4").tobytes(), np.full(len(w), 5, np.uint16).tobytes(), d, i, s, 100, m) for k, w, d, i, s, m in rows]
+    frame = spark.createDataFrame(table, "key long, words binary, steps binary, id long, start int, side int, base int, more boolean")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = [tuple(r) for r in sd._common(frame, 6).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(found) == sorted(wanted)
+
+
+def test_rounds_of_few_words_agree_with_one(spark, monkeypatch):
+    shared = " ".join(f"w{k * 7919 % 1009}" for k in range(60)) + " " + " ".join(["same"] * 90)
+    texts = [(i, " ".join(f"x{i}y{k}" for k in range(12)) + " " + shared + " " + "ä" * (70_000 if i == 2 else 3) + f" z{i}") for i in range(4)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    once = sorted(map(tuple, sd.repeats(docs).collect()))
+    monkeypatch.setattr(sd, "WORDS", 2)
+    monkeypatch.setattr(sd, "MOST_WORDS", 8)
+    assert sorted(map(tuple, sd.repeats(docs).collect())) == once
+    assert [(r[0], texts[r[0]][1][r[1]: r[2]]) for r in once] == [(i, shared) if i == 2 else (i, shared + " äää") for i in range(4)]
