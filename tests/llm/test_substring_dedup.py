@@ -129,7 +129,7 @@ def test_words_beyond_a_piece_agree_with_all_pairs(spark):
     frame = spark.createDataFrame(table, "key long, words binary, steps binary, id long, start int, side int, base int, more boolean")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        found = [tuple(r) for r in sd._common(frame, 6).collect()]
+        found = [tuple(r) for r in substring_dedup._common(frame, 6).collect()]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(found) == sorted(wanted)
@@ -139,8 +139,10 @@ def test_rounds_of_few_words_agree_with_one(spark, monkeypatch):
     shared = " ".join(f"w{k * 7919 % 1009}" for k in range(60)) + " " + " ".join(["same"] * 90)
     texts = [(i, " ".join(f"x{i}y{k}" for k in range(12)) + " " + shared + " " + "ä" * (70_000 if i == 2 else 3) + f" z{i}") for i in range(4)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
-    once = sorted(map(tuple, sd.repeats(docs).collect()))
-    monkeypatch.setattr(sd, "WORDS", 2)
-    monkeypatch.setattr(sd, "MOST_WORDS", 8)
-    assert sorted(map(tuple, sd.repeats(docs).collect())) == once
-    assert [(r[0], texts[r[0]][1][r[1]: r[2]]) for r in once] == [(i, shared) if i == 2 else (i, shared + " äää") for i in range(4)]
+    once = sorted(map(tuple, substring_dedup.repeats(docs).collect()))
+    monkeypatch.setattr(substring_dedup, "WORDS", 2)
+    monkeypatch.setattr(substring_dedup, "MOST_WORDS", 8)
+    assert sorted(map(tuple, substring_dedup.repeats(docs).collect())) == once
+    found = {r[0]: texts[r[0]][1][r[1]: r[2]] for r in once}
+    # No repeated piece of the third document begins before its first shared word.
+    assert found == {i: shared[3:] if i == 2 else shared + " äää" for i in range(4)}
