@@ -33,7 +33,7 @@ from rowsentry.llm.common import BLOCK, free_name, in_blocks, pieces, ragged, re
 #: Entries that one step of a product expands to at most (one longer row is a step of its own).
 STEP = 1 << 20
 #: Runs, and bytes of runs, whose alignment a worker remembers from one piece of text to the next.
-REMEMBERED, REMEMBERED_BYTES = 1 << 18, 1 << 24
+REMEMBERED, REMEMBERED_BYTES = 1 << 19, 1 << 24
 #: Id pairs that a task holds before it hands its counts on.
 HELD = 1 << 19
 OUTPUTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
@@ -41,6 +41,9 @@ OUTPUTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[33:127] = True
+#: The second bytes of the accented Latin letters after 0xC3; multiplication and division signs are none.
+_ACCENTED = np.zeros(256, bool)
+_ACCENTED[[*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)]] = True
 
 
 @dataclass
@@ -146,8 +149,8 @@ class Tokenizers:
         b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(b_pieces)]
         # Runs may be cut before a space only if no piece goes on over one.
         self.cuts = not any("▁" in p.lstrip("▁") for p in b_pieces)
-        # Merges in the order of their ids are ranks: then runs of visible ASCII, where all engines agree on the classes of
-        # characters, take the same merges in the faster library.
+        # Merges in the order of their ids are ranks: then plain runs, where all engines agree on the classes of characters, take
+        # the same merges in the faster library.
         self.ranked = None
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         if all(vocabulary.get(x + y) == 256 + k for k, (x, y) in enumerate(merges)) and pattern:
@@ -155,9 +158,44 @@ class Tokenizers:
 
             ranks = {t: i for i, t in enumerate(a_bytes) if i < 256 + len(merges)}
             self.ranked = tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.b_ranked, self.b_of_rank = self._b_by_ranks(b_pieces, b_bytes)
         self.a_bytes, self.a_starts, self.a_width = *self._joined(a_bytes), len(a_bytes)
         self.b_bytes, self.b_starts, self.b_width = *self._joined(b_bytes), len(b_bytes)
 
+    def _b_by_ranks(self, pieces: list[str], as_bytes: list[bytes]):
+        """B's merges of plain runs in the faster library, and its ids by rank; None unless both surely agree.
+
+        B merges the pair of the highest score first, the other the pair of the lowest rank. Characters of two bytes are the first
+        merges, as B begins with characters.
+        """
+        import tiktoken
+
+        b = self.b
+        kinds = [(b.is_control(i) or b.is_unknown(i) or b.is_byte(i)) for i in range(len(pieces))]
+        # Plain runs hold a single space, so pieces of several never meet them.
+        normal = [i for i, special in enumerate(kinds) if not special and b"  " not in as_bytes[i]]
+        odd = any(b.is_unused(i) for i in normal) or not self.cuts
+        # Whole numbers that fall are scores of merges, not of chances; pieces given by the user have others.
+        score = [b.get_score(i) for i in normal if len(pieces[i]) > 1]
+        if odd or any(y >= x or y != int(y) for x, y in zip([1, *score], score)):
+            return None, None
+        of_bytes = {as_bytes[i]: i for i in normal}
+        byte = {as_bytes[i][0]: i for i in range(len(pieces)) if b.is_byte(i)}
+        plain = [*map(chr, range(33, 127)), *(chr(c) for c in range(0xC0, 0x100) if _ACCENTED[c - 0x40]), "\n"]
+        for c in plain:
+            if b"".join(as_bytes[i] for i in b.encode(f"x{c}x")) != f" x{c}x".encode() or not all(x in byte or bytes([x]) in of_bytes for x in c.encode()):
+                return None, None
+        # The other library takes a whole run that is a token as it is.
+        whole = [i for i in normal if as_bytes[i][:1] == b" " and len(as_bytes[i]) > 1 and as_bytes[i].count(b" ") == 1]
+        if any(x != [i] for i, x in zip(whole, b.encode([as_bytes[i][1:].decode() for i in whole], num_threads=1))):
+            return None, None
+        single = [bytes([x]) for x in range(256)]
+        pairs = [c.encode() for c in plain if len(c.encode()) == 2 and c.encode() in of_bytes]
+        longer = [as_bytes[i] for i in normal if len(as_bytes[i]) > 1 and as_bytes[i] not in pairs]
+        ranks = {t: k for k, t in enumerate([*single, *pairs, *longer])}
+        ids = [of_bytes.get(t, byte.get(t[0], -1) if len(t) == 1 else -1) for t in ranks]
+        return tiktoken.Encoding("scored", pat_str=r" [^ ]+", mergeable_ranks=ranks, special_tokens={}), np.array(ids, np.int64)
+
     @staticmethod
     def _joined(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.frombuffer(b"".join(tokens), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
@@ -166,17 +204,21 @@ class Tokenizers:
         """Ids of both tokenizers and how many each run has; runs begin with the space that B adds by itself."""
         size = np.fromiter(map(len, runs), np.int64, len(runs))
         data = np.frombuffer(b"".join(runs), np.uint8)
-        plain = (_per_run(_VISIBLE[data], size) == size - 1) & (size > 1)
+        plain = self._plain(data, size)
         joined = data[np.repeat(plain, size)].tobytes().decode()
+        whole = [np.array(f(joined) if joined else [], np.int64) for f in (self._a_joined, self._b_joined)]
+        ends = np.cumsum(size[plain])
+        reached = []
+        for ids, starts in zip(whole, (self.a_starts, self.b_starts)):
+            reached.append(np.concatenate([[0], np.cumsum(starts[ids + 1] - starts[ids])]))
+        if not all(len(ends) == 0 or np.isin(ends, r).all() for r in reached):  # a tokenizer that changes plain bytes
+            plain, ends, whole, reached = np.zeros(len(runs), bool), ends[:0], [x[:0] for x in whole], [r[:1] for r in reached]
         rest = [runs[i].decode() for i in np.flatnonzero(~plain).tolist()]
         out = []
-        for whole, starts, each in ((self._a_joined, self.a_starts, self._a_each), (self._b_joined, self.b_starts, self._b_each)):
-            ids = np.array(whole(joined) if joined else [], np.int64)
-            ends = np.cumsum(size[plain])
-            reached = np.searchsorted(np.cumsum(starts[ids + 1] - starts[ids]), ends)
+        for ids, at, each in zip(whole, reached, (self._a_each, self._b_each)):
             others = each(rest)
             counts = np.zeros(len(runs), np.int64)
-            counts[plain] = np.diff(reached + 1, prepend=0)
+            counts[plain] = np.diff(np.searchsorted(at, ends), prepend=0)
             counts[~plain] = [len(x) for x in others]
             own = np.repeat(plain, counts)
             merged = np.zeros(len(own), np.int64)
@@ -184,11 +226,25 @@ class Tokenizers:
             out += [merged, counts]
         return tuple(out)
 
+    @staticmethod
+    def _plain(data: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Which runs are, after their space, visible ASCII, accented Latin letters, and single line ends between these."""
+        ends = np.cumsum(size)
+        after, before = np.append(data[1:], np.uint8(32)), np.append(np.uint8(32), data[:-1])
+        letter = (before == 0xC3) & _ACCENTED[data]
+        lead = (data == 0xC3) & _ACCENTED[after]
+        good = _VISIBLE[data] | letter | lead
+        line = data == 10
+        good[1:] |= line[1:] & good[:-1]
+        good[:-1] &= ~line[:-1] | ((_VISIBLE[data] | lead)[1:])
+        good[ends[size > 0] - 1] &= ~line[ends[size > 0] - 1]
+        return (_per_run(good, size) == size - 1) & (size > 1) & (data[np.minimum(ends - size, max(len(data) - 1, 0))] == 32)
+
     def _a_joined(self, text: str) -> list[int]:
         return self.ranked.encode_ordinary(text) if self.ranked else self.a.encode(text, add_special_tokens=False).ids
 
-    def _b_joined(self, text: str) -> list[int]:
-        return self.b.encode(text[1:], num_threads=1)
+    def _b_joined(self, text: str) -> list[int] | np.ndarray:
+        return self.b_of_rank[self.b_ranked.encode_ordinary(text)] if self.b_ranked else self.b.encode(text[1:], num_threads=1)
 
     def _a_each(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
@@ -239,8 +295,8 @@ class Aligned:
     texts: list[str]
 
 
-def align_runs(runs: list[bytes], both: Tokenizers) -> Aligned:
-    """Align distinct runs; those whose bytes a tokenizer does not give back have no tokens."""
+def align_runs(runs: list[bytes], both: Tokenizers, written: bool = True) -> Aligned:
+    """Align distinct runs; those whose bytes a tokenizer does not give back have no tokens. ``texts`` are empty unless ``written``."""
     a, n_a, b, n_b = both.encode(runs)
     a_lengths, a_equal = _same_bytes(a, n_a, both.a_bytes, both.a_starts, runs)
     b_lengths, b_equal = _same_bytes(b, n_b, both.b_bytes, both.b_starts, runs)
@@ -262,7 +318,7 @@ def align_runs(runs: list[bytes], both: Tokenizers) -> Aligned:
     run = a_rows[row] // both.a_width
     starts = np.concatenate([[0], np.cumsum(np.bincount(run, minlength=len(runs)))])
     links = Rows(starts, place, shared.values, len(pairs))
-    texts = _written(a, of_a, b, of_b, run_of, n, len(runs))
+    texts = _written(a, of_a, b, of_b, run_of, n, len(runs)) if written else []
     return Aligned(whole, n_a, n_b, np.bincount(run_of, minlength=len(runs)), _per_run(shared.values, np.diff(starts)), links, pairs, texts)
 
 
@@ -285,7 +341,7 @@ def _written(a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray, r
     return [next(lines) if h else "" for h in held.tolist()]
 
 
-def split_runs(column: pa.Array, cuts: bool = True) -> tuple[list[bytes], np.ndarray]:
+def split_runs(column: pa.Array, cuts: bool = True) -> tuple[pa.Array, np.ndarray]:
     """The runs of all texts (each with a space before it), and the places of the texts' first runs."""
     data, offsets = utf8(column)
     texts = len(column)
@@ -300,36 +356,53 @@ def split_runs(column: pa.Array, cuts: bool = True) -> tuple[list[bytes], np.nda
         first[1:-1] = ends[:-2] & (spaced[1:-1] == 32) & begins[2:]
     first[at[:-1]] = True
     starts = np.flatnonzero(first)
-    blob, places = spaced.tobytes(), [*starts.tolist(), len(spaced)]
-    return [blob[a:b] for a, b in zip(places, places[1:])], np.searchsorted(starts, at)
+    places = np.append(starts, len(spaced)).astype(np.int64)
+    runs = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(spaced)])
+    return runs, np.searchsorted(starts, at)
 
 
 class Known:
     """Runs that a worker has aligned: their numbers, counts, links (id pairs and how many token pairs) and groups as text.
 
-    Only time depends on what is remembered; when it grows beyond its bounds it begins anew.
+    Only time depends on what is remembered. When it grows beyond its bounds, the runs that came again since the last time stay,
+    unless they are too many themselves. Groups are only ``written`` for who needs them.
     """
 
-    def __init__(self, both: Tokenizers):
-        self.both = both
-        self.forget()
+    def __init__(self, both: Tokenizers, written: bool = True):
+        self.both, self.written = both, written
+        self.keep([])
 
-    def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.bytes = 0
+    def keep(self, some: list[bytes]) -> None:
+        """Only these of the known runs are still known."""
         none = np.zeros(0, np.int64)
-        self.whole = np.zeros(0, bool)
-        self.counts = np.zeros((4, 0), np.int64)
-        self.starts, self.pairs, self.times = np.zeros(1, np.int64), none, none
-        self.texts: list[str] = []
-
-    def numbers(self, runs: list[bytes]) -> np.ndarray:
+        if some:
+            old = np.fromiter(map(self.number.__getitem__, some), np.int64, len(some))
+            size = self.starts[old + 1] - self.starts[old]
+            at = ragged(self.starts[old], size)
+            self.whole, self.counts = self.whole[old], self.counts[:, old]
+            self.starts, self.pairs, self.times = np.concatenate([[0], np.cumsum(size)]), self.pairs[at], self.times[at]
+            self.texts = [self.texts[i] for i in old.tolist()] if self.written else []
+        else:
+            self.whole, self.counts = np.zeros(0, bool), np.zeros((4, 0), np.int64)
+            self.starts, self.pairs, self.times, self.texts = np.zeros(1, np.int64), none, none, []
+        self.number = dict(zip(some, range(len(some))))
+        self.bytes = sum(map(len, some))
+        self.again = np.zeros(len(some), bool)
+
+    def numbers(self, runs: pa.Array) -> np.ndarray:
         if len(self.number) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
-            self.forget()
-        new = [r for r in dict.fromkeys(runs) if r not in self.number]
+            came = self.again.tolist()
+            some = [r for r, again in zip(self.number, came) if again]
+            few = len(some) <= REMEMBERED // 2 and sum(map(len, some)) <= REMEMBERED_BYTES // 2
+            self.keep(some if few else [])
+        before, number = len(self.number), self.number
+        # Most runs are there several times: each is looked up once.
+        each = runs.dictionary_encode()
+        distinct = each.dictionary.to_pylist()
+        new = [r for r in distinct if r not in number]
         if new:
-            made = align_runs(new, self.both)
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            made = align_runs(new, self.both, self.written)
+            number.update(zip(new, range(before, before + len(new))))
             self.bytes += sum(map(len, new))
             self.whole = np.append(self.whole, made.whole)
             self.counts = np.hstack([self.counts, [made.n_a, made.n_b, made.n_groups, made.n_links]])
@@ -337,12 +410,15 @@ class Known:
             self.pairs = np.append(self.pairs, made.pairs[made.links.columns])
             self.times = np.append(self.times, made.links.values)
             self.texts += made.texts
-        return np.fromiter(map(self.number.__getitem__, runs), np.int64, len(runs))
+            self.again = np.append(self.again, np.zeros(len(new), bool))
+        found = np.fromiter(map(number.__getitem__, distinct), np.int64, len(distinct))
+        self.again[found[found < before]] = True
+        return found[each.indices.to_numpy()]
 
 
-@lru_cache(maxsize=2)
-def known(a_path: str, b_path: str) -> Known:
-    return Known(tokenizers(a_path, b_path))
+@lru_cache(maxsize=1)
+def known(a_path: str, b_path: str, written: bool = True) -> Known:
+    return Known(tokenizers(a_path, b_path), written)
 
 
 @dataclass
@@ -395,7 +471,7 @@ def pair_counts(table: DataFrame, block: str, column: str, a_path: str, b_path:
     """``block, pair, n``: how many of a block's documents hold an id pair linked; a pair may have several rows of a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = known(a_path, b_path)
+        memory = known(a_path, b_path, False)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         number = None
 

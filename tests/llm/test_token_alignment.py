@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -119,3 +120,41 @@ def test_query(spark):
         r = rows[d["doc_id"]]
         assert tuple(r[c] for c in t.OUTPUTS[:-1]) == w[:-1]
         assert r["groups_sha256"] == (hashlib.sha256(w[-1].encode()).hexdigest() if w[-1] else "")
+
+
+def test_plain_runs_of_both_engines_agree():
+    both = t.tokenizers(*PATHS)
+    assert both.ranked and both.b_ranked
+    rng = np.random.default_rng(5)
+    letters = list("aeinrstTHE.,'-09éÀÿß×÷\n\n")
+    runs = {" " + "".join(rng.choice(letters, rng.integers(1, 12))) for _ in range(4000)}
+    runs = sorted(r.encode() for r in [*runs, " \n", " a\n", " \na", " a\n\nb", " é\né", " a\n×", " hello", " naïve.\nThe", " don't"])
+    size = np.array([len(r) for r in runs])
+    plain = both._plain(np.frombuffer(b"".join(runs), np.uint8), size).tolist()
+    inner = [r[1:].decode() for r in runs]
+    assert plain == [not set("×÷") & set(r) and "\n\n" not in r and r == r.strip("\n") for r in inner]
+    assert {"naïve.\nThe", "don't", "é\né"} <= {r for r, p in zip(inner, plain) if p}
+    a, n_a, b, n_b = both.encode(runs)
+    a, b = ([x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] for ids, n in ((a, n_a), (b, n_b)))
+    assert a == both._a_each([r.decode() for r in runs]) and b == both._b_each([r.decode() for r in runs])
+
+
+def test_runs_that_come_again_are_aligned_once(monkeypatch):
+    monkeypatch.setattr(t, "REMEMBERED", 30)
+    made, whole = Counter(), t.align_runs
+
+    def aligned(runs, *how):
+        made.update(runs)
+        return whole(runs, *how)
+
+    monkeypatch.setattr(t, "align_runs", aligned)
+    memory = t.Known(t.tokenizers(*PATHS))
+    for i in range(20):
+        column = pa.array([" ".join(["the cat", *(f"x{i}y{k}" for k in range(10)), "sat."])])
+        found = t._texts(column, memory)
+        plain = t._texts(column, t.Known(memory.both))
+        assert [memory.texts[r] for r in found.runs] == [plain.known.texts[r] for r in plain.runs]
+        assert (memory.counts[:, found.runs] == plain.known.counts[:, plain.runs]).all()
+        assert (memory.pairs[found.links(found.runs)[0]] == plain.known.pairs[plain.links(plain.runs)[0]]).all()
+        assert len(memory.number) <= 30 + 13
+    assert made[b" cat"] == 20 + 1  # once for all texts, and in each that is compared with
