@@ -70,7 +70,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it."""
     path = public_tokenizers.path(RANKS)
-    coded = byte_bpe.decode(byte_bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN), path)
+    coded = byte_bpe.encode_and_decode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
     whole = F.coalesce("text", F.lit("")).cast("binary") == F.col("decoded")
     return coded.select("doc_id", byte_bpe.token_count().alias("n_tokens"), "tokens", whole.alias("round_trip"))
 

@@ -231,21 +231,36 @@ def _read_ranks(path: str) -> bytes:
     return blob
 
 
-def _map(df: DataFrame, column: str, output: str, make):
-    """Add the binary column ``output`` that ``make`` (once a task) computes from slices of ``column``."""
-    if column.lower() == output.lower():
+def _map(df: DataFrame, column: str, outputs: tuple[str, ...], make):
+    """Add the binary columns ``outputs`` that ``make`` (once a task) computes from slices of ``column``."""
+    if column.lower() in {o.lower() for o in outputs}:
         raise ValueError("the output needs another name than its input")
-    df = df.drop(output)
+    df = df.drop(*outputs)
     kept = df.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for piece in pieces(batches, column):
-            made = pa.array(step(piece.column(column)), pa.binary())
-            yield pa.RecordBatch.from_arrays([*piece.columns, made], names=[*piece.schema.names, output])
+            made = [pa.array(x, pa.binary()) for x in step(piece.column(column))]
+            yield pa.RecordBatch.from_arrays([*piece.columns, *made], names=[*piece.schema.names, *outputs])
 
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept)
-    return df.mapInArrow(run, f"{fields}, `{output}` binary")
+    return df.mapInArrow(run, f"{fields}, " + ", ".join(f"`{o}` binary" for o in outputs))
+
+
+def _packed(encoder: Encoder, texts: pa.Array) -> list[bytes]:
+    ids, counts = encoder.encode(texts.to_pylist())
+    packed = ids.astype("<u4").tobytes()
+    ends = np.cumsum(counts) * 4
+    return [packed[b - 4 * n: b] for n, b in zip(counts.tolist(), ends.tolist())]
+
+
+def _unpacked(vocabulary: Vocabulary, rows: list[bytes]) -> list[bytes]:
+    data, lengths = vocabulary.decode_ids(np.frombuffer(b"".join(rows), "<u4").astype(np.int64))
+    reached = np.concatenate([[0], np.cumsum(lengths)])
+    ends = reached[np.cumsum([len(x) // 4 for x in rows], dtype=np.int64)].tolist()
+    raw = data.tobytes()
+    return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, column: str = "text", output: str = "tokens") -> DataFrame:
@@ -258,16 +273,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, column: str = "text", o
 
     def make():
         encoder = Encoder(_vocabulary(blob.value), pattern)
+        return lambda texts: [_packed(encoder, texts)]
 
-        def step(texts: pa.Array) -> list[bytes]:
-            ids, counts = encoder.encode(texts.to_pylist())
-            packed = ids.astype("<u4").tobytes()
-            ends = np.cumsum(counts) * 4
-            return [packed[b - 4 * n: b] for n, b in zip(counts.tolist(), ends.tolist())]
-
-        return step
-
-    return _map(df, column, output, make)
+    return _map(df, column, (output,), make)
 
 
 def decode(df: DataFrame, ranks_path: str, column: str = "tokens", output: str = "decoded") -> DataFrame:
@@ -276,18 +284,27 @@ def decode(df: DataFrame, ranks_path: str, column: str = "tokens", output: str =
 
     def make():
         vocabulary = _vocabulary(blob.value)
+        return lambda packed: [_unpacked(vocabulary, [x or b"" for x in packed.to_pylist()])]
+
+    return _map(df, column, (output,), make)
+
+
+def encode_and_decode(df: DataFrame, ranks_path: str, pattern: str, column: str = "text", output: str = "tokens",
+                      decoded: str = "decoded") -> DataFrame:
+    """Add what :func:`encode` and then :func:`decode` of its ids add, in one pass: a task has one Python worker and one vocabulary."""
+    blob = df.sparkSession.sparkContext.broadcast(_read_ranks(ranks_path))
+
+    def make():
+        vocabulary = _vocabulary(blob.value)
+        encoder = Encoder(vocabulary, pattern)
 
-        def step(packed: pa.Array) -> list[bytes]:
-            rows = [x or b"" for x in packed.to_pylist()]
-            data, lengths = vocabulary.decode_ids(np.frombuffer(b"".join(rows), "<u4").astype(np.int64))
-            reached = np.concatenate([[0], np.cumsum(lengths)])
-            ends = reached[np.cumsum([len(x) // 4 for x in rows], dtype=np.int64)].tolist()
-            raw = data.tobytes()
-            return [raw[a:b] for a, b in zip([0, *ends], ends)]
+        def step(texts: pa.Array) -> list[list[bytes]]:
+            packed = _packed(encoder, texts)
+            return [packed, _unpacked(vocabulary, packed)]
 
         return step
 
-    return _map(df, column, output, make)
+    return _map(df, column, (output, decoded), make)
 
 
 def token_count(column: str = "tokens"):

@@ -62,3 +62,23 @@ def test_empty_table_and_unknown_ids(spark):
     assert byte_bpe.encode(empty, PATH, public_tokenizers.PATTERN).count() == 0
     with pytest.raises(Exception, match="not in the vocabulary"):
         byte_bpe.decode(spark.createDataFrame([(bytes([255] * 4),)], "tokens binary"), PATH).collect()
+
+
+def test_one_pass_gives_what_two_give(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([None, "", "it's  two\n\nlines", "日本語 😀"])], "doc_id int, text string") \
+        .withColumn("TOKENS", F.lit("clash")).withColumn("Decoded", F.lit("clash"))
+    one = byte_bpe.encode_and_decode(df, PATH, public_tokenizers.PATTERN)
+    two = byte_bpe.decode(byte_bpe.encode(df, PATH, public_tokenizers.PATTERN), PATH)
+    assert one.columns == two.columns and sorted(one.collect(), key=lambda r: r['doc_id']) == sorted(two.collect(), key=lambda r: r['doc_id'])
+    with pytest.raises(ValueError, match="another name"):
+        byte_bpe.encode_and_decode(df, PATH, public_tokenizers.PATTERN, "text", "tokens", "TEXT")
+
+
+def test_registered_queries_have_one_python_step(spark):
+    import corpus_pipeline
+    from rowsentry.llm.queries import QUERIES
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for out in (QUERIES["op6_byte_bpe"](spark, "/root/testdata/sf0.001"), corpus_pipeline.tokens(spark, docs, "")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1, plan
