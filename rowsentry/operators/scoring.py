@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rowsentry.fixed_values import FEATURE_DDL
 from rowsentry.functions.arrays import argmax, confidence, decode_label
 from rowsentry.operators.features import FittedColumns, category_codes, feature_columns, transform_with
+from rowsentry.operators.sizing import kept
 from rowsentry.sources.requests import parse_requests
 from rowsentry.sources.responses import render_predictions
 
@@ -99,7 +100,8 @@ def score_requests(requests: DataFrame, fitted: FittedColumns, model, domain: Se
 
     Returns ``(scored, rejected)``: one prediction per readable row, and one row per unreadable
     one with its ``error``. A row with a missing value, in a number or a text, or with an unknown category is rejected: a
-    prediction from half a row would look like any other. :func:`answer_requests` answers from both.
+    prediction from half a row would look like any other. :func:`answer_requests` answers from both. The bodies are read once: the
+    read rows of a table are written, as every answer asks four times for a part of them.
     """
     parsed = parse_requests(requests, schema, strict=strict)
     checked, codes = category_codes(parsed, fitted)
@@ -114,6 +116,8 @@ def score_requests(requests: DataFrame, fitted: FittedColumns, model, domain: Se
         .when(missing | unknown, F.lit("Error transforming the input data."))
     )
     checked = checked.withColumn("error", error).drop(*codes)
+    if not checked.isStreaming:
+        checked = kept(checked)
     keys = ["inference_id", "row_no", "n_rows", "accept"]
     good = checked.filter("error IS NULL")
     bad = checked.filter("error IS NOT NULL").select(*keys, "error")

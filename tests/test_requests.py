@@ -150,3 +150,17 @@ def test_a_request_is_answered_once_whole_or_with_an_error(spark):
     assert got == {"three": (None, "second is bad"), "two": (None, "first is bad"), "one": (None, "bad"),
                    "lost": (None, "Rows of the request are missing."), "good": ('[{"0":"a","1":0.5},{"0":"b","1":0.25}]', None),
                    "null": (",0.5", None), "comma": ('"a,b",', None)}
+
+
+def test_bodies_are_read_once(spark):
+    from rowsentry.operators import features, scoring
+
+    rows = spark.createDataFrame([("a", 1.0, "x"), ("b", 2.0, "y"), ("a", 3.0, "x")], "kind STRING, size DOUBLE, label STRING")
+    fitted = features.fit_columns(rows, "label")
+    sent = spark.createDataFrame([("1", "text/csv", "text/csv", "a,1.0"), ("2", "application/json", "application/json", '{"kind": "c", "size": 2}'),
+                                  ("3", "text/csv", "text/csv", "a,1.0\nb,2.0")], "inference_id STRING, content_type STRING, accept STRING, body STRING")
+    model = scoring.SoftmaxModel([[0.0] * 3, [1.0] * 3], [0.0, 0.0])
+    answers = scoring.answer_requests(*scoring.score_requests(sent, fitted, model, ["x", "y"], "kind STRING, size DOUBLE"))
+    assert {r["inference_id"]: r["error"] is None for r in answers.collect()} == {"1": True, "2": False, "3": True}
+    plan = answers._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_csv" not in plan and "from_json" not in plan and "csvtostructs" not in plan.lower(), plan
