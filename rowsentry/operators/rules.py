@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rowsentry.operators.sizing import settle_small
+from rowsentry.operators.sizing import SMALL_ROWS, kept, settle_small
 
 #: A rule asks, for each of its paths, for one of the path's values. Paths are dotted.
 RULES_DDL = "rule STRING, path STRING, value STRING"
@@ -49,7 +49,8 @@ def match_rules(events: DataFrame, rules: DataFrame, json_column: str | None = N
     ``rules`` has the columns of ``RULES_DDL``. A path is a column, a field of a struct column, or else a path inside
     ``json_column``; values are compared as text, and an array meets a condition when any element does. An event's texts meet
     the anchors of all rules in one join, and the other conditions are checked in the row, so that nothing is counted or
-    grouped afterwards. Plans of few rows (measured) are broadcast, more are joined by a shuffle. The distinct paths of all
+    grouped afterwards. Plans of few rows (measured) are broadcast. Of more, those of the anchors with the fewest still are, so that
+    paths of few values, which many events share, move no event; the others are joined by a shuffle. The distinct paths of all
     rules come to the driver, as they become expressions of the plan.
     """
     plans, size = settle_small(rule_plans(rules))
@@ -59,15 +60,30 @@ def match_rules(events: DataFrame, rules: DataFrame, json_column: str | None = N
     facts = F.create_map(*[x for p in paths for x in (F.lit(p), _facts(events, p, json_column))])
     own = F.struct(*[F.col(f"`{c}`") for c in events.columns])
     rows = events.select(own.alias("_event"), facts.alias("_facts"))
-    # Only anchors need a row; which paths are anchors is known where the plans are small.
-    anchors = sorted({r["path"] for r in plans.select("path").collect()}) if size is not None else paths
+    # Only anchors need a row.
+    if size is None:
+        plans = kept(plans)
+    sizes = {r["path"]: r["n"] for r in plans.groupBy("path").agg(F.count("*").alias("n")).collect()}
+    anchors, few, held = sorted(sizes), [], 0
+    for p in sorted(anchors, key=lambda p: (sizes[p], p)):
+        held += sizes[p]
+        if size is not None or held <= SMALL_ROWS:
+            few.append(p)
 
     def placed(path: str) -> Column:
         return F.transform(F.element_at("_facts", F.lit(path)), lambda v: F.struct(F.lit(path).alias("path"), v.alias("value")))
 
-    spread = F.flatten(F.array(*[placed(p) for p in anchors]))
-    spread = rows.withColumn("_at", F.explode(spread)).select("_event", "_facts", "_at.path", "_at.value")
-    met = spread.join(F.broadcast(plans) if size is not None else plans, ["path", "value"])
+    def meeting(some: list[str], small: bool) -> DataFrame:
+        spread = F.flatten(F.array(*[placed(p) for p in some]))
+        spread = rows.withColumn("_at", F.explode(spread)).select("_event", "_facts", "_at.path", "_at.value")
+        theirs = plans if len(some) == len(anchors) else plans.filter(F.col("path").isin(some))
+        return spread.join(F.broadcast(theirs) if small else theirs, ["path", "value"])
+
+    if not anchors:
+        return events.withColumn("rule", F.lit(None).cast("string")).filter(F.lit(False))
+    many = [p for p in anchors if p not in few]
+    parts = [meeting(some, small) for some, small in ((few, True), (many, False)) if some]
+    met = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     holds = F.forall(F.map_keys("conditions"), lambda p: F.arrays_overlap(F.element_at("conditions", p), F.element_at("_facts", p)))
     met = met.filter(holds)
     if any(isinstance(_kind(events, p), T.ArrayType) for p in anchors):

@@ -82,3 +82,16 @@ def test_no_rules_no_events_unknown_path(spark):
 def test_anchor_is_what_few_rules_name(spark):
     rules = _table(spark, {f"r{i}": {"kind": ["x"], "n": [str(i)]} for i in range(5)})
     assert {r["path"] for r in rule_plans(rules).collect()} == {"n"}
+
+
+def test_anchors_of_few_plans_move_no_event(spark, monkeypatch):
+    events = _events(spark)
+    many = {f"r{i}": {"n": [str(i)], "kind": ["x", "y"]} for i in range(60)} | {"few": {"tags": ["a"], "kind": ["x"]}, "other": {"kind": ["y"]}}
+    rules = _table(spark, many)
+    small = sorted((r["id"], r["rule"]) for r in match_rules(events, rules, "body").collect())
+    monkeypatch.setattr("rowsentry.operators.rules.settle_small", lambda df: (df, None))
+    monkeypatch.setattr("rowsentry.operators.rules.SMALL_ROWS", 10)
+    met = match_rules(events, rules, "body")
+    assert sorted((r["id"], r["rule"]) for r in met.collect()) == small and small
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 1 and plan.count("Join Inner") == 2, plan
