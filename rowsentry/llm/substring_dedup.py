@@ -154,7 +154,8 @@ def _rows(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 def _collisions(rows: DataFrame) -> DataFrame:
     """The rows whose key others have, too, with the sets they are compared with first, and whether a key has different sets.
 
-    These are the sets that stand for their size and the set before them: in a group of near copies few then stay apart.
+    These are the sets that stand for their size and the set before them: in a group of near copies few then stay apart. Where all
+    sets of a key are the same, nothing is compared: these rows, the most by far, are their place and no more.
     """
     names = ["key", "n", "set", "id", "start", "end"]
     dealt = rows.repartition("key").sortWithinPartitions("key", "n", "set", "id", "start")
@@ -175,14 +176,16 @@ def _collisions(rows: DataFrame) -> DataFrame:
             firsts = stand_ins(opens, n)
             before = np.where(opens, ids, np.roll(ids, 1))
             if many.any():
+                same = ~differ[many]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[many]) for x in (key, n, ids, *rest, ids[firsts[0]], ids[firsts[1]], before, differ)],
-                    names=[*names, "near", "nearer", "before", "differ"])
+                    [*(pa.array(x[many]) for x in (ids, *rest, differ)),
+                     *(pa.array(x[many], mask=same) for x in (key, ids[firsts[0]], ids[firsts[1]], before))],
+                    names=[*names[2:], "differ", "key", "near", "nearer", "before"])
             if open_:
                 some = np.unique(np.concatenate(firsts))
                 source.send({c: v[new][some] for c, v in found.items()})
 
-    return dealt.mapInArrow(run, "key long, n int, set long, id long, start int, end int, near long, nearer long, before long, differ boolean")
+    return dealt.mapInArrow(run, "set long, id long, start int, end int, differ boolean, key long, near long, nearer long, before long")
 
 
 def _unit_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -146,3 +146,13 @@ def test_rounds_of_few_words_agree_with_one(spark, monkeypatch):
     found = {r[0]: texts[r[0]][1][r[1]: r[2]] for r in once}
     # No repeated piece of the third document begins before its first shared word.
     assert found == {i: shared[3:] if i == 2 else shared + " äää" for i in range(4)}
+
+
+def test_equal_sets_of_a_key_are_places_only(spark):
+    names = "key long, n int, set long, id long, start int, end int"
+    rows = [(1, 5, 10, 1, 0, 9), (1, 5, 10, 2, 0, 9), (2, 5, 10, 1, 0, 9), (2, 6, 11, 3, 4, 9), (3, 5, 12, 4, 0, 9)]
+    met = substring_dedup._collisions(spark.createDataFrame(rows, names)).collect()
+    assert sorted((r["set"], r["id"], r["start"], r["end"], r["differ"]) for r in met) == [
+        (10, 1, 0, 9, False), (10, 1, 0, 9, True), (10, 2, 0, 9, False), (11, 3, 4, 9, True)]
+    assert {(r["key"], r["near"], r["nearer"], r["before"]) for r in met if not r["differ"]} == {(None,) * 4}
+    assert all(None not in (r["key"], r["near"], r["nearer"], r["before"]) for r in met if r["differ"])
