@@ -370,8 +370,10 @@ def fit_transform_columns(df: DataFrame, label: str, fold: str = "fold", split:
     """Fit on the ``train`` rows of each fold and transform its train and validation rows.
 
     Each fold has its own fit; ``shared_fit="last"`` makes all folds use the last one's. The
-    result holds ``keep``, the scaled numbers, feature indicators and label indicators.
+    result holds ``keep``, the scaled numbers, feature indicators and label indicators. Both fits and the result read the rows, so
+    they are written first: what made them, such as splits, runs once.
     """
+    df = kept(df)
     train = df.filter(F.col(split) == "train")
     features = [c for c in df.columns if c not in {*keep, label, fold, split}]
     numbers = [c for c in numeric_columns(df) if c in features]

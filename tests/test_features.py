@@ -187,3 +187,20 @@ def test_numbered_in_ranges_like_sorted(spark, monkeypatch, folderless):
     df = spark.createDataFrame([(w,) for w in words], "category STRING").repartition(7)
     got = {r["category"]: r["place"] for r in dictionary.numbered(df).collect()}
     assert got == {w: i for i, w in enumerate(words)}
+
+
+def test_rows_of_a_fit_and_its_result_are_made_once(spark):
+    from rowsentry.operators import features
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame([(1 + i % 2, "train" if i < 8 else "validation", float(i), "ab"[i % 2], "xy"[i // 2 % 2]) for i in range(12)],
+                                 "fold INT, split STRING, size DOUBLE, kind STRING, label STRING")
+    done, fitted = features.fit_transform_columns(rows.mapInArrow(count, rows.schema), "label")
+    assert done.count() == len(done.collect()) == 12 and fitted.folds == [1, 2]
+    assert made.value == 12
