@@ -145,15 +145,26 @@ class CoTrained:
 
 
 def _logistic(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
-    """Weights (offset last) of a ridge logistic regression on weighted points."""
+    """Weights (offset last) of a ridge logistic regression on weighted points.
+
+    Newton steps alone run away where the views part good from bad almost surely; a step that raises the loss is halved.
+    """
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     ridge = np.diag([0.01] * (x.shape[1] - 1) + [1e-3])
-    for _ in range(50):
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((good * np.logaddexp(0, -z) + bad * np.logaddexp(0, z)).sum() + w @ ridge @ w / 2)
+
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         n = good + bad
         step = np.linalg.solve((x * (n * p * (1 - p) + 1e-9)[:, None]).T @ x + ridge, x.T @ (good - n * p) - ridge @ w)
-        w = w + np.clip(step, -2, 2)
+        step /= max(1.0, np.abs(step).max() / 2)
+        while np.abs(step).max() >= 1e-8 and loss(w + step) > loss(w):
+            step /= 2
+        w = w + step
         if np.abs(step).max() < 1e-8:
             break
     return w

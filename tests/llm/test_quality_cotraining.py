@@ -52,3 +52,16 @@ def test_views_read_what_they_say():
     lines = lambda n: int(np.log2(1 + n) * 2)
     assert meta[0, 1] == lines(3) and meta[1, 1] == lines(1) and meta[0, 4] == share(1 / 3) and meta[0, 5] == lines(8)
     assert meta[1, 6] == 0 and meta[0, 6] == meta[2, 6] > 0 and meta[0, 7] == 0 < meta[2, 7]
+
+
+def test_weights_settle_where_a_view_parts_the_labels_almost_surely():
+    middle = np.arange(-11.75, 12, 0.5)[:, None]
+    good, bad = np.zeros(48), np.zeros(48)
+    for k, n in {13: 1, 21: 2, 22: 2, 23: 1, 24: 2, 25: 4, 26: 7, 27: 4, 28: 6, 29: 4, 30: 5, 31: 4, 32: 4, 33: 3, 35: 4, 37: 3, 38: 1, 39: 1, 40: 2}.items():
+        good[k] = n
+    for k, n in {0: 11, 1: 2, 2: 3, 3: 3, 4: 5, 5: 2, 7: 1, 11: 2, 12: 1}.items():
+        bad[k] = n
+    slope, offset = qc._logistic(middle, good, bad)
+    chance = 1 / (1 + np.exp(-(slope * middle[:, 0] + offset)))
+    assert (chance[good > 0] > 0.5).all() and (chance[bad > 0] < 0.5).all()
+    assert np.allclose(middle[:, 0] @ (good - (good + bad) * chance), 0.01 * slope, atol=1e-6)
