@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsentry.llm.common import mix, pieces, ragged, run_hashes, settle, shingle_hashes, span_hashes, utf8, word_spans
+from rowsentry.llm.common import drop_shuffles, mix, pieces, ragged, run_hashes, settle, shingle_hashes, span_hashes, utf8, word_spans
 from rowsentry.llm.components import components
 from rowsentry.llm.jaccard_join import first_of, linked, open_pairs, pick, picked, stand_ins, whole_runs
 
@@ -120,7 +120,10 @@ class Units:
 
 
 def _rows(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``key, n, set, id, start, end``: a row for each band of a paragraph and one for each piece."""
+    """``key, n, set, id, start, end``: a row for each band of a paragraph and one for each piece.
+
+    A piece's key is its set; it is not moved twice, its ``set`` is 0.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
@@ -138,11 +141,12 @@ def _rows(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) ^ least)
                 keys.append(key)
             part = np.flatnonzero(~u.whole)
-            keys.append(mix(u.id[part].view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)))
+            keys.append(u.id[part].view(np.uint64))
             place = np.concatenate([*[whole] * bands, part])
+            sets = np.concatenate([*[u.id[whole]] * bands, np.zeros(len(part), np.int64)])
             n = np.maximum(u.b - u.a - 4, 1)
             ids = piece.column("id").to_numpy(zero_copy_only=False)
-            columns = (np.concatenate(keys).view(np.int64), n[place].astype(np.int32), u.id[place], ids[u.text[place]],
+            columns = (np.concatenate(keys).view(np.int64), n[place].astype(np.int32), sets, ids[u.text[place]],
                        u.start[place].astype(np.int32), u.end[place].astype(np.int32))
             for a in range(0, len(place), 65536):
                 yield pa.RecordBatch.from_arrays([pa.array(c[a: a + 65536]) for c in columns],
@@ -168,6 +172,7 @@ def _collisions(rows: DataFrame) -> DataFrame:
             new = np.ones(len(found["key"]), bool)
             new[1:] = np.any([found[c][1:] != found[c][:-1] for c in ("key", "set", "id", "start")], axis=0)
             key, n, ids, *rest = (found[c][new] for c in names)
+            ids = np.where(ids == 0, key, ids)
             opens = np.ones(len(key), bool)
             opens[1:] = key[1:] != key[:-1]
             start = first_of(opens)
@@ -373,6 +378,7 @@ def _extended(docs: DataFrame, units: DataFrame) -> DataFrame:
     found, offset, width, open_ = None, 0, WORDS, units
     while True:
         part = settle(_common(_beyond(docs, open_, offset, width), width))
+        drop_shuffles(docs.sparkSession)
         found = part if found is None else found.unionAll(part)
         full = part.filter("full").select("id").distinct()
         if full.isEmpty():
@@ -399,17 +405,20 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", column: str = "text", min_cha
     own = F.coalesce(F.col(doc_id).cast("long"), -F.lit(NO_ID) - F.pmod(F.xxhash64(text), F.lit(NO_ID)))
     docs = df.select(own.alias("id"), text.alias("text"))
     met = settle(_collisions(_rows(docs, *tune(similarity, recall))))
+    drop_shuffles(df.sparkSession)
     mixed = met.filter("differ")
     wanted = settle(mixed.groupBy("set").agg(F.min("id").alias("id")))
     sets = settle(_unit_sets(docs, wanted))
     stars = mixed.select("set", F.explode(F.array("near", "nearer", "before")).alias("near")).filter("set <> near") \
         .select(F.least("set", "near").alias("a"), F.greatest("set", "near").alias("b")).distinct()
     links = settle(linked(stars, sets))
+    drop_shuffles(df.sparkSession)
     classes = sets.join(components(links).withColumnRenamed("node", "set"), "set", "left") \
         .select("set", "shingles", F.coalesce("root", "set").alias("root"))
     sizes = sets.select("set", F.size("shingles").alias("n"))
     meetings = settle(mixed.select("key", "set").distinct().join(sizes, "set").withColumn("place", F.lit(0)))
     more = settle(open_pairs(meetings, classes))
+    drop_shuffles(df.sparkSession)
     roots = components(links.unionAll(more)).withColumnRenamed("node", "set")
     places = met.select("set", "id", "start", "end").distinct().join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     places = settle(places)
@@ -417,7 +426,9 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", column: str = "text", min_cha
         .filter(F.col("first.id") < F.col("last")).select("root", "first")
     units = places.join(shared, "root").select(
         "id", "start", "end", "root", ((F.col("first.id") == F.col("id")) & (F.col("first.start") == F.col("start"))).alias("stays"))
-    units = _extended(docs, settle(units))
+    units = settle(units)
+    drop_shuffles(df.sparkSession)
+    units = _extended(docs, units)
     by_place = Window.partitionBy("id").orderBy("start", "end")
     reached = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     number = F.sum((F.coalesce(F.col("start") - F.col("reached"), F.lit(GAP + 1)) > GAP).cast("int")).over(

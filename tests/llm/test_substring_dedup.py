@@ -156,3 +156,18 @@ def test_equal_sets_of_a_key_are_places_only(spark):
         (10, 1, 0, 9, False), (10, 1, 0, 9, True), (10, 2, 0, 9, False), (11, 3, 4, 9, True)]
     assert {(r["key"], r["near"], r["nearer"], r["before"]) for r in met if not r["differ"]} == {(None,) * 4}
     assert all(None not in (r["key"], r["near"], r["nearer"], r["before"]) for r in met if r["differ"])
+
+
+def test_pieces_are_dealt_without_a_set_of_their_own(spark):
+    rng = random.Random(5)
+    words = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    passage = words(80)
+    docs = spark.createDataFrame([(i, f"{words(20)} {passage} {words(20)}") for i in range(3)], "id long, text string")
+    rows = substring_dedup._rows(docs, *substring_dedup.tune())
+    ids = {}
+    for r in rows.filter("set = 0").collect():
+        ids.setdefault(r["key"], set()).add(r["id"])
+    shared = {k for k, v in ids.items() if len(v) > 1}
+    found = substring_dedup._collisions(rows).collect()
+    assert shared and {r["set"] for r in found if not r["differ"]} == shared
+    assert all(r["set"] for r in found)
