@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsentry.llm.common import drop_shuffles, mix, pieces, ragged, run_hashes, settle, shingle_hashes, span_hashes, utf8, word_spans
+from rowsentry.llm.common import discard, drop_shuffles, mix, pieces, ragged, run_hashes, settle, shingle_hashes, span_hashes, utf8, word_spans
 from rowsentry.llm.components import components
 from rowsentry.llm.jaccard_join import first_of, linked, open_pairs, pick, picked, stand_ins, whole_runs
 
@@ -370,21 +370,33 @@ def _common(beyond: DataFrame, width: int) -> DataFrame:
     return dealt.mapInArrow(run, "id long, start int, side int, at int, full boolean")
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts whose ids ``wanted`` has, and a few others: a round moves the texts it reads, most of which ended in earlier rounds."""
+    found, bitmap = pick(docs, wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    return found.mapInArrow(lambda batches: picked(batches, shared.value), "id long, text string, cell long").drop("cell")
+
+
 def _extended(docs: DataFrame, units: DataFrame) -> DataFrame:
     """The units with their ends where the text goes on as in no other document, and whether one is a whole ``paragraph``.
 
     Words beyond a piece are compared ``WORDS`` at a time first; where all of them go on alike, more follow, four times as many a round.
     """
-    found, offset, width, open_ = None, 0, WORDS, units
+    found, offset, width, open_, texts = None, 0, WORDS, units, docs
     while True:
-        part = settle(_common(_beyond(docs, open_, offset, width), width))
+        part = settle(_common(_beyond(texts, open_, offset, width), width))
         drop_shuffles(docs.sparkSession)
         found = part if found is None else found.unionAll(part)
         full = part.filter("full").select("id").distinct()
         if full.isEmpty():
             break
         open_ = units.join(full, "id", "left_semi")
+        left, texts = texts, settle(_texts(texts, full))
+        if left is not docs:
+            discard(left)
         offset, width = offset + width, min(width * 4, MOST_WORDS)
+    if texts is not docs:
+        discard(texts)
     reach = found.filter("side <> 0").groupBy("id", "start").agg(
         F.min(F.when(F.col("side") < 0, F.col("at"))).alias("from"), F.max(F.when(F.col("side") > 0, F.col("at"))).alias("to"))
     paragraphs = found.filter("side = 0").select("id", "start", F.col("at").alias("end"), F.lit(True).alias("paragraph")).distinct()
@@ -427,6 +439,7 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", column: str = "text", min_cha
     units = places.join(shared, "root").select(
         "id", "start", "end", "root", ((F.col("first.id") == F.col("id")) & (F.col("first.start") == F.col("start"))).alias("stays"))
     units = settle(units)
+    discard(met, wanted, sets, links, meetings, more, places)
     drop_shuffles(df.sparkSession)
     units = _extended(docs, units)
     by_place = Window.partitionBy("id").orderBy("start", "end")

@@ -171,3 +171,33 @@ def test_pieces_are_dealt_without_a_set_of_their_own(spark):
     found = substring_dedup._collisions(rows).collect()
     assert shared and {r["set"] for r in found if not r["differ"]} == shared
     assert all(r["set"] for r in found)
+
+
+def test_later_rounds_move_only_texts_that_go_on(spark, monkeypatch):
+    rng = random.Random(21)
+    short, long = words(rng, 60), words(rng, 60) + " same" * 90
+    docs = spark.createDataFrame([(i, f"{words(rng, 12)} {long if i < 2 else short} {words(rng, 12)}") for i in range(12)], "doc_id long, text string")
+    moved, beyond = [], substring_dedup._beyond
+    monkeypatch.setattr(substring_dedup, "WORDS", 2)
+    monkeypatch.setattr(substring_dedup, "MOST_WORDS", 32)
+    monkeypatch.setattr(substring_dedup, "_beyond", lambda texts, *a: moved.append(sorted(r["id"] for r in texts.select("id").collect())) or beyond(texts, *a))
+    found = substring_dedup.repeats(docs).collect()
+    assert {r["doc_id"] for r in found} == set(range(12))
+    assert len(moved) > 3 and moved[0] == list(range(12)) and moved[-1] == [0, 1]
+
+
+def test_tables_of_steps_that_are_done_are_deleted(spark, corpus, monkeypatch):
+    from pathlib import Path
+
+    folder, there = [], []
+    settle, extended = substring_dedup.settle, substring_dedup._extended
+
+    def settled(df, *a):
+        table = settle(df, *a)
+        folder.append(Path(table.inputFiles()[0].removeprefix("file:")).parent)
+        return table
+
+    monkeypatch.setattr(substring_dedup, "settle", settled)
+    monkeypatch.setattr(substring_dedup, "_extended", lambda *a: there.extend(f.exists() for f in folder) or extended(*a))
+    assert substring_dedup.repeats(corpus[0]).count()
+    assert sum(there) == 1 and there[-1]  # the units
